@@ -12,26 +12,47 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-WIDEST_PLAIN_SUM = 200
+# How many terms one projection may spell out before it turns to arrays.
+MOST_PLAIN_TERMS = 200
+
+
+def literals(numbers: Sequence[float]) -> Column:
+    return F.array(*[F.lit(float(number)) for number in numbers])
 
 
 def weighted_sum(values: Sequence[Column], weights: Sequence[float], start: float) -> Column:
     """``start + w1*v1 + w2*v2 + ...``, null when a value is null."""
     if len(values) != len(weights):
         raise ValueError(f"{len(weights)} coefficients for {len(values)} features")
-    if len(values) <= WIDEST_PLAIN_SUM:
-        total = F.lit(float(start))
-        for value, weight in zip(values, weights):
-            total = total + F.lit(float(weight)) * value
-        return total
-    products = F.zip_with(
-        F.array(*values), F.array(*[F.lit(float(w)) for w in weights]), lambda v, w: w * v
+    if len(values) > MOST_PLAIN_TERMS:
+        rows = array_weighted_sums(F.array(*values), [weights], [start])
+        return F.get(rows, F.lit(0))
+    total = F.lit(float(start))
+    for value, weight in zip(values, weights):
+        total = total + F.lit(float(weight)) * value
+    return total
+
+
+def array_weighted_sums(
+    point: Column, weights: Sequence[Sequence[float]], starts: Sequence[float]
+) -> Column:
+    """Weighted sums of one point, held as an array, for every row of ``weights``, as an array."""
+    table = F.array(
+        *[
+            F.struct(literals(row).alias("weights"), F.lit(float(start)).alias("start"))
+            for row, start in zip(weights, starts)
+        ]
     )
-    return F.aggregate(products, F.lit(float(start)), lambda total, product: total + product)
+
+    def to_sum(row: Column) -> Column:
+        products = F.zip_with(point, row["weights"], lambda value, weight: weight * value)
+        return F.aggregate(products, row["start"], lambda total, product: total + product)
+
+    return F.transform(table, to_sum)
 
 
 def distance(values: Sequence[Column], center: Sequence[float]) -> Column:
-    """Euclidean distance from the point ``values`` to ``center``, by plain arithmetic."""
+    """Euclidean distance from the point ``values`` to ``center``, null when a value is null."""
     total = F.lit(0.0)
     for value, place in zip(values, center):
         gap = value - F.lit(float(place))
@@ -40,11 +61,10 @@ def distance(values: Sequence[Column], center: Sequence[float]) -> Column:
 
 
 def array_distances(point: Column, centers: Sequence[Sequence[float]]) -> Column:
-    """The same distances to every centre as one array, from a point held as an array."""
-    table = F.array(*[F.array(*[F.lit(float(x)) for x in center]) for center in centers])
+    """The distances of one point, held as an array, to every centre, as an array."""
 
     def to_center(center: Column) -> Column:
         squares = F.zip_with(point, center, lambda v, place: (v - place) * (v - place))
         return F.sqrt(F.aggregate(squares, F.lit(0.0), lambda total, square: total + square))
 
-    return F.transform(table, to_center)
+    return F.transform(F.array(*[literals(center) for center in centers]), to_center)

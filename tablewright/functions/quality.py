@@ -11,7 +11,7 @@ Every predicate is true or false, never null, so ``~bad`` keeps exactly the othe
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -55,4 +55,15 @@ def bad_row(df: DataFrame, mode: str = NULLS, is_bad: Column | None = None) -> C
         return F.coalesce(is_bad, F.lit(False))
     check_choice("mode", mode, REASONS)
     rule = null_value if mode == NULLS else null_nan_or_zero_value
-    return reduce(lambda left, right: left | right, [rule(field) for field in df.schema])
+    return any_of([rule(field) for field in df.schema])
+
+
+def any_of(conditions: Sequence[Column]) -> Column:
+    """True when one of the conditions is; halved rather than chained, so that a table with
+    thousands of columns does not nest thousands deep."""
+    if not conditions:
+        return F.lit(False)
+    if len(conditions) == 1:
+        return conditions[0]
+    middle = len(conditions) // 2
+    return any_of(conditions[:middle]) | any_of(conditions[middle:])

@@ -68,7 +68,10 @@ class ClassWeights:
 
 @dataclass(frozen=True)
 class LogisticModel:
-    """Multinomial logistic scoring: weight exp(margin) per class, weight 1 for the base class."""
+    """Multinomial logistic scoring: weight exp(margin) per class, weight 1 for the base class.
+
+    ``scoring.predict_class`` picks the heaviest class by its margin.
+    """
 
     features: tuple[str, ...]
     classes: tuple[ClassWeights, ...]
@@ -91,26 +94,6 @@ class LogisticModel:
     def required_columns(self) -> list[str]:
         return list(self.features)
 
-    def margins(self) -> list[Column]:
-        values = [as_double(name) for name in self.features]
-        return [weighted_sum(values, item.coefficients, item.intercept) for item in self.classes]
-
-    def choose(self, margins: Sequence[Column]) -> Column:
-        """The winning class, given the margins.
-
-        exp is monotonic, so the largest margin is the largest probability, and nothing can
-        overflow. The base class, with margin 0, wins only when every other margin is below 0; on
-        equal margins the class listed first wins; a null margin gives null.
-        """
-        top = margins[0] if len(margins) == 1 else F.greatest(*margins)
-        unknown = margins[0].isNull()
-        for margin in margins[1:]:
-            unknown = unknown | margin.isNull()
-        choice = F.when(unknown, F.lit(None).cast("string")).when(top < 0.0, F.lit(self.base))
-        for item, margin in zip(self.classes[:-1], margins[:-1]):
-            choice = choice.when(margin == top, F.lit(item.label))
-        return choice.otherwise(F.lit(self.classes[-1].label))
-
 
 @dataclass(frozen=True)
 class ClusterModel:

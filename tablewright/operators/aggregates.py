@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablewright.checks import NUMERIC, require_columns, require_disjoint, require_selection
 from tablewright.functions.names import as_double, quoted
@@ -35,9 +36,13 @@ def product_by_group(df: DataFrame, group_column: str, columns: Sequence[str]) -
     require_disjoint([group_column], columns)
     require_columns(df, [group_column])
     require_columns(df, columns, NUMERIC)
-    key = quoted(group_column).cast("string").alias("GroupKey")
+    key, as_text = quoted(group_column), quoted(group_column).cast("string")
     products = [F.product(as_double(name)).alias(f"{name}_PRODUCT") for name in columns]
-    return df.groupBy(key).agg(*products)
+    names = [quoted(f"{name}_PRODUCT") for name in columns]
+    if isinstance(df.schema[group_column].dataType, T.IntegralType):
+        # One text per number: hash and shuffle the number, spell it out once per group.
+        return df.groupBy(key).agg(*products).select(as_text.alias("GroupKey"), *names)
+    return df.groupBy(as_text.alias("GroupKey")).agg(*products)
 
 
 def count_pairs(df: DataFrame, observed: str, predicted: str) -> DataFrame:
@@ -63,16 +68,14 @@ def regression_metrics(df: DataFrame, prediction_column: str, label_column: str)
         .where(p.isNotNull() & y.isNotNull())
         .agg(
             F.var_pop(p).alias("var_p"),
-            F.avg(p).alias("avg_p"),
             F.var_pop(y).alias("var_y"),
-            F.avg(y).alias("avg_y"),
+            F.avg(p - y).alias("bias"),
             F.avg(F.abs(p - y)).alias("mae"),
             F.avg((p - y) * (p - y)).alias("mse"),
         )
     )
-    bias = F.col("avg_p") - F.col("avg_y")
     return moments.select(
-        (F.col("var_p") + bias * bias).alias("explainedVariance"),
+        (F.col("var_p") + F.col("bias") * F.col("bias")).alias("explainedVariance"),
         F.col("mae").alias("meanAbsoluteError"),
         F.col("mse").alias("meanSquaredError"),
         F.sqrt("mse").alias("rootMeanSquaredError"),

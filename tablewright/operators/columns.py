@@ -17,6 +17,7 @@ from tablewright.functions.dates import DEFAULT_PATTERN, formatted_date
 from tablewright.functions.names import quoted
 from tablewright.functions.powers import product_power, sql_power
 from tablewright.operators.aggregates import row_count
+from tablewright.operators.hints import spread
 
 
 def column_filter(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -42,19 +43,10 @@ def column_filter_advanced(
     require_selection(columns, least=2)
     kept = column_filter(df, columns)
     if repartition:
-        kept = kept.repartition(_partitions(df, num_partitions))
+        kept = spread(kept, num_partitions)
     return kept, {"columns": list(columns), "row_count": row_count(df)}
 
 
-def _partitions(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions is not None:
-        check_integer("num_partitions", num_partitions, low=1)
-    default = df.sparkSession.conf.get("spark.default.parallelism", None)
-    if default is None:
-        default = df.sparkSession.sparkContext.defaultParallelism
-    return max(num_partitions or 1, int(default))
-
-
 def power_features(df: DataFrame, columns: Sequence[str], kind: str = "Pow2") -> DataFrame:
     """All columns, then ``<col>_Pow2`` = x*x or ``<col>_Pow3`` = x*x*x as doubles."""
     require_selection(columns)

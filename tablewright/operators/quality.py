@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,18 +13,13 @@ from tablewright.functions.quality import NULLS, NULLS_AND_ZEROS, REASONS, bad_r
 
 
 def split_bad_rows(
-    df: DataFrame,
-    mode: str = NULLS,
-    is_bad: Column | None = None,
-    storage_level: StorageLevel | None = None,
+    df: DataFrame, mode: str = NULLS, is_bad: Column | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(good rows, bad rows); together they are the input.
 
     Both are plain filters, so writing the two reads the input twice with the filter pushed to
-    the scan. When the input itself is expensive to compute, pass a storage level to keep it.
+    the scan. When the input itself is expensive to compute, wrap it in ``hints.persisted``.
     """
-    if storage_level is not None:
-        df = df.persist(storage_level)
     bad = bad_row(df, mode, is_bad)
     return df.where(~bad), df.where(bad)
 

@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.functions.arithmetic import WIDEST_PLAIN_SUM, array_distances, distance
+from tablewright.functions.arithmetic import (
+    MOST_PLAIN_TERMS,
+    array_distances,
+    array_weighted_sums,
+    distance,
+    weighted_sum,
+)
 from tablewright.functions.names import as_double, quoted
 from tablewright.models import (
     ClusterModel,
@@ -40,15 +48,65 @@ def predict_linear(
 def predict_class(
     df: DataFrame, model: LogisticModel, prediction: str = PREDICTED_CLASS
 ) -> DataFrame:
-    """All columns, then the predicted class; null where a feature is null."""
+    """All columns, then the predicted class; null where a feature is null.
+
+    exp is monotonic, so the largest margin is the largest probability, and nothing can overflow.
+    The base class, with margin 0, wins only when every other margin is below 0; on equal margins
+    the class listed first wins.
+    """
     require_model_columns(df, model)
     require_new_columns(df, [prediction])
-    # Margins get a projection of their own, so that each is computed once per row.
-    names = [f"__margin_{i}" for i in range(len(model.classes))]
-    margins = [margin.alias(name) for margin, name in zip(model.margins(), names)]
-    scored = df.select("*", *margins)
-    chosen = model.choose([F.col(name) for name in names])
-    return scored.select(*[quoted(c) for c in df.columns], chosen.alias(prediction))
+    values = [as_double(name) for name in model.features]
+    weights = [item.coefficients for item in model.classes]
+    starts = [item.intercept for item in model.classes]
+    labels = [item.label for item in model.classes]
+    passed = [quoted(name) for name in df.columns]
+    # Margins and the largest of them get projections of their own, so that each is computed
+    # once per row however many classes refer to it.
+    if len(values) * len(labels) <= MOST_PLAIN_TERMS:
+        names = [f"__margin_{i}" for i in range(len(labels))]
+        margins = [F.col(name) for name in names]
+        scored = df.select(
+            *passed,
+            *[
+                weighted_sum(values, row, start).alias(name)
+                for row, start, name in zip(weights, starts, names)
+            ],
+        ).select("*", _greatest(margins).alias("__top"))
+        winner = _first_match(F.col("__top"), margins, labels)
+    else:
+        scored = (
+            df.select(*passed, F.array(*values).alias("__point"))
+            .select(
+                *passed, array_weighted_sums(F.col("__point"), weights, starts).alias("__margins")
+            )
+            .select(*passed, "__margins", F.array_max("__margins").alias("__top"))
+        )
+        winner = _label_at(F.array_position("__margins", F.col("__top")), labels)
+    # A null feature makes every margin null, and the largest one with them.
+    chosen = F.when(F.col("__top") < 0.0, F.lit(model.base)).otherwise(winner)
+    return scored.select(*passed, chosen.alias(prediction))
+
+
+def _greatest(columns: list[Column]) -> Column:
+    return columns[0] if len(columns) == 1 else F.greatest(*columns)
+
+
+def _least(columns: list[Column]) -> Column:
+    return columns[0] if len(columns) == 1 else F.least(*columns)
+
+
+def _first_match(wanted: Column, columns: list[Column], labels: Sequence[str]) -> Column:
+    """The label of the first column that equals ``wanted``; null when it is null."""
+    choice = F.when(columns[0] == wanted, F.lit(labels[0]))
+    for column, label in zip(columns[1:], labels[1:]):
+        choice = choice.when(column == wanted, F.lit(label))
+    return choice
+
+
+def _label_at(position: Column, labels: Sequence[str]) -> Column:
+    """The label at a position counted from 1; null when that is null."""
+    return F.get(F.array(*[F.lit(label) for label in labels]), position.cast("int") - 1)
 
 
 def score_clusters(df: DataFrame, model: ClusterModel, cluster: str = CLUSTER) -> DataFrame:
@@ -61,27 +119,21 @@ def score_clusters(df: DataFrame, model: ClusterModel, cluster: str = CLUSTER) -
     require_new_columns(df, [*names, cluster])
     values = [as_double(name) for name in model.features]
     passed = [quoted(name) for name in df.columns]
-    if len(values) * len(model.centers) <= WIDEST_PLAIN_SUM:
+    if len(values) * len(names) <= MOST_PLAIN_TERMS:
+        distances = [quoted(name) for name in names]
         scored = df.select(
             *passed, *[distance(values, c).alias(n) for n, c in zip(names, model.centers)]
-        )
-        distances = [quoted(name) for name in names]
-        nearest = distances[0] if len(distances) == 1 else F.least(*distances)
-        label = F.when(distances[0] == nearest, F.lit(model.labels[0]))
-        for item, text in zip(distances[1:], model.labels[1:]):
-            label = label.when(item == nearest, F.lit(text))
+        ).select("*", _least(distances).alias("__nearest"))
+        label = _first_match(F.col("__nearest"), distances, model.labels)
         return scored.select(*passed, *distances, label.alias(cluster))
-
-    # Many features or centres: an array fold keeps the plan flat. A null feature makes every
-    # distance null.
-    scored = df.select("*", F.array(*values).alias("__point")).select(
+    scored = df.select(*passed, F.array(*values).alias("__point")).select(
         *passed, array_distances(F.col("__point"), model.centers).alias("__distances")
     )
-    place = F.array_position("__distances", F.array_min("__distances")).cast("int")
+    nearest = F.array_position("__distances", F.array_min("__distances"))
     return scored.select(
         *passed,
         *[F.get("__distances", F.lit(i)).alias(name) for i, name in enumerate(names)],
-        F.get(F.array(*[F.lit(label) for label in model.labels]), place - 1).alias(cluster),
+        _label_at(nearest, model.labels).alias(cluster),
     )
 
 

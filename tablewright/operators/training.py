@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
@@ -22,7 +23,8 @@ from tablewright.checks import (
     require_selection,
 )
 from tablewright.functions.names import as_double, quoted
-from tablewright.models import ClusterModel, LinearModel, MixedLinearModel
+from tablewright.functions.quality import any_of
+from tablewright.models import ClusterModel, LinearModel, MixedLinearModel, small_table
 from tablewright.operators.encoding import MOST_CATEGORIES, apply_encodings, learn_encodings
 from tablewright.operators.scoring import evaluate_regression
 
@@ -33,49 +35,102 @@ ITERATIONS = 20
 
 INVALID_ROWS = ("error", "skip")
 
+# Up to here the covariances of features and target fit into one generated aggregate, which
+# Spark limits to 100 fields.
+FEW_FEATURES = 5
 
-def _assembled(
-    df: DataFrame, features: Sequence[str], target: str | None, invalid_rows: str
-) -> DataFrame:
-    """A vector column and a label; nothing but the columns in use is read.
 
-    A null or NaN is an error, or its row is left out when the caller says "skip".
+def _numbers(df: DataFrame, features: Sequence[str], target: str | None, invalid_rows: str):
+    """Features as doubles ``x0..`` and the target as ``label``; nothing else is read.
+
+    With "skip", rows with a null or NaN are left out; with "error" they are still there.
     """
     check_choice("invalid_rows", invalid_rows, INVALID_ROWS)
-    names = [f"x{i}" for i in range(len(features))]
-    columns = [as_double(feature).alias(name) for feature, name in zip(features, names)]
+    columns = [as_double(name).alias(f"x{i}") for i, name in enumerate(features)]
     if target is not None:
         columns.append(as_double(target).alias("label"))
     numbers = df.select(*columns)
-    if invalid_rows == "skip":
-        numbers = numbers.na.drop("any")
-    elif target is not None:
+    return numbers.na.drop("any") if invalid_rows == "skip" else numbers
+
+
+def _vectors(numbers: DataFrame) -> DataFrame:
+    """``features`` as a vector beside the label. A null or NaN feature, or a null label, is an
+    error when the rows are read."""
+    names = [name for name in numbers.columns if name != "label"]
+    if "label" in numbers.columns:
         label = F.col("label")
-        numbers = numbers.withColumn(
-            "label",
-            F.when(label.isNull(), F.raise_error(F.lit(f"null in the target {target}")))
-            .otherwise(label),
-        )
+        missing = F.raise_error(F.lit("a null in the target column"))
+        numbers = numbers.withColumn("label", F.when(label.isNull(), missing).otherwise(label))
     return VectorAssembler(inputCols=names, outputCol="features").transform(numbers)
 
 
-def _fit_least_squares(vectors: DataFrame, penalty: float, fit_intercept: bool):
+def _moments(numbers: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Means and covariances of all columns, from one aggregate in one pass.
+
+    Spark's covariance is merged from per-task means, so a large mean costs no digits.
+    """
+    names = numbers.columns
+    pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
+    unknown = any_of([F.col(name).isNull() | F.isnan(name) for name in names])
+    row = numbers.agg(
+        F.count("*").alias("n"),
+        F.count_if(unknown).alias("unknown"),
+        *[F.avg(name).alias(f"m{i}") for i, name in enumerate(names)],
+        *[F.covar_pop(names[i], names[j]).alias(f"c{i}_{j}") for i, j in pairs],
+    ).first()
+    if row["n"] == row["unknown"]:
+        raise ValueError("there are no rows to fit")
+    if row["unknown"]:
+        raise ValueError(f"{row['unknown']} rows have a null or NaN in the columns to fit")
+    means = np.array([row[f"m{i}"] for i in range(len(names))])
+    covariances = np.zeros((len(names), len(names)))
+    for i, j in pairs:
+        covariances[i, j] = covariances[j, i] = row[f"c{i}_{j}"]
+    return means, covariances
+
+
+def _rows_with_moments(second: np.ndarray) -> np.ndarray:
+    """A few rows, with mean zero, whose average outer product is ``second``."""
+    scale = np.sqrt(np.diag(second))
+    safe = np.where(scale > 0, scale, 1.0)
+    values, vectors = np.linalg.eigh(second / np.outer(safe, safe))
+    half = np.sqrt(np.clip(values, 0.0, None))[:, None] * vectors.T * scale
+    return np.sqrt(len(second)) * np.vstack([half, -half])
+
+
+def _fit_least_squares(
+    numbers: DataFrame, penalty: float, fit_intercept: bool
+) -> tuple[list[float], float]:
     """Minimise 1/(2n) sum(error^2) + penalty * sum(|weight|), on the columns as they are.
 
-    Up to 4,096 features this is one pass that sums a Gram matrix over the rows; the small system
-    is then solved on the driver, so a tight tolerance costs no further pass.
+    Least squares sees a table only through its means and covariances. With few features those
+    come from one aggregate that stays in generated code, and the estimator then fits a handful of
+    rows that have the same moments. More features go to the estimator as vectors; it sums the
+    same matrix over the rows and reads them once more for its own summary.
     """
     check_bounds("penalty", penalty, low=0.0)
-    return LinearRegression(
+    few = len(numbers.columns) - 1 <= FEW_FEATURES
+    estimator = LinearRegression(
         featuresCol="features",
         labelCol="label",
         elasticNetParam=1.0,
         regParam=float(penalty),
-        fitIntercept=fit_intercept,
+        fitIntercept=fit_intercept and not few,
         standardization=False,
         tol=1e-12,
         maxIter=500,
-    ).fit(vectors)
+    )
+    if not few:
+        fitted = estimator.fit(_vectors(numbers))
+        return [float(weight) for weight in fitted.coefficients], float(fitted.intercept)
+    means, second = _moments(numbers)
+    if not fit_intercept:
+        second = second + np.outer(means, means)
+    rows = [[float(value) for value in row] for row in _rows_with_moments(second)]
+    fitted = estimator.fit(_vectors(small_table(numbers.sparkSession, rows, numbers.columns)))
+    weights = [float(weight) for weight in fitted.coefficients]
+    intercept = float(means[-1] - np.dot(weights, means[:-1])) if fit_intercept else 0.0
+    return weights, intercept
 
 
 def fit_linear_regression(
@@ -90,10 +145,9 @@ def fit_linear_regression(
     require_selection(features)
     require_disjoint([target], features)
     require_columns(df, [target, *features], NUMERIC)
-    fitted = _fit_least_squares(_assembled(df, features, target, invalid_rows), penalty,
-                                fit_intercept)
-    weights = tuple(float(value) for value in fitted.coefficients)
-    return LinearModel(tuple(features), weights, float(fitted.intercept), target)
+    numbers = _numbers(df, features, target, invalid_rows)
+    weights, intercept = _fit_least_squares(numbers, penalty, fit_intercept)
+    return LinearModel(tuple(features), tuple(weights), intercept, target)
 
 
 def fit_mixed_regression(
@@ -123,10 +177,9 @@ def fit_mixed_regression(
     inputs = [*continuous, *indicators]
     if not inputs:
         raise ValueError(f"the features {list(features)} leave nothing to fit")
-    fitted = _fit_least_squares(_assembled(encoded, inputs, target, invalid_rows), penalty,
-                                fit_intercept)
+    numbers = _numbers(encoded, inputs, target, invalid_rows)
+    weights, intercept = _fit_least_squares(numbers, penalty, fit_intercept)
 
-    weights = [float(value) for value in fitted.coefficients]
     split, rest = [], weights[len(continuous):]
     for encoding in encodings:
         width = len(encoding.encoded())
@@ -137,7 +190,7 @@ def fit_mixed_regression(
         tuple(weights[: len(continuous)]),
         tuple(encodings),
         tuple(split),
-        float(fitted.intercept),
+        intercept,
         target,
     )
 
@@ -166,30 +219,25 @@ def fit_kmeans(
     require_columns(df, features, NUMERIC)
     check_integer("k", k, low=1)
     check_integer("max_iter", max_iter, low=1)
+    numbers = _numbers(df, features, None, invalid_rows)
     if k == 1:
-        return _single_cluster(df, features, invalid_rows)
-    vectors = _assembled(df, features, None, invalid_rows)
-    fitted = KMeans(featuresCol="features", k=k, maxIter=max_iter, seed=seed).fit(vectors)
+        return ClusterModel(tuple(features), (_mean_point(numbers),))
+    # Blocks of rows as matrices take far less room than a vector object per row.
+    estimator = KMeans(featuresCol="features", k=k, maxIter=max_iter, seed=seed, solver="block")
+    fitted = estimator.fit(_vectors(numbers))
     centers = sorted(tuple(float(value) for value in center) for center in fitted.clusterCenters())
     return ClusterModel(tuple(features), tuple(centers))
 
 
-def _single_cluster(df: DataFrame, features: Sequence[str], invalid_rows: str) -> ClusterModel:
-    check_choice("invalid_rows", invalid_rows, INVALID_ROWS)
-    points = df.select(*[as_double(name).alias(f"x{i}") for i, name in enumerate(features)])
-    if invalid_rows == "skip":
-        points = points.na.drop("any")
-    values = [F.col(name) for name in points.columns]
-    unknown = F.lit(False)
-    for value in values:
-        unknown = unknown | value.isNull() | F.isnan(value)
-    mean = points.agg(
+def _mean_point(numbers: DataFrame) -> tuple[float, ...]:
+    unknown = any_of([F.col(name).isNull() | F.isnan(name) for name in numbers.columns])
+    row = numbers.agg(
         F.count("*").alias("n"),
         F.count_if(unknown).alias("unknown"),
-        *[F.avg(value).alias(name) for name, value in zip(points.columns, values)],
+        *[F.avg(name).alias(name) for name in numbers.columns],
     ).first()
-    if mean.n == 0:
+    if row["n"] == 0:
         raise ValueError("there are no rows to cluster")
-    if mean.unknown:
-        raise ValueError(f"{mean.unknown} rows have a null or NaN feature")
-    return ClusterModel(tuple(features), (tuple(mean[name] for name in points.columns),))
+    if row["unknown"]:
+        raise ValueError(f"{row['unknown']} rows have a null or NaN feature")
+    return tuple(row[name] for name in numbers.columns)

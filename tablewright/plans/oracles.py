@@ -231,6 +231,13 @@ SQL: dict[str, str] = {
                round(product(1.0::DOUBLE + l_tax), 6) AS "tax_factor_PRODUCT"
         FROM lineitem GROUP BY l_orderkey
     """,
+    "product_by_group_text": """
+        SELECT l_returnflag AS "GroupKey",
+               product(CASE WHEN l_quantity > 25 THEN -1 ELSE 1 END) AS "sign_PRODUCT",
+               CASE WHEN count(*) FILTER (WHERE l_linestatus <> 'O') > 0 THEN 0.0::DOUBLE END
+               AS "gone_PRODUCT"
+        FROM lineitem GROUP BY l_returnflag
+    """,
     "table_profile": _profile(
         {
             "l_orderkey": "bigint",
@@ -353,6 +360,11 @@ SQL: dict[str, str] = {
         SELECT p_partkey, p_type, p_size, p_retailprice, round(a + b * p_size, 4) AS prediction
         FROM part JOIN levels ON p_type = g CROSS JOIN slope
     """,
+    "fit_kmeans_separated": """
+        SELECT 'Cluster_' || (row_number() OVER (ORDER BY v) - 1) AS "ClusterName",
+               v AS l_linenumber
+        FROM (SELECT DISTINCT l_linenumber::DOUBLE AS v FROM lineitem)
+    """,
     "cluster_centers": """
         SELECT 'Cluster_0' AS "ClusterName", round(avg(l_quantity), 6) AS l_quantity,
                round(avg(l_discount), 6) AS l_discount, round(avg(l_tax), 6) AS l_tax

@@ -289,14 +289,25 @@ def product_by_group(spark: SparkSession, folder: str) -> DataFrame:
     """Line numbers and tax factors per order. The products stay small: line numbers multiply
     exactly, and the tax product is rounded."""
     lines = table(spark, folder, "lineitem").select(
-        F.col("l_orderkey").cast("string").alias("order"),
+        "l_orderkey",
         "l_linenumber",
         (F.lit(1.0) + F.col("l_tax")).alias("tax_factor"),
     )
-    products = aggregates.product_by_group(lines, "order", ["l_linenumber", "tax_factor"])
+    products = aggregates.product_by_group(lines, "l_orderkey", ["l_linenumber", "tax_factor"])
     return rounded(products, ["tax_factor_PRODUCT"])
 
 
+@query
+def product_by_group_text(spark: SparkSession, folder: str) -> DataFrame:
+    """A text key with a few huge groups; factors of 1 and -1 keep the products exact."""
+    lines = table(spark, folder, "lineitem").select(
+        "l_returnflag",
+        F.when(F.col("l_quantity") > 25, F.lit(-1)).otherwise(F.lit(1)).alias("sign"),
+        F.nullif(F.col("l_linestatus") == "O", F.lit(True)).cast("int").alias("gone"),
+    )
+    return aggregates.product_by_group(lines, "l_returnflag", ["sign", "gone"])
+
+
 @query
 def table_profile(spark: SparkSession, folder: str) -> DataFrame:
     return aggregates.table_profile(measured_lineitem(spark, folder))
@@ -465,6 +476,15 @@ def fit_kmeans(spark: SparkSession, folder: str) -> DataFrame:
     return model.centers_table(spark)
 
 
+@query
+def fit_kmeans_separated(spark: SparkSession, folder: str) -> DataFrame:
+    """As many clusters as there are values: the centres are the values."""
+    model = training.fit_kmeans(
+        table(spark, folder, "lineitem"), ["l_linenumber"], k=7, seed=RANDOM_SEED
+    )
+    return rounded(model.centers_table(spark), ["l_linenumber"])
+
+
 @query
 def fit_kmeans_embeddings(spark: SparkSession, folder: str) -> DataFrame:
     """Sixty-four features; the result is every vector's nearest centre."""
