@@ -20,6 +20,10 @@ DELIMITED = {
     "ignoreTrailingWhiteSpace": "false",
 }
 
+# In a file, nothing between two separators is null and "" is empty text. Spark takes both for null
+# as long as its null mark is empty, so the reader gets a mark that no text consists of.
+NULL_MARK = "\u0001"
+
 
 def read_dataset(
     spark: SparkSession,
@@ -46,7 +50,12 @@ def read_dataset(
         if schema is None:
             raise ValueError("a delimited dataset needs a schema")
         reader = reader.options(
-            **DELIMITED, sep=sep, header=header, multiLine=multi_line, mode="FAILFAST"
+            **DELIMITED,
+            sep=sep,
+            header=header,
+            multiLine=multi_line,
+            nullValue=NULL_MARK,
+            mode="FAILFAST",
         )
     return reader.options(**(options or {})).load(path)
 
