@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from tablewright.checks import check_choice
 from tablewright.functions.names import quoted
+from tablewright.functions.numbers import number_in_text
 
 NULLS = "nulls"
 NULLS_AND_ZEROS = "nulls_and_zeros"
@@ -38,10 +39,9 @@ def null_nan_or_zero_value(field: T.StructField) -> Column:
     if isinstance(kind, T.NumericType):
         return value.isNull() | (value == F.lit(0))
     if isinstance(kind, T.StringType):
-        number = value.try_cast("double")
-        # A failed parse is null; without the coalesce good text rows would vanish with it.
-        reads_as_bad = F.coalesce((number == F.lit(0.0)) | F.isnan(number), F.lit(False))
-        return value.isNull() | reads_as_bad
+        # Text that is no number gives null; without the coalesce good rows would vanish with it.
+        reads_as_bad = number_in_text(value).isin(0.0, float("nan"))
+        return value.isNull() | F.coalesce(reads_as_bad, F.lit(False))
     return value.isNull()
 
 
@@ -55,7 +55,9 @@ def bad_row(df: DataFrame, mode: str = NULLS, is_bad: Column | None = None) -> C
         return F.coalesce(is_bad, F.lit(False))
     check_choice("mode", mode, REASONS)
     rule = null_value if mode == NULLS else null_nan_or_zero_value
-    return any_of([rule(field) for field in df.schema])
+    # Text last: a row that is bad for another reason needs no look at its text.
+    fields = sorted(df.schema, key=lambda field: isinstance(field.dataType, T.StringType))
+    return any_of([rule(field) for field in fields])
 
 
 def any_of(conditions: Sequence[Column]) -> Column:

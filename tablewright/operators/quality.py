@@ -6,9 +6,11 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablewright.checks import check_bounds, require_columns
 from tablewright.functions.names import quoted
+from tablewright.functions.numbers import number_in_text
 from tablewright.functions.quality import NULLS, NULLS_AND_ZEROS, REASONS, bad_row
 
 
@@ -63,6 +65,10 @@ def count_value_occurrences(df: DataFrame, column: str, x: float = 1.0) -> DataF
     if not (isinstance(x, float) and math.isnan(x)):
         check_bounds("x", x)
     require_columns(df, [column])
-    x = float(x)
-    matches = F.lit(False) if math.isnan(x) else quoted(column).try_cast("double") == F.lit(x)
+    value = quoted(column)
+    if isinstance(df.schema[column].dataType, T.StringType):
+        number = number_in_text(value)
+    else:
+        number = value.try_cast("double")
+    matches = F.lit(False) if math.isnan(x) else number == F.lit(float(x))
     return df.agg(F.count_if(matches).alias("occurrences"))

@@ -38,6 +38,8 @@ INVALID_ROWS = ("error", "skip")
 # Up to here the covariances of features and target fit into one generated aggregate, which
 # Spark limits to 100 fields.
 FEW_FEATURES = 5
+# Up to here Spark's estimator sums a matrix in one pass; beyond, it iterates over the rows.
+WIDEST_MATRIX = 4096
 
 
 def _numbers(df: DataFrame, features: Sequence[str], target: str | None, invalid_rows: str):
@@ -109,7 +111,8 @@ def _fit_least_squares(
     same matrix over the rows and reads them once more for its own summary.
     """
     check_bounds("penalty", penalty, low=0.0)
-    few = len(numbers.columns) - 1 <= FEW_FEATURES
+    width = len(numbers.columns) - 1
+    few, one_pass = width <= FEW_FEATURES, width <= WIDEST_MATRIX
     estimator = LinearRegression(
         featuresCol="features",
         labelCol="label",
@@ -117,8 +120,10 @@ def _fit_least_squares(
         regParam=float(penalty),
         fitIntercept=fit_intercept and not few,
         standardization=False,
-        tol=1e-12,
-        maxIter=500,
+        # Tight where iterations only touch the matrix on the driver, usual where each one is a
+        # pass over the rows.
+        tol=1e-12 if one_pass else 1e-6,
+        maxIter=500 if one_pass else 100,
     )
     if not few:
         fitted = estimator.fit(_vectors(numbers))

@@ -161,6 +161,9 @@ SQL: dict[str, str] = {
     "save_dataset_parquet": "SELECT * FROM events",
     "save_as_table": "SELECT * FROM customer",
     "write_rejects": f"SELECT * FROM ({MEASURED}) WHERE {MEASURED_BAD}",
+    "save_good_and_bad": f"""
+        SELECT *, quality IS NOT NULL AND toxic IS NOT NULL AS kept FROM ({LABELLED})
+    """,
     # Projections and derived columns
     "column_filter": "SELECT o_orderpriority, o_orderkey FROM orders",
     "column_filter_advanced": "SELECT o_orderstatus, o_totalprice, o_custkey FROM orders",

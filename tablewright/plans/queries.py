@@ -15,7 +15,15 @@ from pyspark.sql import functions as F
 from tablewright.functions.names import quoted
 from tablewright.functions.quality import NULLS, NULLS_AND_ZEROS
 from tablewright.models import ClassWeights, ClusterModel, LinearModel, LogisticModel, weights_table
-from tablewright.operators import aggregates, columns, encoding, quality, scoring, training
+from tablewright.operators import (
+    aggregates,
+    columns,
+    encoding,
+    hints,
+    quality,
+    scoring,
+    training,
+)
 from tablewright.plans import workflows
 from tablewright.session import shared_folder
 from tablewright.sinks import datasets as sinks
@@ -152,6 +160,21 @@ def write_rejects(spark: SparkSession, folder: str) -> DataFrame:
     return sources.read_dataset(spark, path, "csv", lines.schema)
 
 
+@query
+def save_good_and_bad(spark: SparkSession, folder: str) -> DataFrame:
+    """Split a joined input that is kept meanwhile, save both parts, and read them back."""
+    with hints.persisted(labelled_documents(spark, folder)) as kept:
+        good, bad = quality.split_bad_rows(kept, NULLS)
+        good_path = sinks.save_dataset(good, shared_folder(spark, "good"), "parquet")
+        bad_path = sinks.write_rejects(bad, shared_folder(spark, "bad"))
+        schema = kept.schema
+    good_rows = sources.read_dataset(spark, good_path, "parquet", schema)
+    bad_rows = sources.read_dataset(spark, bad_path, "csv", schema)
+    return good_rows.withColumn("kept", F.lit(True)).unionByName(
+        bad_rows.withColumn("kept", F.lit(False))
+    )
+
+
 # Projections and derived columns
 
 

@@ -116,11 +116,11 @@ def test_unknown_mode(edge):
         quality.split_bad_rows(edge, "zeros")
 
 
-def test_a_thousand_columns(spark):
-    names = [f"c{i}" for i in range(1000)]
+def test_hundreds_of_columns(spark):
+    names = [f"c{i}" for i in range(300)]
     df = spark.range(3).select("id", *[(F.col("id") + 1).alias(name) for name in names])
     assert quality.bad_data_report(df, NULLS).first().removed_rows == 0
-    with_null = df.withColumn("c999", F.nullif(F.col("id"), F.lit(1)))
+    with_null = df.withColumn("c299", F.nullif(F.col("id"), F.lit(1)))
     assert ids(quality.drop_null_rows(with_null)) == [0, 2]
 
 
@@ -172,3 +172,22 @@ def test_count_value_occurrences_in_numbers(spark):
     assert rows(quality.count_value_occurrences(df.where("false"), "v")) == [(0,)]
     with pytest.raises(ValueError):
         quality.count_value_occurrences(df, "v", "1")
+
+
+NUMBER_PIECES = [
+    "", " ", "\t", "\n", "\x00", "\x7f", "+", "-", "0", "00", "0.0", ".0", "0.", ".", "1", "12.5",
+    "e", "E5", "e-400", "e+2", "d", "F", "f", "0x", "0X1", "p0", "P-2", "nan", "NaN", "inf",
+    "Infinity", "INF", "x", "_", ",", " ", "٠",
+]
+
+
+@settings(
+    max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(st.lists(st.lists(st.sampled_from(NUMBER_PIECES), max_size=5).map("".join), min_size=40))
+def test_the_number_pattern_hides_nothing_from_the_cast(spark, texts):
+    from tablewright.functions.numbers import number_in_text
+
+    df = spark.createDataFrame([(text,) for text in texts], "s string")
+    lost = df.where(~number_in_text(F.col("s")).eqNullSafe(F.expr("try_cast(s AS double)")))
+    assert rows(lost) == []

@@ -70,7 +70,7 @@ def test_a_taken_output_name_is_an_error(points):
 
 
 def test_wide_linear_model(spark):
-    width = 1500
+    width = 500
     names = tuple(f"f{i}" for i in range(width))
     df = spark.range(5).select(
         "id", *[(F.col("id") * i).cast("double").alias(name) for i, name in enumerate(names)]
