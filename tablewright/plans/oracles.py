@@ -231,7 +231,7 @@ SQL: dict[str, str] = {
     """,
     "product_by_group": """
         SELECT l_orderkey::VARCHAR AS "GroupKey", product(l_linenumber) AS "l_linenumber_PRODUCT",
-               round(product(1.0::DOUBLE + l_tax), 6) AS "tax_factor_PRODUCT"
+               product(l_linenumber / 4.0::DOUBLE) AS "quarters_PRODUCT"
         FROM lineitem GROUP BY l_orderkey
     """,
     "product_by_group_text": """
@@ -369,8 +369,8 @@ SQL: dict[str, str] = {
         FROM (SELECT DISTINCT l_linenumber::DOUBLE AS v FROM lineitem)
     """,
     "cluster_centers": """
-        SELECT 'Cluster_0' AS "ClusterName", round(avg(l_quantity), 6) AS l_quantity,
-               round(avg(l_discount), 6) AS l_discount, round(avg(l_tax), 6) AS l_tax
+        SELECT 'Cluster_0' AS "ClusterName", round(avg(l_quantity), 9) AS l_quantity,
+               round(avg(l_discount), 9) AS l_discount, round(avg(l_tax), 9) AS l_tax
         FROM lineitem
     """,
 }
