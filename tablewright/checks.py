@@ -52,6 +52,13 @@ def require_selection(names: Sequence[str], least: int = 1) -> None:
         raise ValueError(f"at least {least} columns must be selected, got {list(names)}")
 
 
+def require_new_columns(df: DataFrame, names: Sequence[str]) -> None:
+    """Derived columns: none may share its name with an input column or with another one."""
+    taken = [name for i, name in enumerate(names) if name in df.columns or name in names[:i]]
+    if taken:
+        raise ValueError(f"the columns {taken} already exist")
+
+
 def require_disjoint(first: Sequence[str], second: Sequence[str]) -> None:
     """Selectors of one group must pick different columns."""
     shared = sorted(set(first) & set(second))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.checks import require_columns
-from tablewright.functions.arithmetic import weighted_sum
+from tablewright.functions.arithmetic import distance, weighted_sum
 from tablewright.functions.names import as_double, quoted
 
 INTERCEPT = "Intercept"
@@ -94,6 +94,11 @@ class LogisticModel:
     def required_columns(self) -> list[str]:
         return list(self.features)
 
+    def margins(self) -> list[Column]:
+        """The margin of every class but the base, in order."""
+        values = [as_double(name) for name in self.features]
+        return [weighted_sum(values, item.coefficients, item.intercept) for item in self.classes]
+
 
 @dataclass(frozen=True)
 class ClusterModel:
@@ -117,6 +122,11 @@ class ClusterModel:
     def required_columns(self) -> list[str]:
         return list(self.features)
 
+    def distances(self) -> list[Column]:
+        """The distance to every centre, in order."""
+        values = [as_double(name) for name in self.features]
+        return [distance(values, center) for center in self.centers]
+
     def centers_table(self, spark: SparkSession) -> DataFrame:
         """``ClusterName`` and one column per feature, a row per centre."""
         rows = [(label, *center) for label, center in zip(self.labels, self.centers)]

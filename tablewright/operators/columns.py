@@ -11,11 +11,12 @@ from tablewright.checks import (
     NUMERIC,
     check_integer,
     require_columns,
+    require_new_columns,
     require_selection,
 )
 from tablewright.functions.dates import DEFAULT_PATTERN, formatted_date
 from tablewright.functions.names import quoted
-from tablewright.functions.powers import product_power, sql_power
+from tablewright.functions.powers import power_name, product_power, sql_power
 from tablewright.operators.aggregates import row_count
 from tablewright.operators.hints import spread
 
@@ -51,6 +52,7 @@ def power_features(df: DataFrame, columns: Sequence[str], kind: str = "Pow2") ->
     """All columns, then ``<col>_Pow2`` = x*x or ``<col>_Pow3`` = x*x*x as doubles."""
     require_selection(columns)
     require_columns(df, columns, NUMERIC)
+    require_new_columns(df, [power_name(name, kind) for name in columns])
     return df.select("*", *[product_power(name, kind) for name in columns])
 
 
@@ -66,12 +68,14 @@ def power_features_table(df: DataFrame, columns: Sequence[str], kind: str = "Pow
     ``sinks.save_as_table_or_view``."""
     require_selection(columns)
     require_columns(df, columns, NUMERIC)
+    require_new_columns(df, [power_name(name, kind) for name in columns])
     return df.select("*", *[sql_power(name, kind) for name in columns])
 
 
 def format_date_column(df: DataFrame, column: str, pattern: str = DEFAULT_PATTERN) -> DataFrame:
     """All columns, then ``<col>_formatted``: the same instant as text in ``pattern``."""
     require_columns(df, [column], DATETIME)
+    require_new_columns(df, [f"{column}_formatted"])
     return df.select("*", formatted_date(column, pattern))
 
 

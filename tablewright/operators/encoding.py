@@ -7,10 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.checks import CATEGORICAL, check_integer, require_columns, require_selection
+from tablewright.checks import (
+    CATEGORICAL,
+    check_integer,
+    require_columns,
+    require_new_columns,
+    require_selection,
+)
 from tablewright.functions.names import quoted
 from tablewright.models import Encoding
-from tablewright.operators.scoring import require_new_columns
 
 MOST_CATEGORIES = 1000
 

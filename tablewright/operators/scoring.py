@@ -7,13 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.functions.arithmetic import (
-    MOST_PLAIN_TERMS,
-    array_distances,
-    array_weighted_sums,
-    distance,
-    weighted_sum,
-)
+from tablewright.checks import require_new_columns
+from tablewright.functions import arithmetic
 from tablewright.functions.names import as_double, quoted
 from tablewright.models import (
     ClusterModel,
@@ -29,13 +24,6 @@ PREDICTED_CLASS = "PRED"
 CLUSTER = "cluster"
 
 
-def require_new_columns(df: DataFrame, names: list[str]) -> None:
-    """A derived column must not share its name with an input column."""
-    taken = [name for name in names if name in df.columns]
-    if taken:
-        raise ValueError(f"the input already has the columns {taken}")
-
-
 def predict_linear(
     df: DataFrame, model: LinearModel | MixedLinearModel, prediction: str = PREDICTION
 ) -> DataFrame:
@@ -57,28 +45,27 @@ def predict_class(
     require_model_columns(df, model)
     require_new_columns(df, [prediction])
     values = [as_double(name) for name in model.features]
-    weights = [item.coefficients for item in model.classes]
-    starts = [item.intercept for item in model.classes]
     labels = [item.label for item in model.classes]
     passed = [quoted(name) for name in df.columns]
     # Margins and the largest of them get projections of their own, so that each is computed
     # once per row however many classes refer to it.
-    if len(values) * len(labels) <= MOST_PLAIN_TERMS:
+    if len(values) * len(labels) <= arithmetic.MOST_PLAIN_TERMS:
         names = [f"__margin_{i}" for i in range(len(labels))]
         margins = [F.col(name) for name in names]
         scored = df.select(
-            *passed,
-            *[
-                weighted_sum(values, row, start).alias(name)
-                for row, start, name in zip(weights, starts, names)
-            ],
+            *passed, *[margin.alias(name) for name, margin in zip(names, model.margins())]
         ).select("*", _greatest(margins).alias("__top"))
         winner = _first_match(F.col("__top"), margins, labels)
     else:
         scored = (
             df.select(*passed, F.array(*values).alias("__point"))
             .select(
-                *passed, array_weighted_sums(F.col("__point"), weights, starts).alias("__margins")
+                *passed,
+                arithmetic.array_weighted_sums(
+                    F.col("__point"),
+                    [item.coefficients for item in model.classes],
+                    [item.intercept for item in model.classes],
+                ).alias("__margins"),
             )
             .select(*passed, "__margins", F.array_max("__margins").alias("__top"))
         )
@@ -119,15 +106,15 @@ def score_clusters(df: DataFrame, model: ClusterModel, cluster: str = CLUSTER) -
     require_new_columns(df, [*names, cluster])
     values = [as_double(name) for name in model.features]
     passed = [quoted(name) for name in df.columns]
-    if len(values) * len(names) <= MOST_PLAIN_TERMS:
+    if len(values) * len(names) <= arithmetic.MOST_PLAIN_TERMS:
         distances = [quoted(name) for name in names]
         scored = df.select(
-            *passed, *[distance(values, c).alias(n) for n, c in zip(names, model.centers)]
+            *passed, *[gap.alias(name) for name, gap in zip(names, model.distances())]
         ).select("*", _least(distances).alias("__nearest"))
         label = _first_match(F.col("__nearest"), distances, model.labels)
         return scored.select(*passed, *distances, label.alias(cluster))
     scored = df.select(*passed, F.array(*values).alias("__point")).select(
-        *passed, array_distances(F.col("__point"), model.centers).alias("__distances")
+        *passed, arithmetic.array_distances(F.col("__point"), model.centers).alias("__distances")
     )
     nearest = F.array_position("__distances", F.array_min("__distances"))
     return scored.select(

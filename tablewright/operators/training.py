@@ -42,7 +42,9 @@ FEW_FEATURES = 5
 WIDEST_MATRIX = 4096
 
 
-def _numbers(df: DataFrame, features: Sequence[str], target: str | None, invalid_rows: str):
+def _numbers(
+    df: DataFrame, features: Sequence[str], target: str | None, invalid_rows: str
+) -> DataFrame:
     """Features as doubles ``x0..`` and the target as ``label``; nothing else is read.
 
     With "skip", rows with a null or NaN are left out; with "error" they are still there.
@@ -80,7 +82,7 @@ def _moments(numbers: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         *[F.avg(name).alias(f"m{i}") for i, name in enumerate(names)],
         *[F.covar_pop(names[i], names[j]).alias(f"c{i}_{j}") for i, j in pairs],
     ).first()
-    if row["n"] == row["unknown"]:
+    if row["n"] == 0:
         raise ValueError("there are no rows to fit")
     if row["unknown"]:
         raise ValueError(f"{row['unknown']} rows have a null or NaN in the columns to fit")
@@ -88,6 +90,8 @@ def _moments(numbers: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     covariances = np.zeros((len(names), len(names)))
     for i, j in pairs:
         covariances[i, j] = covariances[j, i] = row[f"c{i}_{j}"]
+    if not np.isfinite(covariances).all():
+        raise ValueError("the columns to fit hold infinite or too large values")
     return means, covariances
 
 

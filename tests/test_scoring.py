@@ -29,8 +29,7 @@ PLAY = LogisticModel(
 @pytest.fixture
 def as_arrays(monkeypatch):
     """Make every model take the way meant for many features."""
-    for module in (arithmetic, scoring):
-        monkeypatch.setattr(module, "MOST_PLAIN_TERMS", 0)
+    monkeypatch.setattr(arithmetic, "MOST_PLAIN_TERMS", 0)
 
 
 @pytest.fixture(params=["plain", "arrays"])
