@@ -134,7 +134,7 @@ def test_persisted_input_is_released(spark):
 
 
 @settings(
-    max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+    max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
 )
 @given(
     st.lists(
@@ -143,7 +143,8 @@ def test_persisted_input_is_released(spark):
             st.one_of(st.none(), st.integers(-3, 3)),
             st.one_of(st.none(), st.sampled_from(["", "0", "x", "-0", "1e0", "00", "nan", "0x0"])),
         ),
-        max_size=30,
+        min_size=10,
+        max_size=60,
     )
 )
 def test_good_and_bad_rows_are_the_input(spark, data):

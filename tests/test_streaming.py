@@ -36,7 +36,7 @@ def lines(spark, folder):
 @pytest.fixture
 def stream(spark, lines):
     path = shared_folder(spark, "stream-input")
-    lines.repartition(3).write.parquet(path)
+    lines.repartition(2).write.parquet(path)
     return spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
