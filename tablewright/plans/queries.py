@@ -132,7 +132,7 @@ def save_dataset_text(spark: SparkSession, folder: str) -> DataFrame:
     """Whole texts with quotes, separators and line breaks, tab separated."""
     documents = table(spark, folder, "documents")
     path = sinks.save_dataset(
-        documents, shared_folder(spark, "documents"), "csv", sep="\t", max_records_per_file=100_000
+        documents, shared_folder(spark, "documents"), "csv", sep="\t", max_records_per_file=20_000
     )
     return sources.read_dataset(spark, path, "csv", documents.schema, sep="\t", multi_line=True)
 

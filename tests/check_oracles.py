@@ -62,7 +62,9 @@ def differences(spark, connection, folder: str, name: str) -> str:
         return f"columns {sorted(result.columns)} against {sorted(names)}"
     if len(got) != len(want):
         return f"{len(got)} rows against {len(want)}"
-    wrong = [(g, w) for g, w in zip(got, want) if g != w or list(map(type, g)) != list(map(type, w))]
+    wrong = [
+        (g, w) for g, w in zip(got, want) if g != w or list(map(type, g)) != list(map(type, w))
+    ]
     return f"{len(wrong)} rows differ, first {wrong[0]}" if wrong else ""
 
 

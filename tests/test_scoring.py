@@ -124,7 +124,7 @@ def test_many_classes_against_probabilities(spark, either_way):
         "base",
     )
     data = random.normal(size=(300, 3)).round(3)
-    df = spark.createDataFrame([tuple(map(float, row)) for row in data], "x double, y double, z double")
+    df = spark.createDataFrame([tuple(map(float, row)) for row in data], ["x", "y", "z"])
     for row in scoring.predict_class(df, model).collect():
         margins = [float(s + w @ np.array(row[:3])) for w, s in zip(weights, starts)]
         assert row["PRED"] == probabilities(margins, labels, "base")
@@ -140,7 +140,9 @@ def test_equal_margins_go_to_the_class_listed_first(spark, either_way):
 
 
 def test_predict_class_keeps_the_input_columns(spark):
-    df = spark.createDataFrame([(70, 80, "yes", "k")], "temperature long, humidity long, play string, `a.b` string")
+    df = spark.createDataFrame(
+        [(70, 80, "yes", "k")], ["temperature", "humidity", "play", "a.b"]
+    )
     scored = scoring.predict_class(df, PLAY)
     assert scored.columns == ["temperature", "humidity", "play", "a.b", "PRED"]
 

@@ -232,3 +232,22 @@ def test_shared_folder(spark):
     assert first != second
     if base:
         assert first.startswith(base)
+
+
+class _Cluster:
+    """Just enough of a session to ask for its settings."""
+
+    def __init__(self, **settings):
+        self.conf = self
+        self.settings = settings
+
+    def get(self, key, default=None):
+        return self.settings.get(key, default)
+
+
+def test_only_a_local_session_may_go_without_a_shared_folder():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(_Cluster(**{"spark.master": "yarn"}), "x")
+    assert shared_folder(_Cluster(**{"spark.master": "local[2]"}), "x")
+    folder = shared_folder(_Cluster(**{"spark.checkpoint.dir": "hdfs://name/dir/"}), "x")
+    assert folder.startswith("hdfs://name/dir/tablewright/x-")

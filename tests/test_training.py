@@ -39,7 +39,9 @@ def lasso(x: np.ndarray, y: np.ndarray, penalty: float, intercept: bool):
     return w, mean_y - mean_x @ w
 
 
-@pytest.mark.parametrize("penalty, intercept", [(0.01, False), (0.3, True), (0.0, True), (50.0, True)])
+@pytest.mark.parametrize(
+    "penalty, intercept", [(0.01, False), (0.3, True), (0.0, True), (50.0, True)]
+)
 def test_lasso_against_coordinate_descent(spark, either_way, penalty, intercept):
     random = np.random.default_rng(1)
     x = random.normal(size=(200, 3)) * [1.0, 5.0, 0.2] + [0.5, 20.0, -3.0]
@@ -94,7 +96,8 @@ def test_constant_feature_and_constant_target(spark, either_way):
         (F.col("id") * 2 + 1).alias("z"),
     )
     model = training.fit_linear_regression(df, "z", ["c", "x"], 0, True)
-    assert scoring.predict_linear(df, model).selectExpr("max(abs(prediction - z))").first()[0] < 1e-6
+    errors = scoring.predict_linear(df, model).selectExpr("max(abs(prediction - z))")
+    assert errors.first()[0] < 1e-6
     flat = training.fit_linear_regression(df, "y", ["x"], 0, True)
     assert flat.coefficients == pytest.approx((0.0,)) and flat.intercept == pytest.approx(3.0)
 
@@ -108,6 +111,12 @@ def test_rows_with_holes(spark, either_way, hole):
     assert (*model.coefficients, model.intercept) == pytest.approx((2.0, 1.0))
 
 
+def test_infinite_values_are_an_error(spark, either_way):
+    df = spark.createDataFrame([(1.0, 3.0), (float("inf"), 5.0), (3.0, 7.0)], "x double, y double")
+    with pytest.raises(Exception, match="(?i)infin"):
+        training.fit_linear_regression(df, "y", ["x"], 0, True)
+
+
 def test_fit_arguments(manufactured, spark):
     with pytest.raises(ValueError, match="two purposes"):
         training.fit_linear_regression(manufactured, "columnA", ["columnA"])
@@ -236,7 +245,9 @@ def test_kmeans_centres_do_not_depend_on_the_partitions(spark, folder):
 def test_kmeans_invariants(spark, folder):
     lines = spark.read.parquet(f"{folder}/lineitem.parquet")
     features = ["l_quantity", "l_extendedprice"]
-    low_high = lines.selectExpr(*[f"{agg}({f})" for f in features for agg in ("min", "max")]).first()
+    low_high = lines.selectExpr(
+        *[f"{bound}({name})" for name in features for bound in ("min", "max")]
+    ).first()
     previous = float("inf")
     for iterations in (1, 3, 20):
         model = training.fit_kmeans(lines, features, max_iter=iterations, seed=1)
