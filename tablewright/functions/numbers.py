@@ -18,7 +18,14 @@ NUMBER_PATTERN = (
     r"[\x00-\x20\x7f]*$"
 )
 
+# A number starts with a digit, a sign, a point or a blank, all of them at or below
+# "9", or with the first letter of Infinity or NaN, or with a delete character.
+LAST_DIGIT = 57
+OTHER_STARTS = (73, 78, 105, 110, 127)
+
 
 def number_in_text(text: Column) -> Column:
     """``text`` as a double, null when it is no number."""
-    return F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
+    first = F.ascii(text)
+    may_be_number = (first <= LAST_DIGIT) | first.isin(*OTHER_STARTS)
+    return F.when(may_be_number & text.rlike(NUMBER_PATTERN), text.try_cast("double"))
