@@ -18,11 +18,12 @@ WINDOW = 10
 
 # Words of benchmark items that one automaton may hold: about 60 bytes a word and window place.
 AUTOMATON_WORDS = 200_000
+UNKNOWN = "\0"
 
 # In UTF-8 every byte of a character beyond ASCII is 128 or more, so whole texts can be
 # normalised as bytes: A-Z to a-z, all else of ASCII but letters and digits to spaces.
 NORMAL = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
-WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")  # the same words before lower-casing
 
 
 def words(text: str) -> list[bytes]:
@@ -30,40 +31,41 @@ def words(text: str) -> list[bytes]:
 
 
 class Automaton:
-    """Windows of all items; ``scan`` gives the words hit and the items found."""
+    """Windows of all items; ``scan`` gives the words hit and the items found.
+
+    Each word of the items is one letter of the automaton's alphabet, any other word is UNKNOWN. No
+    window holds that, so a text falls into runs of known words, and only long enough ones are scanned.
+    """
 
     def __init__(self, items: list[tuple[str, str]], window: int):
-        self.numbers: dict[bytes, int] = {}
-        windows: dict[tuple[int, ...], set[str]] = {}
+        self.letters: dict[bytes, str] = {}
+        windows: dict[str, set[str]] = {}
         for item, text in items:
-            line = [self.numbers.setdefault(w, len(self.numbers) + 1) for w in words(text)]
+            line = "".join([self.letters.setdefault(w, chr(len(self.letters) + 1)) for w in words(text)])
             for start in range(max(1, len(line) - window + 1) if line else 0):
-                windows.setdefault(tuple(line[start : start + window]), set()).add(item)
-        self.tree = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+                windows.setdefault(line[start : start + window], set()).add(item)
+        self.tree = ahocorasick.Automaton()
         for sequence, found in windows.items():
             self.tree.add_word(sequence, (len(sequence), found))
-        self.empty = not windows
-        if not self.empty:
+        if windows:
             self.tree.make_automaton()
+        self.shortest = min(map(len, windows), default=0)
 
     def scan(self, line: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
         """Intervals [first, last] of word places, merged and ascending; ids of items that occur."""
         spans: list[tuple[int, int]] = []
         found: set[str] = set()
-        if self.empty or not line:
+        if not self.shortest:
             return spans, found
-        number = self.numbers.get
-        for end, (length, items) in self.tree.iter(tuple([number(w, 0) for w in line])):
-            start = end - length + 1
-            found |= items
-            # ends ascend, starts need not: a short item may end inside what a longer one covers
-            while spans and spans[-1][0] >= start:
-                spans.pop()
-            if spans and spans[-1][1] >= start - 1:
-                spans[-1] = (spans[-1][0], end)
-            else:
-                spans.append((start, end))
-        return spans, found
+        letter = self.letters.get
+        at = 0
+        for run in "".join([letter(w, UNKNOWN) for w in line]).split(UNKNOWN):
+            if len(run) >= self.shortest:
+                for end, (length, items) in self.tree.iter(run):
+                    spans.append((at + end - length + 1, at + end))
+                    found |= items
+            at += len(run) + 1
+        return merged(spans), found
 
 
 def offsets(text: str, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -97,7 +99,7 @@ def make_scanner(parts: list[list[tuple[str, str]]], window: int):
             for i, line in enumerate(lines):
                 hit, items = automaton.scan(line)
                 if items:
-                    spans[i] = merged(spans[i] + hit) if spans[i] else hit
+                    spans[i] = merged(spans[i] + hit)
                     found[i] |= items
         return lines, spans, found
 
