@@ -8,6 +8,7 @@ then dealt to its places by their rank among pieces of equal length, which Spark
 from __future__ import annotations
 
 import bisect
+import functools
 import json
 import re
 import zlib
@@ -127,8 +128,14 @@ class WordTokenizer:
         return np.concatenate(out) if out else np.zeros(0, np.uint32)
 
 
+@functools.lru_cache(1)
+def worker_tokenizer(file: str) -> WordTokenizer:
+    """One per worker process: its words stay known from task to task."""
+    return WordTokenizer(file)
+
+
 def make_pieces(file: str, capacity: int, keep_ids: bool):
-    tokenizer = WordTokenizer(file)
+    tokenizer = worker_tokenizer(file)
 
     def pieces(texts):
         rows, numbers, starts, lengths, sums, ids = [], [], [], [], [], []
