@@ -12,9 +12,10 @@ The order used is by rising number of sets that share a signature. Signatures th
 first, and a set with more than k of those has no partner at all. This settles most sets, and all that
 merely share a frequent passage, before any pair exists.
 
-Pairs are made in two steps. First every set is paired with the first set of each of its signatures and the
-pairs are checked exactly; then only sets that share a signature but not yet a component are paired. A large group of
-near copies thus costs one pair per member, and no link between components is lost.
+Pairs are made in three steps, checked exactly after each. First every set is paired with the first set of each of its
+signatures; then sets that share a signature but not yet a component with the nearest one of another
+component; then with all of other components that sizes and sketches leave possible. A large group of
+near copies thus costs a few pairs per member, and no link between components is lost.
 """
 
 from __future__ import annotations
@@ -125,17 +126,18 @@ def even_buckets(spark: SparkSession, n: int) -> list[int]:
     return [found[p] for p in range(n)]
 
 
+SKETCH_BITS = 512
 PLAIN_ENTRY = np.dtype([("key", "<i8"), ("n", "<u2")])
-PAYLOAD_ENTRY = np.dtype([("key", "<i8"), ("payload", "<i8"), ("n", "<u2")])
+CANDIDATE_ENTRY = np.dtype([("key", "<i8"), ("root", "<i8"), ("size", "<u4"), ("sketch", "<u8", (SKETCH_BITS // 64,)), ("n", "<u2")])
 MOST_IN_ENTRY = 60_000
 DEALT = "bucket int, entries binary, signs binary"
 
 
-def deal(keys: np.ndarray, payload: np.ndarray | None, groups: list[np.ndarray], numbers: list[int]) -> pa.RecordBatch:
-    """Signatures of sets (groups[i] are those of keys[i]) by bucket.
+def deal(table: np.ndarray, groups: list[np.ndarray], numbers: list[int]) -> pa.RecordBatch:
+    """Signatures of sets (groups[i] are those of the entry table[i]) by bucket.
 
-    A row of a bucket holds entries (key, payload if any, count) and then the signatures of all entries without
-    the high bits that make the bucket. The lowest bit of a signature is free for a mark.
+    A row of a bucket holds entries (key, count, and more for candidates) and then the signatures of all entries
+    without the high bits that make the bucket. The lowest bit of a signature is free for a mark.
     """
     flat = np.concatenate(groups) if groups else np.zeros(0, np.uint64)
     if not len(flat):
@@ -148,10 +150,8 @@ def deal(keys: np.ndarray, payload: np.ndarray | None, groups: list[np.ndarray],
     place = np.arange(len(flat))
     since = place - np.maximum.accumulate(np.where(starts, place, 0))
     new = np.flatnonzero(since % MOST_IN_ENTRY == 0)
-    entry = np.zeros(len(new), PLAIN_ENTRY if payload is None else PAYLOAD_ENTRY)
-    entry["key"], entry["n"] = keys[owner[new]], np.diff(np.append(new, len(flat)))
-    if payload is not None:
-        entry["payload"] = payload[owner[new]]
+    entry = table[owner[new]]
+    entry["n"] = np.diff(np.append(new, len(flat)))
     low = flat.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :SIGNATURE_BYTES]
     where = bucket[new]
     cut = np.append(np.flatnonzero(np.concatenate([[True], where[1:] != where[:-1]])), len(new))
@@ -167,33 +167,30 @@ def deal(keys: np.ndarray, payload: np.ndarray | None, groups: list[np.ndarray],
 
 
 def gathered(batches, numbers: list[int], kind: np.dtype):
-    """What several keys of a partition share, sorted by signature and key: group, key, payload, signature, mark."""
+    """What several keys of a partition share, sorted by signature and key: group, entry, signature, mark."""
     places = {number: place for place, number in enumerate(numbers)}
-    signs, keys, loads = [], [], []
+    signs, entries = [], []
     for batch in batches:
-        for number, entries, low in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            entry = np.frombuffer(entries, kind)
+        for number, entry, low in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            entries.append(np.frombuffer(entry, kind))
             wide = np.zeros((len(low) // SIGNATURE_BYTES, 8), np.uint8)
             wide[:, :SIGNATURE_BYTES] = np.frombuffer(low, np.uint8).reshape(-1, SIGNATURE_BYTES)
             signs.append(wide.view("<u8").ravel() | np.uint64(places[number]) << np.uint64(8 * SIGNATURE_BYTES))
-            keys.append(np.repeat(entry["key"], entry["n"]))
-            if "payload" in kind.names:
-                loads.append(np.repeat(entry["payload"], entry["n"]))
     sign = np.concatenate(signs) if signs else np.zeros(0, np.uint64)
-    key = np.concatenate(keys) if keys else np.zeros(0, np.int64)
-    load = np.concatenate(loads) if loads else None
-    signs, keys, loads = [], [], []
+    entry = np.concatenate(entries) if entries else np.zeros(0, kind)
+    owner = np.repeat(np.arange(len(entry)), entry["n"])
+    signs, entries = [], []
     mark, sign = (sign & np.uint64(1)).astype(np.uint8), sign >> np.uint64(1)
     order = np.argsort(sign)
     same = sign[order[1:]] == sign[order[:-1]]
     order = order[np.append(same, False) | np.insert(same, 0, False)] if len(order) else order
+    key = entry["key"][owner]
     order = order[np.lexsort((key[order], sign[order]))]
-    once = changes(sign[order]) | changes(key[order])
-    order = order[once]
+    order = order[changes(sign[order]) | changes(key[order])]
     group = np.cumsum(changes(sign[order])) - 1
     order = order[np.bincount(group)[group] > 1] if len(group) else order
     group = np.cumsum(changes(sign[order])) - 1
-    return group, key[order], None if load is None else load[order], sign[order], mark[order]
+    return group, entry[owner[order]] if kind.names == PLAIN_ENTRY.names else (entry, owner[order]), sign[order], mark[order]
 
 
 def changes(x: np.ndarray) -> np.ndarray:
@@ -224,6 +221,12 @@ def sets_of(texts: DataFrame) -> DataFrame:
     return map_texts(texts, ["id"], "text", "key long, n long, own long, after long", make_facts)
 
 
+def plain(keys: list[int]) -> np.ndarray:
+    entry = np.zeros(len(keys), PLAIN_ENTRY)
+    entry["key"] = keys
+    return entry
+
+
 def dealt_signatures(texts: DataFrame, numbers: list[int]) -> DataFrame:
     """Signatures of all sets by bucket, marked 1 in the next band; a task signs equal sets once."""
 
@@ -244,88 +247,124 @@ def dealt_signatures(texts: DataFrame, numbers: list[int]) -> DataFrame:
                 groups.append(np.concatenate(signs))
                 total += len(groups[-1])
                 if total > DEALT_AT_ONCE:
-                    yield deal(np.array(keys, np.int64), None, groups, numbers)
+                    yield deal(plain(keys), groups, numbers)
                     keys, groups, total = [], [], 0
         if groups:
-            yield deal(np.array(keys, np.int64), None, groups, numbers)
+            yield deal(plain(keys), groups, numbers)
 
     return texts.select("text").mapInArrow(run, DEALT).repartition(len(numbers), "bucket")
 
 
-SHARED = np.dtype([("sign", "<u8"), ("many", "<u4"), ("after", "u1")])
+SHARED = np.dtype([("key", "<i8"), ("sign", "<u8"), ("many", "<u4"), ("after", "u1")])
+FACT = np.dtype([("key", "<i8"), ("id", "<i8"), ("n", "<i8"), ("own", "<i8"), ("after", "<i8")])
+BY_KEY = "bucket int, shared binary, facts binary"
+
+
+def deal_by_key(rows: np.ndarray, name: str, numbers: list[int]) -> pa.RecordBatch:
+    """Rows that have a key, by bucket of the key."""
+    bucket = ((mixed(rows["key"].astype(np.uint64)) >> np.uint64(32)) * np.uint64(len(numbers))) >> np.uint64(32)
+    order = np.argsort(bucket, kind="stable")
+    rows, bucket = rows[order], bucket[order]
+    cut = np.append(np.flatnonzero(changes(bucket)), len(rows))
+    blobs = pa.array([rows[i:j].tobytes() for i, j in zip(cut, cut[1:], strict=False)], pa.binary())
+    none = pa.nulls(len(blobs), pa.binary())
+    return pa.RecordBatch.from_arrays(
+        [pa.array([numbers[int(bucket[i])] for i in cut[:-1]], pa.int32()), *((blobs, none) if name == "shared" else (none, blobs))],
+        ["bucket", "shared", "facts"],
+    )
 
 
 def shared_signatures(dealt: DataFrame, numbers: list[int]) -> DataFrame:
-    """key, shared: per bucket, the signatures of a set that other sets have too, and how many have them."""
+    """By bucket of key: the signatures of a set that other sets have too, and how many have them."""
 
     def run(batches):
-        group, key, _, sign, mark = gathered(batches, numbers, PLAIN_ENTRY)
-        if not len(group):
-            return
-        rows = np.zeros(len(group), SHARED)
-        rows["sign"], rows["many"], rows["after"] = sign, np.bincount(group)[group], mark
-        order = np.argsort(key, kind="stable")
-        key, rows = key[order], rows[order]
-        cut = np.append(np.flatnonzero(changes(key)), len(key))
-        for start in range(0, len(cut) - 1, 20_000):
-            part = cut[start : start + 20_001]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(key[part[:-1]], pa.int64()),
-                    pa.array([rows[i:j].tobytes() for i, j in zip(part, part[1:], strict=False)], pa.binary()),
-                ],
-                ["key", "shared"],
-            )
-
-    return dealt.mapInArrow(run, "key long, shared binary")
-
-
-def candidates(shared: DataFrame, sets: DataFrame) -> DataFrame:
-    """key, id, n, signs: the sets that may have partners, with the shared ones of their first k + 1 signatures.
+        group, entry, sign, mark = gathered(batches, numbers, PLAIN_ENTRY)
+        if len(group):
+            rows = np.zeros(len(group), SHARED)
+            rows["key"], rows["sign"], rows["many"], rows["after"] = entry["key"], sign, np.bincount(group)[group], mark
+            yield deal_by_key(rows, "shared", numbers)
 
-    ``empty_own`` and ``empty_after`` say how many empty parts belong to those, which is rare: sets that fill k parts at most.
-    """
+    return dealt.mapInArrow(run, BY_KEY)
+
+
+def facts_by_key(sets: DataFrame, numbers: list[int]) -> DataFrame:
     one = sets.where("n > 0").groupBy("key").agg(
         F.min("id").alias("id"), F.first("n").alias("n"), F.first("own").alias("own"), F.first("after").alias("after")
     )
-    # All of a set's signatures: bounded by its own text.
-    joined = shared.groupBy("key").agg(F.collect_list("shared").alias("shared")).join(one, "key", "right")
 
     def run(batches):
         for batch in batches:
-            out = [[], [], [], [], [], []]
-            for key, parts, id_, n, own, after in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                rows = np.concatenate([np.frombuffer(x, SHARED) for x in parts]) if parts else np.zeros(0, SHARED)
-                band, signs, empty = BANDS.of(n), [], []
-                for side, filled in enumerate((own, after)):
-                    most = BANDS.differences(band + side)
-                    mine = rows[rows["after"] == side]
-                    places = most + 1 - (filled - len(mine))
-                    if filled and places > 0:
-                        signs.append(mine["sign"][np.lexsort((mine["sign"], mine["many"]))][:places])
-                    empty.append(max(0, most + 1 - filled) if filled else 0)
-                if any(map(len, signs)) or any(empty):
-                    flat = np.concatenate([*signs, np.zeros(0, np.uint64)]).astype("<u8")
-                    for column, value in zip(out, (key, id_, n, flat.tobytes(), *empty), strict=True):
-                        column.append(value)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32()), strict=True)],
-                ["key", "id", "n", "signs", "empty_own", "empty_after"],
-            )
+            rows = np.zeros(batch.num_rows, FACT)
+            for name, column in zip(FACT.names, batch.columns, strict=True):
+                rows[name] = column.to_numpy(zero_copy_only=False)
+            yield deal_by_key(rows, "facts", numbers)
 
-    return joined.select("key", "shared", "id", "n", "own", "after").mapInArrow(
-        run, "key long, id long, n long, signs binary, empty_own int, empty_after int"
-    )
+    return one.select(*FACT.names).mapInArrow(run, BY_KEY)
+
+
+def candidates(shared: DataFrame, sets: DataFrame, numbers: list[int]) -> DataFrame:
+    """key, id, n, signs: the sets that may have partners, with the shared ones of their first k + 1 signatures.
+
+    ``empty_own`` and ``empty_after`` say how many empty parts belong to those, which is rare: sets that fill k parts at most.
+    """
+
+    def run(batches):
+        parts, facts = [], []
+        for batch in batches:
+            parts += [np.frombuffer(x, SHARED) for x in batch.column(1).to_pylist() if x]
+            facts += [np.frombuffer(x, FACT) for x in batch.column(2).to_pylist() if x]
+        if not facts:
+            return
+        rows = np.concatenate([*parts, np.zeros(0, SHARED)])
+        fact = np.concatenate(facts)
+        parts, facts = [], []
+        rows = rows[np.lexsort((rows["sign"], rows["many"], rows["after"], rows["key"]))]
+        fact = fact[np.argsort(fact["key"])]
+        # a set's rows lie between its limits, those of its own band before the middle
+        limits = np.searchsorted(rows["key"], fact["key"], "left"), np.searchsorted(rows["key"], fact["key"], "right")
+        sides = np.append(0, np.cumsum(rows["after"], dtype=np.int64))
+        middle = limits[1] - (sides[limits[1]] - sides[limits[0]])
+        out = [[], [], [], [], [], []]
+        for i, one in enumerate(fact):
+            band, signs, empty = BANDS.of(int(one["n"])), [], []
+            for side, (begin, end) in enumerate(((limits[0][i], middle[i]), (middle[i], limits[1][i]))):
+                filled = int(one["after" if side else "own"])
+                most = BANDS.differences(band + side) + 1
+                places = most - (filled - (end - begin))
+                if filled and places > 0:
+                    signs.append(rows["sign"][begin : min(end, begin + places)])
+                empty.append(max(0, most - filled) if filled else 0)
+            if any(map(len, signs)) or any(empty):
+                flat = np.concatenate([*signs, np.zeros(0, np.uint64)]).astype("<u8")
+                values = (int(one["key"]), int(one["id"]), int(one["n"]), flat.tobytes(), *empty)
+                for column, value in zip(out, values, strict=True):
+                    column.append(value)
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(out, kinds, strict=True)], ["key", "id", "n", "signs", "empty_own", "empty_after"]
+        )
+
+    return (
+        shared.unionByName(facts_by_key(sets, numbers)).repartition(len(numbers), "bucket")
+        .mapInArrow(run, "key long, id long, n long, signs binary, empty_own int, empty_after int")
+    )
+
+
+def sketch(hashes: np.ndarray) -> bytes:
+    """For each of 512 classes of hashes, whether the set holds an odd number: two sets' sketches differ in no
+    more bits than the sets differ in shingles."""
+    odd = np.bincount((mixed(hashes ^ MIX[1]) % np.uint64(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
 def candidate_sets(texts: DataFrame, found: DataFrame) -> DataFrame:
-    """key, hashes, signs of the candidates, their empty parts' signatures included."""
+    """key, n, hashes, sketch and signs of the candidates, their empty parts' signatures included."""
     joined = texts.join(found.drop("n"), "id").select("text", "key", "signs", "empty_own", "empty_after")
 
     def run(batches):
         for batch in batches:
             for start in range(0, batch.num_rows, 200):
-                out = [[], [], [], []]
+                out = [[], [], [], [], []]
                 rows = batch.slice(start, 200)
                 for text, key, signs, own, after in zip(*(c.to_pylist() for c in rows.columns), strict=True):
                     hashes = shingles(text or "")
@@ -333,80 +372,106 @@ def candidate_sets(texts: DataFrame, found: DataFrame) -> DataFrame:
                         continue  # another row of the same id
                     band = BANDS.of(len(hashes))
                     more = [empty_signatures(hashes, band + side, n) for side, n in enumerate((own, after)) if n]
-                    for column, value in zip(
-                        out,
-                        (key, len(hashes), hashes.astype("<u8").tobytes(), np.concatenate([np.frombuffer(signs, "<u8"), *more]).astype("<u8").tobytes()),
-                        strict=True,
-                    ):
+                    all_signs = np.concatenate([np.frombuffer(signs, "<u8"), *more]).astype("<u8")
+                    values = (key, len(hashes), hashes.astype("<u8").tobytes(), sketch(hashes), all_signs.tobytes())
+                    for column, value in zip(out, values, strict=True):
                         column.append(value)
+                kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.binary(), pa.binary()), strict=True)],
-                    ["key", "n", "hashes", "signs"],
+                    [pa.array(c, t) for c, t in zip(out, kinds, strict=True)], ["key", "n", "hashes", "sketch", "signs"]
                 )
 
-    return joined.mapInArrow(run, "key long, n long, hashes binary, signs binary")
+    made = joined.mapInArrow(run, "key long, n long, hashes binary, sketch binary, signs binary")
+    # The joins below meet the sets where they lie.
+    return made.repartition(shuffle_partitions(texts.sparkSession), "key")
+
 
+def may_link(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """What sizes and sketches leave possible: they prove that a pair has no link, never that it has one."""
+    low, high = np.minimum(x["size"], y["size"]).astype(np.int64), np.maximum(x["size"], y["size"]).astype(np.int64)
+    return (5 * low >= 4 * high) & (9 * apart(x, y) <= low + high)
 
-def fits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Sizes that linked sets can have."""
-    return 5 * np.minimum(a, b).astype(np.int64) >= 4 * np.maximum(a, b).astype(np.int64)
+
+def apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(x["sketch"] ^ y["sketch"]).sum(-1).astype(np.int64)
 
 
 def unique_pairs(a: list[np.ndarray], b: list[np.ndarray]) -> pa.RecordBatch:
-    pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], 1), axis=0) if a else np.zeros((0, 2), np.int64)
+    """a < b, each pair once."""
+    first, second = (np.concatenate([*x, np.zeros(0, np.int64)]) for x in (a, b))
+    pairs = np.unique(np.stack([np.minimum(first, second), np.maximum(first, second)], 1), axis=0)
     return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0], pa.int64()), pa.array(pairs[:, 1], pa.int64())], ["a", "b"])
 
 
-def dealt_candidates(sets: DataFrame, numbers: list[int], payload: str) -> DataFrame:
-    """The candidates' signatures by bucket, with a number that goes along.
+def dealt_candidates(sets: DataFrame, numbers: list[int]) -> DataFrame:
+    """The candidates' signatures by bucket, with sizes, sketches and components.
 
     They were cut to bucket and low bytes before, and are mixed so that their high bits are even again.
     """
 
     def run(batches):
         for batch in batches:
-            keys, loads = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
-            groups = [mixed(np.frombuffer(s.as_py(), "<u8")) & ~np.uint64(1) for s in batch.column(2)]
-            for start in range(0, len(keys), 2000):
-                part = slice(start, start + 2000)
-                yield deal(keys[part], loads[part], groups[part], numbers)
-
-    return sets.select("key", payload, "signs").mapInArrow(run, DEALT).repartition(len(numbers), "bucket")
-
-
-def hub_pairs(dealt: DataFrame, numbers: list[int]) -> DataFrame:
-    """Each set with the first of every signature that it shares; the payload is the set's size."""
-
-    def run(batches):
-        group, key, size, _, _ = gathered(batches, numbers, PAYLOAD_ENTRY)
-        if len(group):
-            hub = np.flatnonzero(changes(group))[group]
-            good = (hub != np.arange(len(group))) & fits(size, size[hub])
-            yield unique_pairs([key[hub[good]]], [key[good]])
-
-    return dealt.mapInArrow(run, "a long, b long").distinct()
-
-
-def cross_pairs(dealt: DataFrame, numbers: list[int]) -> DataFrame:
-    """All pairs of sets that share a signature but not a component; the payload is the component."""
+            for start in range(0, batch.num_rows, 2000):
+                keys, roots, sizes, sketches, signs = batch.slice(start, 2000).columns
+                table = np.zeros(len(keys), CANDIDATE_ENTRY)
+                table["key"], table["root"], table["size"] = (x.to_numpy(zero_copy_only=False) for x in (keys, roots, sizes))
+                table["sketch"] = np.frombuffer(b"".join(sketches.to_pylist()), "<u8").reshape(len(keys), -1)
+                groups = [mixed(np.frombuffer(x, "<u8")) & ~np.uint64(1) for x in signs.to_pylist()]
+                yield deal(table, groups, numbers)
+
+    return sets.select("key", "root", "n", "sketch", "signs").mapInArrow(run, DEALT).repartition(len(numbers), "bucket")
+
+
+def hub_pairs(members: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each set with the first of a signature."""
+    good = may_link(members[1:], members[0])
+    return np.full(int(good.sum()), members["key"][0]), members["key"][1:][good]
+
+
+def nearest_pairs(members: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each set outside of the signature's largest component with the nearest one by sketch of another component."""
+    roots, place, many = np.unique(members["root"], return_inverse=True, return_counts=True)
+    a, b = [], []
+    for i in np.flatnonzero(place != many.argmax()) if len(roots) > 1 else ():
+        others = members[place != place[i]]
+        others = others[may_link(others, members[i])]
+        if len(others):
+            a.append(members["key"][i])
+            b.append(others["key"][apart(others, members[i]).argmin()])
+    return np.array(a, np.int64), np.array(b, np.int64)
+
+
+def all_pairs_between(members: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All that sets of different components leave possible."""
+    members = members[np.argsort(members["root"], kind="stable")]
+    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    ends = np.searchsorted(members["root"], members["root"], "right")
+    for i in range(len(members)):
+        others = members[ends[i] :]
+        if not len(others):
+            break
+        found = others["key"][may_link(others, members[i])]
+        a.append(np.full(len(found), members["key"][i]))
+        b.append(found)
+    return np.concatenate(a), np.concatenate(b)
+
+
+def pairs_within(dealt: DataFrame, numbers: list[int], choose) -> DataFrame:
+    """The pairs (a < b) that ``choose`` takes from the sets of each signature, each pair once."""
 
     def run(batches):
-        group, key, root, _, _ = gathered(batches, numbers, PAYLOAD_ENTRY)
+        group, (entry, owner), _, _ = gathered(batches, numbers, CANDIDATE_ENTRY)
         cut = np.append(np.flatnonzero(changes(group)), len(group))
         a, b, total = [], [], 0
         for start, end in zip(cut, cut[1:], strict=False):
-            members, roots = key[start:end], root[start:end]
-            if (roots == roots[0]).all():
-                continue
-            for i in range(len(members) - 1):
-                other = members[i + 1 :][roots[i + 1 :] != roots[i]]
-                a.append(np.full(len(other), members[i]))
-                b.append(other)
-                total += len(other)
-                if total > 500_000:
-                    yield unique_pairs(a, b)
-                    a, b, total = [], [], 0
-        if a:
+            first, second = choose(entry[owner[start:end]])
+            a.append(first)
+            b.append(second)
+            total += len(first)
+            if total > 500_000:
+                yield unique_pairs(a, b)
+                a, b, total = [], [], 0
+        if total:
             yield unique_pairs(a, b)
 
     return dealt.mapInArrow(run, "a long, b long").distinct()
@@ -463,19 +528,21 @@ def join_similar(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     numbers = even_buckets(spark, max(shuffle_partitions(spark), -(-total // BUCKET_SIGNATURES)))
 
     shared = shared_signatures(dealt_signatures(named, numbers), numbers)
-    found = kept(candidates(shared, sets.where("id is not null")))
+    found = kept(candidates(shared, sets.where("id is not null"), numbers))
     with_sets = kept(candidate_sets(named, found))
 
-    tested = kept(hub_pairs(dealt_candidates(with_sets, numbers, "n"), numbers))
+    tested = kept(pairs_within(dealt_candidates(with_sets.withColumn("root", F.col("key")), numbers), numbers, hub_pairs))
     edges = kept(linked(tested, with_sets))
     roots = components(edges)
-
-    rooted = with_sets.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
-    left = cross_pairs(dealt_candidates(rooted, numbers, "root"), numbers)
-    more = kept(linked(left.join(tested, ["a", "b"], "left_anti"), with_sets))
-    if not more.isEmpty():
-        edges = kept(edges.unionByName(more))
-        roots = components(edges)
+    # Near neighbours first: what they link need not be paired any more.
+    for choose in (nearest_pairs, all_pairs_between):
+        rooted = with_sets.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
+        new = kept(pairs_within(dealt_candidates(rooted, numbers), numbers, choose).join(tested, ["a", "b"], "left_anti"))
+        more = kept(linked(new, with_sets))
+        if not more.isEmpty():
+            edges = kept(edges.unionByName(more))
+            roots = components(edges)
+        tested = tested.unionByName(new)
 
     links = edges.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.count("*").alias("n_links"))
     whole = sets.join(roots, "key", "left").join(links, "key", "left").withColumn("root", F.coalesce("root", "key"))
