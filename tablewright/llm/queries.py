@@ -10,10 +10,22 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import decontamination, jaccard_join, line_quality, packing, secret_scan
+from tablewright.llm import (
+    decontamination,
+    html_extraction,
+    jaccard_join,
+    language_id,
+    license_scan,
+    line_quality,
+    packing,
+    pii,
+    secret_scan,
+    token_counts,
+)
 from tablewright.llm.common import parquet, ship_package
 
 TOKENIZER = "word_bpe_49k.json"
+RANKS = "byte_bpe_50k.tiktoken"
 
 
 def tokenizer_file() -> str:
@@ -41,10 +53,33 @@ def span_digests(found: DataFrame, kinds: dict[str, str]) -> DataFrame:
     )
 
 
+def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.scan_licenses(parquet(spark, folder, "documents"))
+
+
+def op2_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    pages = parquet(spark, folder, "pages")
+    return html_extraction.extract_main_text(pages, html_extraction.fit_labeller(pages))
+
+
 def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(parquet(spark, folder, "documents"), tokenizer_file())
 
 
+def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = parquet(spark, folder, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    field = language_id.fit_word_field(docs, ~held_out)
+    found = language_id.identify_language(docs, field)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op5_pii(spark: SparkSession, folder: str) -> DataFrame:
+    docs = parquet(spark, folder, "documents")
+    found = pii.find_pii(docs, pii.fit_pii_trees(docs))
+    return span_digests(found, {f"n_{kind}": kind for kind in pii.KINDS})
+
+
 def op6_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.join_similar(parquet(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
 
@@ -55,6 +90,13 @@ def op7_line_quality(spark: SparkSession, folder: str) -> DataFrame:
     return line_quality.judge_quality(docs, field)
 
 
+def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = parquet(spark, folder, "documents")
+    return token_counts.count_tokens(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+
+
 def op9_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     found = secret_scan.scan_secrets(parquet(spark, folder, "documents"))
     return span_digests(found, {"n_assign": "assign", "n_access": "access", "n_hex": "hex"})
@@ -91,9 +133,14 @@ def shipped(query: Callable) -> Callable:
 QUERIES = {
     name: shipped(query)
     for name, query in {
+        "op1_license_scan": op1_license_scan,
+        "op2_html_extraction": op2_html_extraction,
         "op3_packing": op3_packing,
+        "op4_language_id": op4_language_id,
+        "op5_pii": op5_pii,
         "op6_jaccard_join": op6_jaccard_join,
         "op7_line_quality": op7_line_quality,
+        "op8_token_counts": op8_token_counts,
         "op9_secret_scan": op9_secret_scan,
         "op10_decontamination": op10_decontamination,
         "pipeline": pipeline,
