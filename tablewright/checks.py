@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -28,16 +27,36 @@ def columns_of_class(df: DataFrame, column_class: str) -> list[str]:
     return [field.name for field in df.schema if isinstance(field.dataType, kinds)]
 
 
+def spelling(df: DataFrame) -> Callable[[str], str]:
+    """How the session tells names apart: as they are, or whatever their case."""
+    sensitive = df.sparkSession.conf.get("spark.sql.caseSensitive", "false") == "true"
+    return str if sensitive else str.lower
+
+
+def free_names(df: DataFrame, names: Sequence[str]) -> list[str]:
+    """Names for columns that come and go within an operator: like ``names``, but none of the table's."""
+    spelled = spelling(df)
+    taken, found = {spelled(name) for name in df.columns}, []
+    for name in names:
+        while spelled(name) in taken:
+            name = "_" + name
+        taken.add(spelled(name))
+        found.append(name)
+    return found
+
+
 def require_columns(
     df: DataFrame, names: Sequence[str], column_class: str = ALL, purpose: str = ""
 ) -> None:
     """Raise ``ValueError`` naming every column that is missing or of another class."""
     reason = f" needed for {purpose}" if purpose else ""
-    missing = [name for name in names if name not in df.columns]
+    spelled = spelling(df)
+    present = {spelled(name) for name in df.columns}
+    missing = [name for name in names if spelled(name) not in present]
     if missing:
         raise ValueError(f"the input is missing the columns {missing}{reason}")
-    offered = set(columns_of_class(df, column_class))
-    unfit = [name for name in names if name not in offered]
+    offered = {spelled(name) for name in columns_of_class(df, column_class)}
+    unfit = [name for name in names if spelled(name) not in offered]
     if unfit:
         raise ValueError(f"the columns {unfit}{reason} are not {column_class}")
 
@@ -54,7 +73,13 @@ def require_selection(names: Sequence[str], least: int = 1) -> None:
 
 def require_new_columns(df: DataFrame, names: Sequence[str]) -> None:
     """Derived columns: none may share its name with an input column or with another one."""
-    taken = [name for i, name in enumerate(names) if name in df.columns or name in names[:i]]
+    spelled = spelling(df)
+    seen = {spelled(name) for name in df.columns}
+    taken = []
+    for name in names:
+        if spelled(name) in seen:
+            taken.append(name)
+        seen.add(spelled(name))
     if taken:
         raise ValueError(f"the columns {taken} already exist")
 
@@ -73,19 +98,14 @@ def check_choice(name: str, value: object, allowed: Iterable[object]) -> None:
 
 
 def check_bounds(
-    name: str,
-    value: float,
-    low: float | None = None,
-    high: float | None = None,
-    low_inclusive: bool = True,
-    high_inclusive: bool = True,
+    name: str, value: float, low: float | None = None, high: float | None = None
 ) -> None:
-    """Raise when ``value`` is no number or lies outside the bounds."""
+    """Raise when ``value`` is no number or lies outside the bounds, which belong to it."""
     if isinstance(value, bool) or not isinstance(value, (int, float)) or value != value:
         raise ValueError(f"{name} must be a number, got {value!r}")
-    if low is not None and (value < low or (value == low and not low_inclusive)):
+    if low is not None and value < low:
         raise ValueError(f"{name} = {value} is below its bound {low}")
-    if high is not None and (value > high or (value == high and not high_inclusive)):
+    if high is not None and value > high:
         raise ValueError(f"{name} = {value} is above its bound {high}")
 
 
@@ -94,7 +114,3 @@ def check_integer(name: str, value: int, low: int | None = None, high: int | Non
         raise ValueError(f"{name} must be an integer, got {value!r}")
     check_bounds(name, value, low, high)
 
-
-def check_pattern(name: str, value: str, pattern: str) -> None:
-    if not isinstance(value, str) or re.fullmatch(pattern, value, re.DOTALL) is None:
-        raise ValueError(f"{name} must match {pattern!r}, got {value!r}")

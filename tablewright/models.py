@@ -183,8 +183,9 @@ class MixedLinearModel:
         return [*self.features, *[encoding.column for encoding in self.encodings]]
 
     def to_column(self) -> Column:
-        """A category adds its own coefficient and the base adds 0: one lookup per text column
-        instead of a product per indicator. An unseen or null category gives null."""
+        """A category adds its own coefficient and the base adds 0: per text column a chain of
+        comparisons, which ends at the row's category, instead of a product per indicator. An
+        unseen or null category gives null."""
         total = weighted_sum([as_double(name) for name in self.features], self.coefficients,
                              self.intercept)
         for encoding, weights in zip(self.encodings, self.category_coefficients):

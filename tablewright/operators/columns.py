@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
 from tablewright.checks import (
     DATETIME,
     NUMERIC,
     check_integer,
+    free_names,
     require_columns,
     require_new_columns,
     require_selection,
@@ -85,13 +87,29 @@ def column_values(df: DataFrame, column: str, n: int, distinct: bool = True) ->
     require_columns(df, [column])
     values = df.select(quoted(column))
     if distinct:
-        values = values.distinct()
-    return values.orderBy(quoted(column)).limit(n)
+        return values.distinct().orderBy(quoted(column)).limit(n)
+    return _first_rows(values, n)
 
 
-def pair_sample(df: DataFrame, x: str, y: str, n: int = 5000) -> DataFrame:
+def pair_sample(df: DataFrame, x: str, y: str, n: int) -> DataFrame:
     """Columns ``x`` and ``y`` of the first ``n`` rows in (x, y) order."""
     check_integer("n", n, low=1)
     require_selection([x, y], least=2)
     require_columns(df, [x, y])
-    return df.select(quoted(x), quoted(y)).orderBy(quoted(x), quoted(y)).limit(n)
+    return _first_rows(df.select(quoted(x), quoted(y)), n)
+
+
+def _first_rows(df: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` rows by all columns. The input's parts are thinned in groups before one task
+    takes the first of what the groups leave, so that it reads n rows per group, not per part."""
+    group, place = free_names(df, ["group", "place"])
+    groups = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by_all = [quoted(name) for name in df.columns]
+    return (
+        df.withColumn(group, F.spark_partition_id() % groups)
+        .withColumn(place, F.row_number().over(Window.partitionBy(group).orderBy(*by_all)))
+        .where(quoted(place) <= n)
+        .select(*by_all)
+        .orderBy(*by_all)
+        .limit(n)
+    )

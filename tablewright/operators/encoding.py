@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tablewright.checks import (
     CATEGORICAL,
     check_integer,
+    free_names,
     require_columns,
     require_new_columns,
     require_selection,
@@ -17,8 +18,6 @@ from tablewright.checks import (
 from tablewright.functions.names import quoted
 from tablewright.models import Encoding
 
-MOST_CATEGORIES = 1000
-
 
 def one_hot_encode(
     df: DataFrame, column: str, categories: Sequence[str], base: str | None = None
@@ -33,28 +32,30 @@ def apply_encodings(df: DataFrame, encodings: Sequence[Encoding]) -> DataFrame:
     require_new_columns(df, [name for encoding in encodings for name in encoding.names()])
     passed = [quoted(name) for name in df.columns]
     # Whether a value is listed at all is worked out once per row, not once per indicator.
+    flags = free_names(df, [f"known_{i}" for i in range(len(encodings))])
     known = [
-        quoted(encoding.column).isin(encoding.known()).alias(f"__known_{i}")
-        for i, encoding in enumerate(encodings)
+        quoted(encoding.column).isin(encoding.known()).alias(flag)
+        for flag, encoding in zip(flags, encodings)
     ]
     indicators = [
-        F.when(F.col(f"__known_{i}"), (quoted(encoding.column) == F.lit(value)).cast("double"))
+        F.when(quoted(flag), (quoted(encoding.column) == F.lit(value)).cast("double"))
         .alias(name)
-        for i, encoding in enumerate(encodings)
+        for flag, encoding in zip(flags, encodings)
         for value, name in zip(encoding.encoded(), encoding.names())
     ]
     return df.select(*passed, *known).select(*passed, *indicators)
 
 
 def learn_encodings(
-    df: DataFrame, columns: Sequence[str], most_categories: int = MOST_CATEGORIES
+    df: DataFrame, columns: Sequence[str], most_categories: int | None = None
 ) -> list[Encoding]:
     """The categories of each text column in sorted order, the first as base; one scan for all.
 
-    What comes back to the driver is bounded: more than ``most_categories`` in total is an error,
-    since nobody can read, or fit, a model of that width.
+    What comes back to the driver is as large as the model. With ``most_categories`` more than that
+    many in total are an error.
     """
-    check_integer("most_categories", most_categories, low=1)
+    if most_categories is not None:
+        check_integer("most_categories", most_categories, low=1)
     require_selection(columns)
     require_columns(df, columns, CATEGORICAL)
     pairs = F.array(
@@ -63,14 +64,11 @@ def learn_encodings(
             for i, name in enumerate(columns)
         ]
     )
-    found = (
-        df.select(F.inline(pairs))
-        .where(F.col("category").isNotNull())
-        .distinct()
-        .limit(most_categories + 1)
-        .collect()
-    )
-    if len(found) > most_categories:
+    different = df.select(F.inline(pairs)).where(F.col("category").isNotNull()).distinct()
+    if most_categories is not None:
+        different = different.limit(most_categories + 1)
+    found = different.collect()
+    if most_categories is not None and len(found) > most_categories:
         raise ValueError(f"more than {most_categories} categories in the columns {list(columns)}")
     encodings = []
     for i, name in enumerate(columns):

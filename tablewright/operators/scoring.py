@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.checks import require_new_columns
+from tablewright.checks import free_names, require_new_columns
 from tablewright.functions import arithmetic
 from tablewright.functions.names import as_double, quoted
 from tablewright.models import (
@@ -47,31 +47,32 @@ def predict_class(
     values = [as_double(name) for name in model.features]
     labels = [item.label for item in model.classes]
     passed = [quoted(name) for name in df.columns]
+    top, point, all_margins = free_names(df, ["top", "point", "margins"])
     # Margins and the largest of them get projections of their own, so that each is computed
     # once per row however many classes refer to it.
     if len(values) * len(labels) <= arithmetic.MOST_PLAIN_TERMS:
-        names = [f"__margin_{i}" for i in range(len(labels))]
+        names = free_names(df, [f"margin_{i}" for i in range(len(labels))])
         margins = [F.col(name) for name in names]
         scored = df.select(
             *passed, *[margin.alias(name) for name, margin in zip(names, model.margins())]
-        ).select("*", _greatest(margins).alias("__top"))
-        winner = _first_match(F.col("__top"), margins, labels)
+        ).select("*", _greatest(margins).alias(top))
+        winner = _first_match(F.col(top), margins, labels)
     else:
         scored = (
-            df.select(*passed, F.array(*values).alias("__point"))
+            df.select(*passed, F.array(*values).alias(point))
             .select(
                 *passed,
                 arithmetic.array_weighted_sums(
-                    F.col("__point"),
+                    F.col(point),
                     [item.coefficients for item in model.classes],
                     [item.intercept for item in model.classes],
-                ).alias("__margins"),
+                ).alias(all_margins),
             )
-            .select(*passed, "__margins", F.array_max("__margins").alias("__top"))
+            .select(*passed, all_margins, F.array_max(all_margins).alias(top))
         )
-        winner = _label_at(F.array_position("__margins", F.col("__top")), labels)
+        winner = _label_at(F.array_position(all_margins, F.col(top)), labels)
     # A null feature makes every margin null, and the largest one with them.
-    chosen = F.when(F.col("__top") < 0.0, F.lit(model.base)).otherwise(winner)
+    chosen = F.when(F.col(top) < 0.0, F.lit(model.base)).otherwise(winner)
     return scored.select(*passed, chosen.alias(prediction))
 
 
@@ -106,20 +107,21 @@ def score_clusters(df: DataFrame, model: ClusterModel, cluster: str = CLUSTER) -
     require_new_columns(df, [*names, cluster])
     values = [as_double(name) for name in model.features]
     passed = [quoted(name) for name in df.columns]
+    nearest_gap, point, gaps = free_names(df, ["nearest", "point", "distances"])
     if len(values) * len(names) <= arithmetic.MOST_PLAIN_TERMS:
         distances = [quoted(name) for name in names]
         scored = df.select(
             *passed, *[gap.alias(name) for name, gap in zip(names, model.distances())]
-        ).select("*", _least(distances).alias("__nearest"))
-        label = _first_match(F.col("__nearest"), distances, model.labels)
+        ).select("*", _least(distances).alias(nearest_gap))
+        label = _first_match(F.col(nearest_gap), distances, model.labels)
         return scored.select(*passed, *distances, label.alias(cluster))
-    scored = df.select(*passed, F.array(*values).alias("__point")).select(
-        *passed, arithmetic.array_distances(F.col("__point"), model.centers).alias("__distances")
+    scored = df.select(*passed, F.array(*values).alias(point)).select(
+        *passed, arithmetic.array_distances(F.col(point), model.centers).alias(gaps)
     )
-    nearest = F.array_position("__distances", F.array_min("__distances"))
+    nearest = F.array_position(gaps, F.array_min(gaps))
     return scored.select(
         *passed,
-        *[F.get("__distances", F.lit(i)).alias(name) for i, name in enumerate(names)],
+        *[F.get(gaps, F.lit(i)).alias(name) for i, name in enumerate(names)],
         _label_at(nearest, model.labels).alias(cluster),
     )
 
@@ -129,13 +131,15 @@ def confusion_matrix(df: DataFrame, model: LogisticModel) -> DataFrame:
     require_model_columns(df, model, with_target=True)
     # Only the model's own columns travel on: the scan reads nothing else.
     used = list(dict.fromkeys([*model.required_columns(), model.target]))
-    scored = predict_class(df.select(*[quoted(name) for name in used]), model, "__predicted")
-    return aggregates.count_pairs(scored, model.target, "__predicted")
+    narrow = df.select(*[quoted(name) for name in used])
+    [predicted] = free_names(narrow, ["predicted"])
+    return aggregates.count_pairs(predict_class(narrow, model, predicted), model.target, predicted)
 
 
 def evaluate_regression(df: DataFrame, model: LinearModel | MixedLinearModel) -> DataFrame:
     """Score, then the one-row table of ``regression_metrics``."""
     require_model_columns(df, model, with_target=True)
     used = list(dict.fromkeys([*model.required_columns(), model.target]))
-    scored = predict_linear(df.select(*[quoted(name) for name in used]), model, "__prediction")
-    return aggregates.regression_metrics(scored, "__prediction", model.target)
+    narrow = df.select(*[quoted(name) for name in used])
+    [predicted] = free_names(narrow, ["predicted"])
+    return aggregates.regression_metrics(predict_linear(narrow, model, predicted), predicted, model.target)

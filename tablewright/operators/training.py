@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 import numpy as np
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,11 +21,13 @@ from tablewright.checks import (
     require_columns,
     require_disjoint,
     require_selection,
+    spelling,
 )
 from tablewright.functions.names import as_double, quoted
 from tablewright.functions.quality import any_of
-from tablewright.models import ClusterModel, LinearModel, MixedLinearModel, small_table
-from tablewright.operators.encoding import MOST_CATEGORIES, apply_encodings, learn_encodings
+from tablewright.models import ClusterModel, Encoding, LinearModel, MixedLinearModel, small_table
+from tablewright.operators.encoding import learn_encodings
+from tablewright.operators.hints import persisted
 from tablewright.operators.scoring import evaluate_regression
 
 # Defaults of the estimators the operators stand for.
@@ -38,8 +40,9 @@ INVALID_ROWS = ("error", "skip")
 # Up to here the covariances of features and target fit into one generated aggregate, which
 # Spark limits to 100 fields.
 FEW_FEATURES = 5
-# Up to here Spark's estimator sums a matrix in one pass; beyond, it iterates over the rows.
-WIDEST_MATRIX = 4096
+# One precision for every width; a fit that has not reached it is an error.
+TOLERANCE = 1e-10
+MOST_ITERATIONS = 1000
 
 
 def _numbers(
@@ -57,14 +60,30 @@ def _numbers(
     return numbers.na.drop("any") if invalid_rows == "skip" else numbers
 
 
+def _check_rows(rows: DataFrame, purpose: str) -> None:
+    """One pass that every fit begins with, whatever its width: there are rows, all of them finite."""
+    missing, infinite = [], []
+    for name, kind in rows.dtypes:
+        missing.append(F.col(name).isNull())
+        if kind == "double":
+            missing.append(F.isnan(name))
+            infinite.append(F.abs(name) == float("inf"))
+    found = rows.agg(
+        F.count("*").alias("n"),
+        F.count_if(any_of(missing)).alias("missing"),
+        F.count_if(any_of(infinite) if infinite else F.lit(False)).alias("infinite"),
+    ).first()
+    if found["n"] == 0:
+        raise ValueError(f"there are no rows to {purpose}")
+    if found["missing"]:
+        raise ValueError(f"{found['missing']} rows have a null or NaN in the columns to {purpose}")
+    if found["infinite"]:
+        raise ValueError(f"{found['infinite']} rows have an infinite value in the columns to {purpose}")
+
+
 def _vectors(numbers: DataFrame) -> DataFrame:
-    """``features`` as a vector beside the label. A null or NaN feature, or a null label, is an
-    error when the rows are read."""
+    """``features`` as a vector beside the label."""
     names = [name for name in numbers.columns if name != "label"]
-    if "label" in numbers.columns:
-        label = F.col("label")
-        missing = F.raise_error(F.lit("a null in the target column"))
-        numbers = numbers.withColumn("label", F.when(label.isNull(), missing).otherwise(label))
     return VectorAssembler(inputCols=names, outputCol="features").transform(numbers)
 
 
@@ -75,23 +94,16 @@ def _moments(numbers: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """
     names = numbers.columns
     pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
-    unknown = any_of([F.col(name).isNull() | F.isnan(name) for name in names])
     row = numbers.agg(
-        F.count("*").alias("n"),
-        F.count_if(unknown).alias("unknown"),
         *[F.avg(name).alias(f"m{i}") for i, name in enumerate(names)],
         *[F.covar_pop(names[i], names[j]).alias(f"c{i}_{j}") for i, j in pairs],
     ).first()
-    if row["n"] == 0:
-        raise ValueError("there are no rows to fit")
-    if row["unknown"]:
-        raise ValueError(f"{row['unknown']} rows have a null or NaN in the columns to fit")
     means = np.array([row[f"m{i}"] for i in range(len(names))])
     covariances = np.zeros((len(names), len(names)))
     for i, j in pairs:
         covariances[i, j] = covariances[j, i] = row[f"c{i}_{j}"]
     if not np.isfinite(covariances).all():
-        raise ValueError("the columns to fit hold infinite or too large values")
+        raise ValueError("the columns to fit hold too large values")
     return means, covariances
 
 
@@ -104,6 +116,26 @@ def _rows_with_moments(second: np.ndarray) -> np.ndarray:
     return np.sqrt(len(second)) * np.vstack([half, -half])
 
 
+def _estimator(penalty: float, fit_intercept: bool) -> LinearRegression:
+    return LinearRegression(
+        featuresCol="features",
+        labelCol="label",
+        elasticNetParam=1.0,
+        regParam=float(penalty),
+        fitIntercept=fit_intercept,
+        standardization=False,
+        tol=TOLERANCE,
+        maxIter=MOST_ITERATIONS,
+    )
+
+
+def _solved(estimator: LinearRegression, vectors: DataFrame) -> tuple[list[float], float]:
+    fitted = estimator.fit(vectors)
+    if fitted.hasSummary and fitted.summary.totalIterations >= MOST_ITERATIONS:
+        raise ValueError(f"the fit has not converged after {MOST_ITERATIONS} iterations")
+    return [float(weight) for weight in fitted.coefficients], float(fitted.intercept)
+
+
 def _fit_least_squares(
     numbers: DataFrame, penalty: float, fit_intercept: bool
 ) -> tuple[list[float], float]:
@@ -111,33 +143,19 @@ def _fit_least_squares(
 
     Least squares sees a table only through its means and covariances. With few features those
     come from one aggregate that stays in generated code, and the estimator then fits a handful of
-    rows that have the same moments. More features go to the estimator as vectors; it sums the
-    same matrix over the rows and reads them once more for its own summary.
+    rows that have the same moments. More features go to the estimator as vectors. Both ways check
+    the rows first, and both go on to the same precision.
     """
     check_bounds("penalty", penalty, low=0.0)
-    width = len(numbers.columns) - 1
-    few, one_pass = width <= FEW_FEATURES, width <= WIDEST_MATRIX
-    estimator = LinearRegression(
-        featuresCol="features",
-        labelCol="label",
-        elasticNetParam=1.0,
-        regParam=float(penalty),
-        fitIntercept=fit_intercept and not few,
-        standardization=False,
-        # Tight where iterations only touch the matrix on the driver, usual where each one is a
-        # pass over the rows.
-        tol=1e-12 if one_pass else 1e-6,
-        maxIter=500 if one_pass else 100,
-    )
-    if not few:
-        fitted = estimator.fit(_vectors(numbers))
-        return [float(weight) for weight in fitted.coefficients], float(fitted.intercept)
+    _check_rows(numbers, "fit")
+    if len(numbers.columns) - 1 > FEW_FEATURES:
+        return _solved(_estimator(penalty, fit_intercept), _vectors(numbers))
     means, second = _moments(numbers)
     if not fit_intercept:
         second = second + np.outer(means, means)
     rows = [[float(value) for value in row] for row in _rows_with_moments(second)]
-    fitted = estimator.fit(_vectors(small_table(numbers.sparkSession, rows, numbers.columns)))
-    weights = [float(weight) for weight in fitted.coefficients]
+    small = small_table(numbers.sparkSession, rows, numbers.columns)
+    weights, _ = _solved(_estimator(penalty, False), _vectors(small))
     intercept = float(means[-1] - np.dot(weights, means[:-1])) if fit_intercept else 0.0
     return weights, intercept
 
@@ -166,7 +184,7 @@ def fit_mixed_regression(
     penalty: float = 0.0,
     fit_intercept: bool = True,
     invalid_rows: str = "error",
-    most_categories: int = MOST_CATEGORIES,
+    most_categories: int | None = None,
 ) -> MixedLinearModel:
     """Regression on continuous and text columns: text is one-hot encoded against its first
     category, continuous features come first."""
@@ -174,20 +192,28 @@ def fit_mixed_regression(
     require_disjoint([target], features)
     require_columns(df, [target], NUMERIC)
     require_columns(df, features)
-    texts = set(columns_of_class(df, CATEGORICAL))
-    categorical = [name for name in features if name in texts]
-    continuous = [name for name in features if name not in texts]
+    spelled = spelling(df)
+    texts = {spelled(name) for name in columns_of_class(df, CATEGORICAL)}
+    categorical = [name for name in features if spelled(name) in texts]
+    continuous = [name for name in features if spelled(name) not in texts]
     require_columns(df, continuous, NUMERIC)
 
     encodings = learn_encodings(df, categorical, most_categories) if categorical else []
-    used = df.select(*[quoted(name) for name in [target, *continuous, *categorical]])
-    indicators = [name for encoding in encodings for name in encoding.names()]
-    encoded = apply_encodings(used, encodings) if encodings else used
-    inputs = [*continuous, *indicators]
-    if not inputs:
+    wide = [encoding for encoding in encodings if encoding.encoded()]
+    if not continuous and not wide:
         raise ValueError(f"the features {list(features)} leave nothing to fit")
-    numbers = _numbers(encoded, inputs, target, invalid_rows)
-    weights, intercept = _fit_least_squares(numbers, penalty, fit_intercept)
+    rows = df.select(
+        *[as_double(name).alias(f"x{i}") for i, name in enumerate(continuous)],
+        as_double(target).alias("label"),
+        *[quoted(encoding.column).alias(f"t{i}") for i, encoding in enumerate(encodings)],
+    )
+    check_choice("invalid_rows", invalid_rows, INVALID_ROWS)
+    check_bounds("penalty", penalty, low=0.0)
+    if invalid_rows == "skip":
+        rows = rows.na.drop("any")
+    _check_rows(rows, "fit")
+    vectors = _sparse_vectors(rows, [f"x{i}" for i in range(len(continuous))], encodings)
+    weights, intercept = _solved(_estimator(penalty, fit_intercept), vectors)
 
     split, rest = [], weights[len(continuous):]
     for encoding in encodings:
@@ -204,6 +230,22 @@ def fit_mixed_regression(
     )
 
 
+def _sparse_vectors(rows: DataFrame, numbers: Sequence[str], encodings: Sequence[Encoding]) -> DataFrame:
+    """``features`` and ``label``: the numbers, then the indicators of the texts t0, t1, ... A row holds one entry
+    per text, however many categories there are. The base category comes last in its index, which the
+    encoder leaves out."""
+    parts = list(numbers)
+    for i, encoding in enumerate(encodings):
+        if encoding.encoded():
+            labels = [*encoding.encoded(), encoding.base]
+            indexer = StringIndexerModel.from_labels(labels, inputCol=f"t{i}", outputCol=f"i{i}", handleInvalid="error")
+            indexed = indexer.transform(rows)
+            encoder = OneHotEncoder(inputCol=f"i{i}", outputCol=f"o{i}", dropLast=True)
+            rows = encoder.fit(indexed).transform(indexed)
+            parts.append(f"o{i}")
+    return VectorAssembler(inputCols=parts, outputCol="features").transform(rows).select("features", "label")
+
+
 def fit_statistics(df: DataFrame, model: LinearModel | MixedLinearModel) -> DataFrame:
     """``Statistic`` and ``Value``: the regression metrics of the model on a table, as rows."""
     metrics = evaluate_regression(df, model)
@@ -223,30 +265,20 @@ def fit_kmeans(
     invalid_rows: str = "error",
 ) -> ClusterModel:
     """k-means from a seeded k-means|| start. Centres are sorted, so that their names do not
-    depend on the order in which they were found. One cluster is the mean, a single aggregate."""
+    depend on the order in which they were found. One cluster is the mean, a single aggregate. Fewer
+    distinct points than ``k`` give as many clusters as there are points."""
     require_selection(features)
     require_columns(df, features, NUMERIC)
     check_integer("k", k, low=1)
     check_integer("max_iter", max_iter, low=1)
     numbers = _numbers(df, features, None, invalid_rows)
+    _check_rows(numbers, "cluster")
     if k == 1:
-        return ClusterModel(tuple(features), (_mean_point(numbers),))
-    # Blocks of rows as matrices take far less room than a vector object per row.
-    estimator = KMeans(featuresCol="features", k=k, maxIter=max_iter, seed=seed, solver="block")
-    fitted = estimator.fit(_vectors(numbers))
-    centers = sorted(tuple(float(value) for value in center) for center in fitted.clusterCenters())
+        means = numbers.agg(*[F.avg(name).alias(name) for name in numbers.columns]).first()
+        return ClusterModel(tuple(features), (tuple(means),))
+    estimator = KMeans(featuresCol="features", k=k, maxIter=max_iter, seed=seed)
+    # A fit reads its rows some thirty times: only the vectors are kept meanwhile, not the source's rows.
+    with persisted(_vectors(numbers).select("features")) as vectors:
+        fitted = estimator.fit(vectors)
+    centers = sorted({tuple(float(value) for value in center) for center in fitted.clusterCenters()})
     return ClusterModel(tuple(features), tuple(centers))
-
-
-def _mean_point(numbers: DataFrame) -> tuple[float, ...]:
-    unknown = any_of([F.col(name).isNull() | F.isnan(name) for name in numbers.columns])
-    row = numbers.agg(
-        F.count("*").alias("n"),
-        F.count_if(unknown).alias("unknown"),
-        *[F.avg(name).alias(name) for name in numbers.columns],
-    ).first()
-    if row["n"] == 0:
-        raise ValueError("there are no rows to cluster")
-    if row["unknown"]:
-        raise ValueError(f"{row['unknown']} rows have a null or NaN feature")
-    return tuple(row[name] for name in numbers.columns)

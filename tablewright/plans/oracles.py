@@ -91,6 +91,9 @@ MIXED_LINES = MIXED.format(
     table=f"SELECT price_k AS y, l_quantity AS x, l_returnflag AS g FROM ({PRICED})"
 )
 MIXED_PARTS = "SELECT p_retailprice / 1000.0::DOUBLE AS y, p_size AS x, p_type AS g FROM part"
+MIXED_WIDE = MIXED.format(
+    table=f"SELECT price_k AS y, l_quantity AS x, (l_partkey % 1500)::VARCHAR AS g FROM ({PRICED})"
+)
 MIXED_PRICES = "SELECT p_retailprice AS y, p_size AS x, p_type AS g FROM part"
 
 DISTANCE = "sqrt(power(l_quantity - {q}, 2) + power(l_extendedprice - {p}, 2))"
@@ -147,7 +150,7 @@ def _statistics(metrics: str) -> str:
 SQL: dict[str, str] = {
     # Sources and sinks
     "sequence_source": """
-        SELECT 'Thing' AS "Thing", i::INTEGER AS "Number"
+        SELECT 'Thing' AS "Thing", i::BIGINT AS "Number"
         FROM (SELECT unnest(range(1, n + 1)) AS i FROM (SELECT count(*) AS n FROM lineitem))
     """,
     "random_source": f"""
@@ -160,6 +163,7 @@ SQL: dict[str, str] = {
     "save_dataset_text": "SELECT * FROM documents",
     "save_dataset_parquet": "SELECT * FROM events",
     "save_as_table": "SELECT * FROM customer",
+    "replace_table": "SELECT * FROM part WHERE p_size > 25",
     "write_rejects": f"SELECT * FROM ({MEASURED}) WHERE {MEASURED_BAD}",
     "save_good_and_bad": f"""
         SELECT *, quality IS NOT NULL AND toxic IS NOT NULL AS kept FROM ({LABELLED})
@@ -273,6 +277,10 @@ SQL: dict[str, str] = {
         SELECT quality::VARCHAR AS "Observed", "PRED" AS "Predicted", count(*) AS "N"
         FROM ({QUALITY_SCORED}) GROUP BY quality, "PRED"
     """,
+    "save_confusion_matrix": f"""
+        SELECT l_returnflag AS "Observed", "PRED" AS "Predicted", count(*) AS "N"
+        FROM ({RETURN_SCORED}) GROUP BY l_returnflag, "PRED"
+    """,
     "confusion_matrix_many": f"""
         SELECT l_returnflag AS "Observed", "PRED" AS "Predicted", count(*) AS "N"
         FROM ({RETURN_SCORED}) GROUP BY l_returnflag, "PRED"
@@ -328,10 +336,22 @@ SQL: dict[str, str] = {
         UNION ALL SELECT 'l_discount', round(b2, 6) FROM w
     """,
     "model_equation": """
-        SELECT p_partkey, p_size, (p_size * 3 + 2)::INTEGER AS goal,
-               (2.0 + 3.0 * p_size)::DOUBLE AS prediction,
-               'goal = 2.0 + 3.0 * p_size' AS equation
-        FROM part
+        SELECT count(*) AS row_count, 'l_extendedprice = '
+               || round(regr_intercept(l_extendedprice, l_quantity), 3)::DOUBLE || ' + '
+               || round(regr_slope(l_extendedprice, l_quantity), 3)::DOUBLE || ' * l_quantity' AS equation
+        FROM lineitem
+    """,
+    "fit_mixed_wide": f"""
+        WITH {MIXED_WIDE} SELECT 'l_quantity' AS "Predictors", round(b, 5) AS "Weights" FROM slope
+    """,
+    "fit_kmeans": """
+        SELECT 'Cluster_' || (l_linenumber - min(l_linenumber) OVER ()) AS "ClusterName",
+               round(avg(l_quantity + 1000 * l_linenumber), 6) AS place,
+               round(avg(l_discount), 6) AS l_discount
+        FROM lineitem GROUP BY l_linenumber
+    """,
+    "fit_kmeans_embeddings": """
+        SELECT vec_id, 'Cluster_' || (dense_rank() OVER (ORDER BY label) - 1) AS cluster FROM embeddings
     """,
     "train_then_evaluate": METRICS.format(
         scored=f"""

@@ -13,13 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.functions.names import quoted
-from tablewright.functions.quality import NULLS, NULLS_AND_ZEROS
+from tablewright.functions.quality import NULLS, NULLS_AND_ZEROS, bad_row
 from tablewright.models import ClassWeights, ClusterModel, LinearModel, LogisticModel, weights_table
 from tablewright.operators import (
     aggregates,
     columns,
     encoding,
-    hints,
     quality,
     scoring,
     training,
@@ -132,9 +131,9 @@ def save_dataset_text(spark: SparkSession, folder: str) -> DataFrame:
     """Whole texts with quotes, separators and line breaks, tab separated."""
     documents = table(spark, folder, "documents")
     path = sinks.save_dataset(
-        documents, shared_folder(spark, "documents"), "csv", sep="\t", max_records_per_file=20_000
+        documents, shared_folder(spark, "documents"), "csv", sep="\t", escape=True
     )
-    return sources.read_dataset(spark, path, "csv", documents.schema, sep="\t", multi_line=True)
+    return sources.read_dataset(spark, path, "csv", documents.schema, sep="\t", escape=True)
 
 
 @query
@@ -146,10 +145,35 @@ def save_dataset_parquet(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def save_as_table(spark: SparkSession, folder: str) -> DataFrame:
-    path = shared_folder(spark, "customer_copy")
-    name = "customer_copy_" + path.rsplit("-", 1)[1]
-    sinks.save_as_table_or_view(table(spark, folder, "customer"), name, schema="default", path=path)
-    return sources.read_table(spark, name, "default")
+    """One name, whose table each run replaces."""
+    sinks.save_as_table_or_view(
+        table(spark, folder, "customer"), "customer_copy", schema="default", drop_if_exists=True,
+        path=shared_folder(spark, "customer_copy"),
+    )
+    return sources.read_table(spark, "customer_copy", "default")
+
+
+@query
+def replace_table(spark: SparkSession, folder: str) -> DataFrame:
+    """A table replaced by a selection of its own rows."""
+    for step in range(2):
+        rows = sources.read_table(spark, "part_copy", "default") if step else table(spark, folder, "part")
+        sinks.save_as_table_or_view(
+            rows.where(F.col("p_size") > 25) if step else rows, "part_copy", schema="default",
+            drop_if_exists=True, path=shared_folder(spark, "part_copy"),
+        )
+    return sources.read_table(spark, "part_copy", "default")
+
+
+@query
+def save_confusion_matrix(spark: SparkSession, folder: str) -> DataFrame:
+    """The counts saved as a table, and read from there."""
+    matrix = scoring.confusion_matrix(table(spark, folder, "lineitem"), RETURN_MODEL)
+    sinks.save_as_table_or_view(
+        matrix, "return_matrix", schema="default", drop_if_exists=True,
+        path=shared_folder(spark, "return_matrix"),
+    )
+    return sources.read_table(spark, "return_matrix", "default")
 
 
 @query
@@ -162,17 +186,11 @@ def write_rejects(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def save_good_and_bad(spark: SparkSession, folder: str) -> DataFrame:
-    """Split a joined input that is kept meanwhile, save both parts, and read them back."""
-    with hints.persisted(labelled_documents(spark, folder)) as kept:
-        good, bad = quality.split_bad_rows(kept, NULLS)
-        good_path = sinks.save_dataset(good, shared_folder(spark, "good"), "parquet")
-        bad_path = sinks.write_rejects(bad, shared_folder(spark, "bad"))
-        schema = kept.schema
-    good_rows = sources.read_dataset(spark, good_path, "parquet", schema)
-    bad_rows = sources.read_dataset(spark, bad_path, "csv", schema)
-    return good_rows.withColumn("kept", F.lit(True)).unionByName(
-        bad_rows.withColumn("kept", F.lit(False))
-    )
+    """A joined input split into good and bad rows by one write with a folder for each."""
+    rows = labelled_documents(spark, folder)
+    flagged = rows.withColumn("kept", ~bad_row(rows, NULLS))
+    path = sinks.save_dataset(flagged, shared_folder(spark, "split"), "parquet", partition_by=["kept"])
+    return sources.read_dataset(spark, path, "parquet", flagged.schema)
 
 
 # Projections and derived columns
@@ -243,7 +261,7 @@ def column_values_repeated(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def pair_sample(spark: SparkSession, folder: str) -> DataFrame:
-    return columns.pair_sample(table(spark, folder, "customer"), "c_custkey", "c_acctbal")
+    return columns.pair_sample(table(spark, folder, "customer"), "c_custkey", "c_acctbal", 5000)
 
 
 # Data quality
@@ -437,22 +455,18 @@ def fit_ols_two(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def model_equation(spark: SparkSession, folder: str) -> DataFrame:
-    """The equation of a fitted model beside its rows: every size with the value it predicts.
-    Sizes and targets are chosen so that the coefficients are whole numbers."""
-    parts = table(spark, folder, "part").select(
-        "p_partkey", "p_size", (F.col("p_size") * 3 + 2).alias("goal")
-    )
+    """The equation of a fitted model, its numbers rounded to three digits."""
+    lines = table(spark, folder, "lineitem").select("l_quantity", "l_extendedprice")
     fitted = training.fit_linear_regression(
-        parts, "goal", ["p_size"], penalty=0, fit_intercept=True
+        lines, "l_extendedprice", ["l_quantity"], penalty=0, fit_intercept=True
     )
-    whole = LinearModel(
+    short = LinearModel(
         fitted.features,
-        tuple(round(value, 6) for value in fitted.coefficients),
-        round(fitted.intercept, 6),
+        tuple(round(value, 3) for value in fitted.coefficients),
+        round(fitted.intercept, 3),
         fitted.target,
     )
-    scored = scoring.predict_linear(parts, whole)
-    return scored.withColumn("equation", F.lit(whole.equation()))
+    return aggregates.row_count(lines).withColumn("equation", F.lit(short.equation()))
 
 
 @query
@@ -487,12 +501,24 @@ def predict_mixed(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(scoring.predict_linear(parts, model), ["prediction"], 4)
 
 
+@query
+def fit_mixed_wide(spark: SparkSession, folder: str) -> DataFrame:
+    """A text column of 1,500 values: the slope, which is that within the groups."""
+    lines = priced_lineitem(spark, folder).select(
+        "price_k", "l_quantity", (F.col("l_partkey") % 1500).cast("string").alias("part_group")
+    )
+    model = training.fit_mixed_regression(lines, "price_k", ["l_quantity", "part_group"])
+    return rounded(weights_table(spark, model), ["Weights"], 5).where("Predictors = 'l_quantity'")
+
+
 @query
 def fit_kmeans(spark: SparkSession, folder: str) -> DataFrame:
-    model = training.fit_kmeans(
-        table(spark, folder, "lineitem"), ["l_quantity", "l_discount"], k=3, seed=RANDOM_SEED
+    """Seven groups far from one another, each with spread of its own."""
+    lines = table(spark, folder, "lineitem").select(
+        (F.col("l_quantity") + 1000 * F.col("l_linenumber")).alias("place"), "l_discount"
     )
-    return model.centers_table(spark)
+    model = training.fit_kmeans(lines, ["place", "l_discount"], k=7, seed=RANDOM_SEED)
+    return rounded(model.centers_table(spark), ["place", "l_discount"], 6)
 
 
 @query
@@ -506,11 +532,16 @@ def fit_kmeans_separated(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def fit_kmeans_embeddings(spark: SparkSession, folder: str) -> DataFrame:
-    """Sixty-four features; the result is every vector's nearest centre."""
-    vectors = table(spark, folder, "embeddings").select(
-        "vec_id", *[F.get("embedding", F.lit(i)).alias(f"e{i}") for i in range(64)]
+    """Whole vectors, the first element moved by their label: a cluster per label."""
+    stored = table(spark, folder, "embeddings")
+    widths = stored.agg(F.min(F.size("embedding")), F.max(F.size("embedding"))).first()
+    if widths[0] != widths[1]:
+        raise ValueError(f"the vectors have from {widths[0]} to {widths[1]} elements")
+    moved = F.get("embedding", F.lit(0)) + 100 * F.col("label")
+    vectors = stored.select(
+        "vec_id", moved.alias("e0"), *[F.get("embedding", F.lit(i)).alias(f"e{i}") for i in range(1, widths[0])]
     )
-    model = training.fit_kmeans(vectors, vectors.columns[1:], seed=RANDOM_SEED)
+    model = training.fit_kmeans(vectors, vectors.columns[1:], k=10, seed=RANDOM_SEED)
     return scoring.score_clusters(vectors, model).select("vec_id", "cluster")
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -27,12 +26,7 @@ def session_builder(app_name: str = "tablewright") -> SparkSession.Builder:
 def shared_folder(spark: SparkSession, label: str) -> str:
     """A path for one run's files that every executor can reach; nothing exists there yet.
 
-    It lies below ``spark.checkpoint.dir``. Only a local session, whose executors all live on
-    this machine, may go without that setting.
+    It lies below ``spark.checkpoint.dir``, or below the session's warehouse where that is unset.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not (spark.conf.get("spark.master", None) or "").startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="tablewright-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/tablewright/{label}-{uuid.uuid4().hex}"

@@ -2,11 +2,23 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tablewright.checks import check_choice, check_integer
-from tablewright.sources.datasets import DELIMITED, FORMATS, table_name
+from tablewright.checks import check_choice, check_integer, require_columns
+from tablewright.sources.datasets import (
+    DELIMITED,
+    ESCAPED_NULL,
+    FORMATS,
+    NULL_MARK,
+    escaped,
+    table_name,
+    with_texts,
+)
 
 
 def save_dataset(
@@ -18,25 +30,51 @@ def save_dataset(
     sep: str = ",",
     header: bool = False,
     max_records_per_file: int | None = None,
+    multi_line: bool = False,
+    escape: bool = False,
+    partition_by: Sequence[str] = (),
     options: dict[str, str] | None = None,
 ) -> str:
     """Write ``df`` below ``path`` and return the path.
 
     Every task writes its own files. A path that exists is an error unless ``overwrite`` is set.
+
+    A delimited file holds a row per line. With ``escape`` any text can be written, and is read
+    with ``escape``. Without, a text that would not come back is an error when it is written: one
+    with a line break, unless the file is declared ``multi_line``, or one that reads as null.
     """
     check_choice("fmt", fmt, FORMATS)
+    if partition_by:
+        require_columns(df, partition_by)
+    if fmt == "csv":
+        df = with_texts(df, escaped if escape else lambda text: readable(text, multi_line))
     writer = df.write.format(fmt).mode("overwrite" if overwrite else "errorifexists")
     if fmt == "csv":
         writer = writer.options(**DELIMITED, sep=sep, header=header)
+        if escape:
+            writer = writer.options(nullValue=ESCAPED_NULL, quoteAll=True)
+        elif len(df.columns) == 1:  # an empty line would be passed over
+            writer = writer.option("nullValue", NULL_MARK)
     if compression is not None:
         writer = writer.option("compression", compression)
     if max_records_per_file is not None:
         check_integer("max_records_per_file", max_records_per_file, low=1)
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     writer.options(**(options or {})).save(path)
     return path
 
 
+def readable(text: Column, multi_line: bool) -> Column:
+    """The text, or an error where it would be read as something else."""
+    lost = (text == F.lit(NULL_MARK)) | text.contains("\u0000")
+    if not multi_line:
+        lost = lost | text.contains("\n") | text.contains("\r")
+    reason = "a text with a line break or a null mark: write it with escape or multi_line"
+    return F.when(lost, F.raise_error(F.lit(reason))).otherwise(text)
+
+
 def write_rejects(bad_rows: DataFrame, path: str, enabled: bool = True, **how) -> str | None:
     """Save the removed rows, if the user wants them kept."""
     return save_dataset(bad_rows, path, **how) if enabled else None
@@ -55,8 +93,9 @@ def save_as_table_or_view(
 
     A view lives as long as the session and stores nothing. A table is written by all tasks; with
     ``path`` its files lie there, else in the warehouse. A name in use is an error unless
-    ``drop_if_exists`` is set: a view then replaces the view of that name, and before a table is
-    written whatever has its name is dropped. Nothing that depends on it is dropped with it.
+    ``drop_if_exists`` is set: a view then replaces the view of that name, and a table, once it is
+    written, whatever has its name. Nothing that depends on that is dropped with it. Give a new
+    ``path`` to a new table: it may not lie where the old one does.
     """
     spark = df.sparkSession
     if is_view:
@@ -70,13 +109,26 @@ def save_as_table_or_view(
     if is_view:
         df.createOrReplaceTempView(name)
         return full_name
-    if drop_if_exists:
-        drop_table_or_view(spark, name, schema)
+    if not drop_if_exists:
+        _write_table(df, full_name, path, fmt)
+        return full_name
+    # The new table is whole before the old one goes: it may be made of the old one, or fail.
+    staged = table_name(f"{name}_{uuid.uuid4().hex}", schema)
+    try:
+        _write_table(df, staged, path, fmt)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {staged}")
+        raise
+    drop_table_or_view(spark, name, schema)
+    spark.sql(f"ALTER TABLE {staged} RENAME TO {full_name}")
+    return full_name
+
+
+def _write_table(df: DataFrame, full_name: str, path: str | None, fmt: str) -> None:
     writer = df.write.format(fmt).mode("errorifexists")
     if path is not None:
         writer = writer.option("path", path)
     writer.saveAsTable(full_name)
-    return full_name
 
 
 def drop_table_or_view(spark: SparkSession, name: str, schema: str | None = None) -> None:

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewright.checks import check_choice
+from tablewright.checks import check_choice, check_integer
+from tablewright.functions.names import quoted
 
 FORMATS = ("csv", "parquet", "avro")
 
@@ -21,9 +25,33 @@ DELIMITED = {
 }
 
 # In a file, nothing between two separators is null and "" is empty text. Spark takes both for null
-# as long as its null mark is empty, so the reader gets a mark that no text consists of.
+# as long as its null mark is empty, so the reader gets a mark that no written text consists of:
+# the writer refuses such a text, or escapes it.
 NULL_MARK = "\u0001"
 
+# What an escaped file has in place of characters that end a line or a value. The escape character
+# comes first when writing and last when reading. A null has a mark of its own there.
+ESCAPES = (("\\", "\\e"), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t"), ("\u0000", "\\0"), (NULL_MARK, "\\1"))
+ESCAPED_NULL = "\\N"
+
+
+def escaped(text: Column) -> Column:
+    for character, spelled in ESCAPES:
+        text = F.replace(text, F.lit(character), F.lit(spelled))
+    return text
+
+
+def unescaped(text: Column) -> Column:
+    for character, spelled in reversed(ESCAPES):
+        text = F.replace(text, F.lit(spelled), F.lit(character))
+    return text
+
+
+def with_texts(df: DataFrame, change: Callable[[Column], Column]) -> DataFrame:
+    """All columns, the text ones changed."""
+    texts = {f.name for f in df.schema if isinstance(f.dataType, T.StringType)}
+    return df.select(*[change(quoted(c)).alias(c) if c in texts else quoted(c) for c in df.columns])
+
 
 def read_dataset(
     spark: SparkSession,
@@ -33,14 +61,15 @@ def read_dataset(
     sep: str = ",",
     header: bool = False,
     multi_line: bool = False,
+    escape: bool = False,
     options: dict[str, str] | None = None,
 ) -> DataFrame:
     """A file dataset. Compression is told by the file extension.
 
     Delimited files need their schema: inferring it would read everything once more, and could
-    change from run to run. A line that does not fit the schema is an error. Text with line breaks
-    needs ``multi_line``; such files cannot be split, so write them in parts of bounded size
-    (``save_dataset(max_records_per_file=...)``). Avro needs Spark's avro package.
+    change from run to run. A line that does not fit the schema is an error. ``escape`` reads what
+    ``save_dataset`` wrote with it: every text comes back, and files can be split. Quoted line breaks
+    of other writers need ``multi_line``; such files cannot be split. Avro needs Spark's avro package.
     """
     check_choice("fmt", fmt, FORMATS)
     reader = spark.read.format(fmt)
@@ -54,10 +83,11 @@ def read_dataset(
             sep=sep,
             header=header,
             multiLine=multi_line,
-            nullValue=NULL_MARK,
+            nullValue=ESCAPED_NULL if escape else NULL_MARK,
             mode="FAILFAST",
         )
-    return reader.options(**(options or {})).load(path)
+    rows = reader.options(**(options or {})).load(path)
+    return with_texts(rows, unescaped) if fmt == "csv" and escape else rows
 
 
 def read_table(spark: SparkSession, table: str, schema: str | None = None) -> DataFrame:
@@ -69,22 +99,19 @@ def read_external_table(
     spark: SparkSession,
     url: str,
     table: str,
+    partition_column: str,
+    bounds: tuple[int, int],
+    num_partitions: int,
     schema: str | None = None,
-    partition_column: str | None = None,
-    bounds: tuple[int, int] | None = None,
-    num_partitions: int | None = None,
     properties: dict[str, str] | None = None,
 ) -> DataFrame:
     """A table of another database over JDBC.
 
-    Without a partition column one task reads it all; for a large table give a numeric column,
-    its bounds and how many parts to read. Rows outside the bounds are read too.
+    It is read in ``num_partitions`` parts by a numeric column and its bounds, never by one task
+    alone. Rows outside the bounds are read too.
     """
     name = f"{schema}.{table}" if schema else table
-    if partition_column is None:
-        return spark.read.jdbc(url, name, properties=properties)
-    if bounds is None or num_partitions is None:
-        raise ValueError("a partitioned read needs bounds and num_partitions")
+    check_integer("num_partitions", num_partitions, low=1)
     return spark.read.jdbc(
         url,
         name,

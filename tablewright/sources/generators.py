@@ -8,14 +8,12 @@ from pyspark.sql import functions as F
 from tablewright.checks import check_integer
 from tablewright.functions.random_cells import random_double, random_int, random_string
 
-LARGEST_INT = 2**31 - 1
-
 
 def sequence_source(spark: SparkSession, n: int = 10) -> DataFrame:
     """``n`` rows: ``Thing`` = "Thing", ``Number`` = 1..n."""
-    check_integer("n", n, low=0, high=LARGEST_INT)
+    check_integer("n", n, low=0)
     return spark.range(1, n + 1).select(
-        F.lit("Thing").alias("Thing"), F.col("id").cast("int").alias("Number")
+        F.lit("Thing").alias("Thing"), F.col("id").alias("Number")
     )
 
 

@@ -13,12 +13,14 @@ SF_TINY = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = (
         session_builder("tests")
         .master("local[4]")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+        .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -170,6 +170,6 @@ def test_pair_sample(spark):
     df = spark.createDataFrame([(3, 1.0), (1, 5.0), (1, 2.0)], "x int, y double")
     assert rows(columns.pair_sample(df, "x", "y", 2)) == [(1, 2.0), (1, 5.0)]
     big = spark.range(20_000).selectExpr("id AS a", "-id AS b")
-    sample = columns.pair_sample(big, "b", "a")
+    sample = columns.pair_sample(big, "b", "a", 5000)
     assert sample.count() == 5000
     assert sample.first() == (-19999, 19999)

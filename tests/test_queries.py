@@ -6,17 +6,16 @@ import re
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from check_oracles import differences, duck
 from helpers import plan_of, shuffles_in
-
-# Iterative clustering from a random start has no SQL.
-WITHOUT_SQL = {"fit_kmeans", "fit_kmeans_embeddings"}
+from tablewright.plans.oracles import SQL
+from tablewright.plans.queries import QUERIES
 
 # Joins documents with labels to have nulls: the join moves data once by itself.
 JOINED = {
     "drop_null_rows", "bad_data_report_nulls", "count_by_group_null", "predict_class",
-    "confusion_matrix",
+    "confusion_matrix", "pair_sample", "column_values_repeated",
 }
 
 
@@ -33,19 +32,18 @@ def test_entry_is_a_lazy_one_row_table(spark):
     assert result.count() == 1
 
 
-def test_every_query_has_sql_or_a_reason():
-    assert set(queries()) - set(oracle_sql()) == WITHOUT_SQL
-    assert not set(oracle_sql()) - set(queries())
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(SQL)
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - WITHOUT_SQL))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_agrees_with_sql(spark, connection, folder, name):
     assert differences(spark, connection, folder, name) == ""
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plan(spark, folder, name):
-    result = queries()[name](spark, folder)
+    result = QUERIES[name](spark, folder)
     plan = plan_of(result)
     assert not re.search(r"EvalPython|MapInPandas|ExistingRDD|Cartesian|NestedLoop", plan)
     assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
@@ -65,7 +63,7 @@ def test_plan(spark, folder, name):
     ],
 )
 def test_scan_reads_only_the_columns_in_use(spark, folder, name, columns):
-    assert f"ReadSchema: struct<{columns}>" in plan_of(queries()[name](spark, folder))
+    assert f"ReadSchema: struct<{columns}>" in plan_of(QUERIES[name](spark, folder))
 
 
 @pytest.mark.parametrize(
@@ -77,7 +75,7 @@ def test_scan_reads_only_the_columns_in_use(spark, folder, name, columns):
     ],
 )
 def test_filters_reach_the_scan(spark, folder, name, pushed):
-    result = queries()[name](spark, folder)
+    result = QUERIES[name](spark, folder)
     formatted = result._sc._jvm.PythonSQLUtils.explainString(
         result._jdf.queryExecution(), "formatted"
     )

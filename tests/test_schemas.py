@@ -20,7 +20,7 @@ LOGISTIC = LogisticModel(("n",), (ClassWeights("b", (1.0,)),), "a", "s")
 CASES = {
     "sequence": (
         lambda df: generators.sequence_source(df.sparkSession, 2),
-        [("Thing", "string"), ("Number", "int")],
+        [("Thing", "string"), ("Number", "bigint")],
     ),
     "random": (
         lambda df: generators.random_source(df.sparkSession, 2, 1, 1, 1),
@@ -38,7 +38,7 @@ CASES = {
         lambda df: columns.format_date_column(df, "t"), [*INPUT, ("t_formatted", "string")],
     ),
     "values": (lambda df: columns.column_values(df, "t", 1), [("t", "timestamp_ntz")]),
-    "pairs": (lambda df: columns.pair_sample(df, "x", "n"), [("x", "double"), ("n", "int")]),
+    "pairs": (lambda df: columns.pair_sample(df, "x", "n", 9), [("x", "double"), ("n", "int")]),
     "good": (quality.drop_null_nan_zero_rows, INPUT),
     "report": (
         quality.bad_data_report,

@@ -43,7 +43,7 @@ def stream(spark, lines):
 def test_stateless_operators_agree_with_batch(spark, lines, stream):
     for step in STEPS.values():
         path = shared_folder(spark, "stream-output")
-        query = save_stream(step(stream), path)
+        query = save_stream(step(stream), path, shared_folder(spark, "checkpoint"))
         assert query.awaitTermination(120)
         assert query.exception() is None
         expected = step(lines)
@@ -57,7 +57,7 @@ def test_a_stream_goes_on_where_it_ended(spark):
     def run() -> int:
         stream = spark.readStream.schema("id long").parquet(source)
         kept = quality.drop_null_nan_zero_rows(stream)
-        save_stream(kept, path, "csv", checkpoint).awaitTermination(120)
+        save_stream(kept, path, checkpoint, "csv").awaitTermination(120)
         return read_dataset(spark, path, schema="id long").count()
 
     spark.range(10).write.parquet(source)
