@@ -9,7 +9,7 @@ from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -75,6 +75,16 @@ def free_name(table: DataFrame, name: str) -> str:
     return name
 
 
+SAMPLE_SLOTS = 1 << 30
+
+
+def in_sample(n: int, total: int, *columns: Column | str) -> Column:
+    """Whether a row is in a sample of about ``n`` of ``total`` rows, by a hash of the columns: the same rows on every
+    run and on any cluster, found without sorting. All rows where there are no more than n."""
+    slot = F.pmod(F.xxhash64(*columns, F.lit("sample")), F.lit(SAMPLE_SLOTS))
+    return slot < F.lit(int(SAMPLE_SLOTS * min(1.0, n / total)) if total else 0)
+
+
 def slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
     """Runs of rows whose texts have about SLICE_CHARS characters together, at least one row each."""
     sizes = pc.fill_null(pc.utf8_length(batch.column(column)), 0).to_pylist()

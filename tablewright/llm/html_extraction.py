@@ -17,9 +17,9 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import map_texts
+from tablewright.llm.common import in_sample, map_texts
 
-# Training reads at most this many pages, of at most so many characters each.
+# Training reads about this many pages, twice as many at most, of at most so many characters each.
 SAMPLE_PAGES = 300
 SAMPLE_CHARS = 60_000
 EPOCHS = 8
@@ -349,14 +349,16 @@ def relaid(blocks: list[Block], labels: np.ndarray, others: list[str], random: n
 
 
 def fit_labeller(pages: DataFrame, *, html_col: str = "html", sample_pages: int = SAMPLE_PAGES) -> Labeller | None:
-    """Train on the ``sample_pages`` pages of smallest hash whose tags mark their content, each as it is and relaid twice.
+    """Train on about ``sample_pages`` pages, by a hash of the page, whose tags mark their content, each as it is and relaid twice.
 
     None when no page is marked: then nothing can be told from menus, and no block is content.
     """
+    page = pages.select(F.col(f"`{html_col}`").alias("page"), F.xxhash64(*[f"`{c}`" for c in pages.columns]).alias("place"))
     rows = (
-        pages.select(F.col(f"`{html_col}`").alias("page")).where(F.length("page").between(1, SAMPLE_CHARS))
-        .orderBy(F.xxhash64("page"), "page").limit(sample_pages).collect()
+        page.where(in_sample(sample_pages, pages.count(), "place")).where(F.length("page").between(1, SAMPLE_CHARS))
+        .select("page").limit(2 * sample_pages).collect()
     )
+    rows = sorted(rows)
     known = [(b, m) for r in rows if (b := blocks_of(r.page)) and (m := marked(b)) is not None]
     if not known:
         return None

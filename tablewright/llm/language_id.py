@@ -15,9 +15,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import id_and_text, map_texts
+from tablewright.llm.common import id_and_text, in_sample, map_texts
 
-# Training reads at most this many documents of each language, of at most so many characters each.
+# Training reads about this many documents of each language, twice as many at most, of at most so many characters each.
 SAMPLE_DOCS = 300
 SAMPLE_CHARS = 20_000
 SEQUENCES = 1_500  # code-switched sequences made of the sample's words
@@ -130,18 +130,20 @@ def train_field(samples: dict[str, list[list[str]]], seed: int = 7) -> WordField
 
 def fit_word_field(docs: DataFrame, use: Column, *, id_col: str = "doc_id", text_col: str = "text",
                    lang_col: str = "lang", sample_docs: int = SAMPLE_DOCS) -> WordField:
-    """Train on documents where ``use`` holds and the language is known: of each language the ``sample_docs`` of
-    smallest hash. A table without any gives a field without languages."""
-    known = docs.where(use).select(
-        F.col(f"`{lang_col}`").alias("lang"), F.col(f"`{text_col}`").alias("text"),
-        F.xxhash64(F.col(f"`{id_col}`").cast("string"), F.lit("sample")).alias("place"),
-    ).where("lang is not null and length(text) between 1 and " + str(SAMPLE_CHARS))
+    """Train on documents where ``use`` holds and the language is known: of each language about ``sample_docs``, by a
+    hash of the id. A table without any gives a field without languages."""
+    known = docs.where(use).where(F.col(f"`{lang_col}`").isNotNull()).select(
+        F.col(f"`{lang_col}`").alias("lang"), F.col(f"`{text_col}`").alias("text"), F.col(f"`{id_col}`").cast("string").alias("id"),
+    )
+    counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    chosen = F.lit(False)
+    for lang, count in sorted(counts.items()):
+        chosen = chosen | ((F.col("lang") == lang) & in_sample(sample_docs, count, "id", "text"))
+    rows = known.where(chosen).where(F.length("text").between(1, SAMPLE_CHARS)).limit(2 * sample_docs * max(1, len(counts))).collect()
     samples: dict[str, list[list[str]]] = {}
-    for lang in sorted(r.lang for r in known.select("lang").distinct().collect()):
-        rows = known.where(F.col("lang") == lang).orderBy("place", "text").limit(sample_docs).select("text").collect()
-        lines = [line for r in rows if (line := WORD.findall(r.text.lower()))]
-        if lines:
-            samples[lang] = lines
+    for row in sorted(rows, key=lambda r: (r.lang, r.id or "", r.text)):
+        if line := WORD.findall(row.text.lower()):
+            samples.setdefault(row.lang, []).append(line)
     return train_field(samples)
 
 

@@ -12,9 +12,9 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import id_and_text, map_texts, rewrite_rows
+from tablewright.llm.common import id_and_text, in_sample, map_texts, rewrite_rows
 
-# Training reads at most this many documents of either label, of at most so many characters each.
+# Training reads about this many documents of either label, twice as many at most, of at most so many characters each.
 SAMPLE_DOCS = 800
 SAMPLE_CHARS = 10_000
 TRAIN_STEPS = 100
@@ -146,20 +146,22 @@ def split_lines(text: str) -> list[bytes]:
 
 def fit_line_field(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                    label_col: str = "quality", sample_docs: int = SAMPLE_DOCS) -> LineField:
-    """Train on the lines of labelled documents: at most ``sample_docs`` of either label, chosen by a hash of the id.
+    """Train on the lines of labelled documents: about ``sample_docs`` of either label, by a hash of the id.
 
     A bad document's lines begin as boilerplate; those that a first fit finds to be content although
     the document is bad become content for the second. Without documents of both labels every line is content.
     """
     marked = labels.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{label_col}`").cast("int").alias("good"))
-    chosen = [
-        marked.where(F.col("good") == good).distinct().orderBy(F.xxhash64("id"), "id").limit(sample_docs) for good in (0, 1)
-    ]
-    sample = chosen[0].unionByName(chosen[1])
+    counts = {r["good"]: r["count"] for r in marked.groupBy("good").count().collect()}
+    chosen = F.lit(False)
+    for good in (0, 1):
+        chosen = chosen | ((F.col("good") == good) & in_sample(sample_docs, counts.get(good, 0), "id"))
+    sample = marked.where(chosen).distinct().limit(4 * sample_docs)
     found = (
-        id_and_text(docs, id_col, text_col).join(F.broadcast(sample), "id")  # at most 2 * sample_docs rows
-        .where(F.length("text").between(1, SAMPLE_CHARS)).orderBy("id", "good", "text").limit(2 * sample_docs).collect()
+        id_and_text(docs, id_col, text_col).join(F.broadcast(sample), "id")  # at most 4 * sample_docs rows
+        .where(F.length("text").between(1, SAMPLE_CHARS)).limit(4 * sample_docs).collect()
     )
+    found = sorted(found, key=lambda r: (r.id, r.good, r.text))
     tables, targets = [], []
     for row in found:
         if lines := split_lines(row.text):

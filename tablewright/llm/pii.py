@@ -13,12 +13,12 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import id_and_text, map_texts, rewrite_rows
+from tablewright.llm.common import id_and_text, in_sample, map_texts, rewrite_rows
 
 KINDS = ("email", "ip", "card", "phone")
 
-# Training reads at most this many documents that hold an @ or digits, of at most so many characters.
-SAMPLE_DOCS = 2_000
+# Training looks for an @ or digits in about this many documents, of at most so many characters each.
+SAMPLE_DOCS = 10_000
 SAMPLE_CHARS = 20_000
 LEAST_PRECISION = 0.98
 TREES, DEPTH, RATE = 40, 3, 0.3
@@ -247,11 +247,13 @@ def examples(texts: list[str], seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fit_pii_trees(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sample_docs: int = SAMPLE_DOCS) -> Boosted:
-    """Train on the documents of smallest hash among those with an @ or three digits in a row."""
+    """Train on those documents that hold an @ or three digits in a row among about ``sample_docs``, by a hash of the id."""
+    texts = id_and_text(docs, id_col, text_col)
     rows = (
-        id_and_text(docs, id_col, text_col).where(F.col("text").rlike("@|[0-9]{3}") & (F.length("text") <= SAMPLE_CHARS))
-        .orderBy(F.xxhash64("id", F.lit("sample")), "text").limit(sample_docs).select("text").collect()
+        texts.where(in_sample(sample_docs, docs.count(), "id", "text"))
+        .where(F.col("text").rlike("@|[0-9]{3}") & (F.length("text") <= SAMPLE_CHARS)).limit(2 * sample_docs).collect()
     )
+    rows = sorted(rows, key=lambda r: (r.id is not None, r.id, r.text))
     table, target = examples([r.text for r in rows])
     if not len(table):
         table = np.zeros((0, len(describe(0, "", 0, 0))))
