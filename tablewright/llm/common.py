@@ -163,17 +163,3 @@ def rewrite_rows(docs: DataFrame, text_col: str, make: Callable, *args) -> DataF
                 yield whole.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
-
-
-class WordCache(dict):
-    """A dictionary that computes missing entries and starts anew when it is full: bounded memory."""
-
-    def __init__(self, compute: Callable, most: int):
-        super().__init__()
-        self.compute, self.most = compute, most
-
-    def __missing__(self, key):
-        if len(self) >= self.most:
-            self.clear()
-        value = self[key] = self.compute(key)
-        return value

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tablewright.llm.common import WordCache, id_and_text, kept, map_texts, shuffle_partitions
+from tablewright.llm.common import id_and_text, kept, map_texts, shuffle_partitions
 
 CAPACITY = 2048
 END_ID = 0
@@ -35,6 +35,7 @@ WORD_END = "</w>"
 
 # Characters for which lower case and composition are settled character by character.
 PLAIN = re.compile("[\x21-\x7eÀ-ÿ]+")
+BREAK = "\x01"
 
 
 def byte_letters() -> dict[str, int]:
@@ -69,40 +70,38 @@ class WordTokenizer:
         self.merge = tiktoken.Encoding(
             "words", pat_str=r"[^ ]+", mergeable_ranks=self.ranks, special_tokens={}
         ).encode_ordinary
-        self.unknown = len(vocabulary)
-        self.split = regex.compile(PIECES).findall
+        self.split = regex.compile(PIECES)
+        self.break_id = self.merge(BREAK + "\x00")[0]
         self.cached = cached
         self.start()
 
     def start(self) -> None:
         self.places: dict[str, int] = {"": 0}
-        self.pieces = WordCache(self.piece, self.cached)
         self.ids = np.zeros(4 * self.cached, np.uint32)
         self.starts = np.zeros(self.cached + 2, np.int64)
         self.n = 1  # words known; word 0 is the empty one
 
-    def piece(self, piece: str) -> list[int]:
-        return [i - 1 for i in self.merge(piece + "\x00")]
-
-    def word(self, word: str) -> list[int]:
-        if PLAIN.fullmatch(word):
-            found: list[int] = []
-            for piece in self.split(word.lower()):
-                found += self.pieces[piece]
-            if not found or max(found) < self.unknown:
-                return found
-        return self.library.encode(word, add_special_tokens=False).ids
-
-    def add(self, word: str) -> int:
-        found = self.word(word)
+    def learn(self, words: list[str]) -> None:
+        """Add words to the cache: plain ones are split and merged all at once, with a break after each."""
+        plain = [w for w in words if PLAIN.fullmatch(w)]
+        if plain:
+            marked = self.split.sub("\\g<0>\x00 ", f" {BREAK} ".join(plain).lower() + f" {BREAK}")
+            found = np.array(self.merge(marked), np.int64)
+            breaks = found == self.break_id
+            self.store(plain, found[~breaks] - 1, np.diff(np.append(-1, np.flatnonzero(breaks))) - 1)
+        for word in words:
+            if word not in self.places:
+                found = np.array(self.library.encode(word, add_special_tokens=False).ids, np.int64)
+                self.store([word], found, np.array([len(found)]))
+
+    def store(self, words: list[str], found: np.ndarray, lengths: np.ndarray) -> None:
         at, n = int(self.starts[self.n]), self.n
         if at + len(found) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids) // 2, len(found)), np.uint32)])
         self.ids[at : at + len(found)] = found
-        self.n += 1
-        self.starts[self.n] = at + len(found)
-        self.places[word] = n
-        return n
+        self.n += len(words)
+        self.starts[n + 1 : self.n + 1] = at + np.cumsum(lengths)
+        self.places.update(zip(words, range(n, self.n), strict=True))
 
     def encode(self, text: str) -> np.ndarray:
         # Only these four divide words here; any other white space is the library's to drop.
@@ -110,16 +109,16 @@ class WordTokenizer:
         out = []
         for first in range(0, len(line), self.cached // 2):
             part = line[first : first + self.cached // 2]
-            if self.n + len(part) > self.cached:  # room for all of them, lest places change midway
-                missing = len(set(part).difference(self.places))
-                if self.n + missing > self.cached:
-                    self.start()
             get = self.places.get
             numbers = [get(w) for w in part]
             if None in numbers:
-                for i, number in enumerate(numbers):
-                    if number is None:
-                        numbers[i] = get(part[i]) or self.add(part[i])
+                missing = list(dict.fromkeys(w for w, n in zip(part, numbers, strict=True) if n is None))
+                if self.n + len(missing) > self.cached:  # the cache is full: begin anew with this part's words
+                    self.start()
+                    missing = list(dict.fromkeys(w for w in part if w))
+                    get = self.places.get
+                self.learn(missing)
+                numbers = [get(w) for w in part]
             places = np.array(numbers)
             begin, length = self.starts[places], self.starts[places + 1] - self.starts[places]
             ends = np.cumsum(length)
