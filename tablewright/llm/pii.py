@@ -243,7 +243,8 @@ def examples(texts: list[str], seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
                 f"{number(3)}-{number(10)}", f"{number(5)}/{number(4)}", f"{number(2)} {number(2)} {number(3)}",
             ):
                 add(3, text, start, end, form, 0)
-    return np.array(table, np.float64).reshape(len(table), -1), np.array(target, np.float64)
+    width = len(describe(0, "", 0, 0))
+    return np.array(table, np.float64).reshape(len(table), width), np.array(target, np.float64)
 
 
 def fit_pii_trees(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sample_docs: int = SAMPLE_DOCS) -> Boosted:
@@ -254,10 +255,7 @@ def fit_pii_trees(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
         .where(F.col("text").rlike("@|[0-9]{3}") & (F.length("text") <= SAMPLE_CHARS)).limit(2 * sample_docs).collect()
     )
     rows = sorted(rows, key=lambda r: (r.id is not None, r.id, r.text))
-    table, target = examples([r.text for r in rows])
-    if not len(table):
-        table = np.zeros((0, len(describe(0, "", 0, 0))))
-    return train_trees(table, target)
+    return train_trees(*examples([r.text for r in rows]))
 
 
 def added_spans(text: str, base: list[tuple[int, int, int]], trees: Boosted) -> list[tuple[int, int, int]]:
