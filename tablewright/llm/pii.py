@@ -185,7 +185,8 @@ def train_trees(table: np.ndarray, target: np.ndarray, seed: int = 3) -> Boosted
         tree = Boosted(0.0, *(np.array([x]) for x in trees[-1]), ())
         raw = tree.score(table[fit])
         total += np.log(raw / (1 - raw))
-    model = Boosted(start, *(np.array([t[i] for t in trees]).reshape(len(trees), -1) for i in range(3)), ())
+    sizes = (2**DEPTH - 1, 2**DEPTH - 1, 2**DEPTH)
+    model = Boosted(start, *(np.array([t[i] for t in trees]).reshape(len(trees), n) for i, n in enumerate(sizes)), ())
     model = Boosted(model.start, model.columns.astype(np.int64), model.cuts, model.leaves, ())
     thresholds = []
     score = model.score(table[held]) if len(held) else np.zeros(0)
