@@ -299,6 +299,12 @@ SHELLS = (
     ("article",), ("main",), ("main", "article"), ("div", "class=content"), ("div", "id=content"), ("div", "class=post"),
     ("div", "class=main"), ("section", "class=article", "class=body"), ("div", "class=entry", "class=content"), ("div", "class=story"),
 )
+# Other elements that articles put their text into, with the most words that such a block has.
+INNER = (
+    (("ul", "li"), 25), (("ol", "li"), 25), (("blockquote",), 60), (("blockquote", "p"), 60), (("table", "tr", "td"), 8),
+    (("table", "tbody", "tr", "td"), 8), (("table", "tr", "th"), 4), (("pre",), 30), (("h2",), 8), (("h3",), 8), (("dl", "dt"), 4),
+    (("dl", "dd"), 25), (("figure", "figcaption"), 15), (("section", "p"), 80), (("section", "h2"), 8), (("div",), 80), (("div", "p"), 80),
+)
 NOISE = {
     "before": (
         ("nav", "ul", "li"), ("header", "div", "class=menu", "ul", "li"), ("header", "h1"), ("header", "p"),
@@ -322,7 +328,8 @@ NOISE = {
 
 
 def relaid(blocks: list[Block], labels: np.ndarray, others: list[str], random: np.random.Generator) -> tuple[list[Block], np.ndarray]:
-    """The page's content in another shell, with blocks of other pages' text set around and into it as noise."""
+    """The page's content in another shell, with lists, tables and quotes of other pages' words as more content, and with
+    blocks of other pages' text set around and into it as noise."""
     shell = SHELLS[int(random.integers(len(SHELLS)))]
     out: list[tuple[Block, float]] = []
 
@@ -342,6 +349,13 @@ def relaid(blocks: list[Block], labels: np.ndarray, others: list[str], random: n
             tag = block.path[-1] if block.path[-1] in ("p", "h1", "h2", "h3", "li", "blockquote", "td") else "p"
             nested = ("section",) if random.random() < 0.15 else ("ul",) if tag == "li" else ()
             out.append((Block(("html", "body", *shell, *nested, tag), block.text, 0), 1.0))
+            if random.random() < 0.25:
+                inner, most = INNER[int(random.integers(len(INNER)))]
+                for _ in range(int(random.integers(1, 5))):
+                    words = others[int(random.integers(len(others)))].split()
+                    first = int(random.integers(len(words)))
+                    text = " ".join(words[first : first + int(random.integers(1, most))])
+                    out.append((Block(("html", "body", *shell, *inner), text, 0), 1.0))
             if random.random() < 0.08:
                 noise("inside", 3)
     noise("after", 5)
