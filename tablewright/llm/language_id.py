@@ -156,6 +156,8 @@ def make_labeller(field: WordField):
     def label(texts):
         nonlocal scores
         lines = [WORD.findall(t.lower()) for t in texts]
+        # Some numerals are word characters too; they alone tell no language.
+        lines = [x if any(c.isalpha() for w in x for c in w) else [] for x in lines]
         order = [i for i in sorted(range(len(lines)), key=lambda i: -len(lines[i])) if lines[i]]
         langs, shares = [UNKNOWN] * len(texts), [0.0] * len(texts)
         if not order or not n:
