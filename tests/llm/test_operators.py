@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import html
 import itertools
 import re
 import zlib
@@ -275,8 +276,8 @@ def test_languages(spark, folder):
     found = language_id.identify_language(docs, field).join(docs.where(held_out), "doc_id")
     right = found.agg(F.avg((F.col("lang_pred") == F.col("lang")).cast("double"))).first()[0]
     assert right >= 0.95
-    odd = language_id.identify_language(docs_of(spark, [None, "", "12 34 !", "été"]), field).orderBy("doc_id").collect()
-    assert [r.lang_pred == "und" for r in odd] == [True, True, True, False] and all(0 <= r.score <= 1 for r in odd)
+    odd = language_id.identify_language(docs_of(spark, [None, "", "12 34 !", "x² ½", "² ½", "été"]), field).orderBy("doc_id").collect()
+    assert [r.lang_pred == "und" for r in odd] == [True, True, True, False, True, False] and all(0 <= r.score <= 1 for r in odd)
     none = language_id.fit_word_field(docs.limit(0), F.lit(True))
     assert language_id.identify_language(docs_of(spark, ["text"]), none).first().lang_pred == "und"
 
@@ -316,8 +317,32 @@ def test_pages(spark, folder):
     )
     assert [r.text for r in rows[1:]] == ["", "", ""] and all(r.n_chars == len(r.text) for r in rows)
     assert html_extraction.fit_labeller(pages.limit(0)) is None
-    texts = html_extraction.extract_main_text(pages, labeller).where("text like '%Nicht%' and page_id < 0")
-    assert texts.count() == 0
+    # The given pages have one article each, of headings and paragraphs.
+    found = {r.page_id: r.text for r in html_extraction.extract_main_text(pages, labeller).collect()}
+    assert len(found) == pages.count()
+    for row in pages.collect():
+        article = re.search(r"<article>(.*)</article>", row.html, re.DOTALL)[1]
+        blocks = [" ".join(html.unescape(re.sub("<[^>]*>", " " if "<br" in b else "", b)).split()) for b in re.split(r"</?(?:p|h1)\b[^>]*>", article)]
+        assert " ".join(found[row.page_id].split()) == " ".join(" ".join(filter(None, blocks)).split())
+
+
+def test_pages_of_other_layouts(spark, folder):
+    """Content in elements that the training pages do not have, beside noise that they do not have."""
+    pages = spark.read.parquet(f"{folder}/pages.parquet")
+    labeller = html_extraction.fit_labeller(pages)
+    page = (
+        "<html><body><ul class=menu><li><a href=/>Start</a></li><li><a href=/b>Archive</a></li></ul><main><h1>What we found there</h1>"
+        "<p>A first paragraph that says what the story is about, at some length.</p><ul><li>one thing of many</li><li>another thing</li></ul>"
+        "<h2>Some more of it</h2><blockquote><p>Somebody said so, and then said it again.</p></blockquote>"
+        "<table><tr><td>left cell</td><td>right cell</td></tr></table><p>The last paragraph, which ends the story here.</p></main>"
+        "<aside class=sidebar><h3>Read on</h3><p>Another story altogether.</p></aside><div id=footer><p>All rights reserved</p></div></body></html>"
+    )
+    [row] = html_extraction.extract_main_text(spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string"), labeller).collect()
+    assert row.text.split("\n\n") == [
+        "What we found there", "A first paragraph that says what the story is about, at some length.", "one thing of many", "another thing",
+        "Some more of it", "Somebody said so, and then said it again.", "left cell", "right cell",
+        "The last paragraph, which ends the story here.",
+    ]
 
 
 def test_network_slopes():
