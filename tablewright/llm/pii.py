@@ -1,12 +1,15 @@
 """Personal data: candidate spans from wide generators, judged by boosted trees on format and context.
 
-Base patterns (email, ip, card, phone) always stand. Wider patterns propose more spans, which may overlap; trees
-trained here score them, and a threshold per kind, set on held-out candidates, selects what is added.
+Base patterns (email, ip, card, phone) always stand. Wider patterns propose more spans, which may overlap (each run of
+neighbouring groups of digits is one); trees trained here score them, and a threshold per kind, set on held-out
+candidates, selects what is added.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, insort
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,6 +25,8 @@ SAMPLE_DOCS = 10_000
 SAMPLE_CHARS = 20_000
 LEAST_PRECISION = 0.98
 TREES, DEPTH, RATE = 40, 3, 0.3
+# Candidates that are described at a time.
+BLOCK = 20_000
 
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -31,12 +36,21 @@ CARD = re.compile(r"(?<![0-9])[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile("[0-9]")
 
-# Wider: obfuscated addresses, and any group of digits with the marks that people put between them.
+# Wider: obfuscated addresses, and chains of digit groups with the marks that people put between them.
 WIDE_EMAIL = re.compile(
     r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}\s?(?:@|[\[(]\s?at\s?[\])]|\bat\b)\s?[A-Za-z0-9-]{1,63}"
     r"(?:\s?(?:\.|[\[(]\s?dot\s?[\])]|\bdot\b)\s?[A-Za-z0-9-]{1,63}){1,4}", re.IGNORECASE
 )
-WIDE_DIGITS = re.compile(r"(?<![0-9A-Za-z])\(?(?:[0-9][\x20().\-/]{0,2}){6,19}[0-9](?![0-9A-Za-z])")
+CHAIN = re.compile(r"[0-9]+(?:[\x20().\-/]{1,2}[0-9]+)*")
+GROUP = re.compile("[0-9]+")
+LEAST_DIGITS, MOST_DIGITS = 7, 19
+# Matches are empty, so that each place may begin one.
+WIDE_IP = re.compile(
+    r"(?<![0-9A-Za-z])(?=([0-9]{1,3}(?:\s?(?:\.|[\[({]\s?(?:\.|dot)\s?[\])}]|dot)\s?[0-9]{1,3}){3})(?![0-9A-Za-z]))",
+    re.ASCII | re.IGNORECASE,
+)
+BEFORE = re.compile(r"([0-9]+)([\x20().\-/]{1,2})$")
+AFTER = re.compile(r"([\x20().\-/]{1,2})([0-9]+)")
 CUES = {
     "phone": ("tel", "phone", "call", "fax", "mobile", "cell", "whatsapp", "ring"),
     "card": ("card", "visa", "mastercard", "amex", "credit", "debit", "cc"),
@@ -88,20 +102,40 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
-def wide_spans(text: str) -> list[tuple[int, int, int]]:
+def digit_runs(text: str) -> Iterator[tuple[int, int, int]]:
+    """Each run of neighbouring groups of a chain that has 7 to 19 digits, and how many it has; a letter may not touch it."""
+    for chain in CHAIN.finditer(text):
+        if chain.end() - chain.start() < LEAST_DIGITS:
+            continue
+        groups = [m.span() for m in GROUP.finditer(text, *chain.span())]
+        for i, (start, _) in enumerate(groups):
+            if start and text[start - 1].isascii() and text[start - 1].isalpha():
+                continue
+            n = 0
+            for a, end in groups[i : i + MOST_DIGITS]:
+                n += end - a
+                if n > MOST_DIGITS:
+                    break
+                if n >= LEAST_DIGITS and not (text[end : end + 1].isascii() and text[end : end + 1].isalpha()):
+                    opened = start and text[start - 1] == "(" and ")" in text[start:end]
+                    yield start - bool(opened), end, n
+
+
+def wide_spans(text: str) -> Iterator[tuple[int, int, int]]:
     """What the generators propose; the spans may overlap one another and the base."""
-    out = []
     low = text.lower()
     if "@" in text or ("dot" in low and "at" in low):
-        out += [(0, *m.span()) for m in WIDE_EMAIL.finditer(text)]
+        yield from ((0, *m.span()) for m in WIDE_EMAIL.finditer(text))
     if DIGIT.search(text):
-        for m in WIDE_DIGITS.finditer(text):
-            n = len(digits_of(m[0]))
-            if 7 <= n <= 15:
-                out.append((3, *m.span()))
-            if 13 <= n <= 19:
-                out.append((2, *m.span()))
-    return out
+        if "." in text or "dot" in low:
+            for m in WIDE_IP.finditer(text):
+                if all(int(x) < 256 for x in GROUP.findall(m[1])):
+                    yield (1, *m.span(1))
+        for start, end, n in digit_runs(text):
+            if n <= 15:
+                yield 3, start, end
+            if n >= 13:
+                yield 2, start, end
 
 
 def describe(kind: int, text: str, start: int, end: int) -> list[float]:
@@ -111,6 +145,8 @@ def describe(kind: int, text: str, start: int, end: int) -> list[float]:
     groups = [len(g) for g in re.findall(r"[0-9]+", span)]
     before, after = text[max(0, start - 24) : start].lower(), text[end : end + 12].lower()
     words = re.findall(r"[a-z]+", before)
+    marks = re.split("[0-9]+", span)[1:-1]
+    left, right = BEFORE.search(before), AFTER.match(after)
     return [
         kind, len(span), len(digits), len(groups), groups[0] if groups else 0, groups[-1] if groups else 0,
         max(groups, default=0), groups[-2] if len(groups) > 1 else 0, span.count(" "), span.count("-"), span.count("."),
@@ -120,6 +156,9 @@ def describe(kind: int, text: str, start: int, end: int) -> list[float]:
         float(after[:1].isalnum()), float(after[:1] in ("%", "€", ",")), len(re.findall("[A-Za-z]{2,6}$", span)),
         *[float(any(w in words[-3:] for w in cue)) for cue in CUES.values()],
         float(digits[:2] in ("19", "20") and len(digits) == 8),
+        len(left[1]) if left else 0, float(bool(left) and left[2] in marks), len(right[2]) if right else 0,
+        float(bool(right) and right[1] in marks), len(set(marks)), min(groups, default=0), groups[1] if len(groups) > 1 else 0,
+        span.lower().count("dot"), max((int(g[:4]) for g in re.findall("[0-9]+", span)), default=0),
     ]
 
 
@@ -203,8 +242,9 @@ def train_trees(table: np.ndarray, target: np.ndarray, seed: int = 3) -> Boosted
 
 
 def examples(texts: list[str], seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
-    """Labelled candidates. Good ones are base spans, and base spans respelled as people do to hide or shorten them;
-    bad ones are numbers set in the same contexts: dates, amounts, versions, order numbers, numbers that fail a check."""
+    """Labelled candidates. Good ones are base spans, and base spans respelled as people do to hide or shorten them, alone
+    and beside other numbers; bad ones are numbers set in the same contexts (dates, amounts, versions, order numbers, numbers
+    that fail a check) and, beside other numbers, the runs of groups that are cut short or go on."""
     random = np.random.default_rng(seed)
     table, target = [], []
 
@@ -217,9 +257,42 @@ def examples(texts: list[str], seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
     def number(n):
         return "".join(map(str, random.integers(0, 10, n)))
 
+    def beside(kind, text, start, end, spans):
+        """The numbers in a row, some of which are whole spans of the kind: what the generators propose there."""
+        mark, new, good = (" ", " ", "  ", ". ", "/", " (")[int(random.integers(6))], "", set()
+        for span, own in spans:
+            new += mark * bool(new)
+            good |= {(len(new), len(new) + len(span))} if own else set()
+            new += span
+        low = max(0, start - 30)
+        around = text[low:start] + new + text[end : end + 15]
+        found = [c for c in wide_spans(around) if c[0] in (2, 3) and start - low <= c[1] and c[2] <= start - low + len(new)]
+        true = [c[0] == kind and (c[1] - start + low, c[2] - start + low) in good for c in found]
+        wrong = [i for i, own in enumerate(true) if not own]
+        for i in [i for i, own in enumerate(true) if own] + [wrong[i] for i in random.permutation(len(wrong))[:12]]:
+            table.append(describe(found[i][0], around, *found[i][1:]))
+            target.append(true[i])
+
+    def other():
+        year, month, day = 1950 + int(random.integers(100)), int(random.integers(1, 13)), int(random.integers(1, 29))
+        forms = (f"{year}", f"{year}-{month:02}-{day:02}", f"{day:02}.{month:02}.{year}", number(1), number(2), number(3), number(5), f"{number(2)}.{number(2)}")
+        return forms[int(random.integers(len(forms)))], False
+
+    def phone(digits):
+        a, b, c = digits[:-7], digits[-7:-4], digits[-4:]
+        return (f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"{a} {b} {c}", f"({a}){b}-{c}")
+
     for text in texts:
         for kind, start, end in base_spans(text):
             span = text[start:end]
+            if kind == 1:
+                parts = span.split(".")
+                for dot in ("[.]", "(.)", " dot ", "[dot]", " [dot] ", "(dot)", " . "):
+                    add(1, text, start, end, dot.join(parts), 1)
+                    low = [str(int(random.integers(0, 13))) for _ in range(4)]
+                    add(1, text, start, end, dot.join(low), 0)
+                    listed = text[:start] + ("version ", "section ", "chapter ")[int(random.integers(3))]
+                    add(1, listed + text[start:], len(listed), len(listed) + end - start, dot.join(low), 0)
             if kind == 0:
                 name, host = span.rsplit("@", 1)
                 for at, dot in ((" at ", " dot "), ("(at)", "(dot)"), (" [at] ", " [dot] ")):
@@ -232,11 +305,17 @@ def examples(texts: list[str], seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
                 wrong = digits[:-1] + str((int(digits[-1]) + int(random.integers(1, 10))) % 10)
                 add(2, text, start, end, wrong, 0)
                 add(3, text, start, end, wrong[:15], 0)
+                spaced = " ".join(digits[i : i + 4] for i in range(0, len(digits), 4))
+                beside(2, text, start, end, [[(spaced, True), other()], [other(), (spaced, True)], [(spaced, True), (spaced, True)]][int(random.integers(3))])
             elif kind == 3:
                 digits = digits_of(span)[-10:]
-                a, b, c = digits[:-7], digits[-7:-4], digits[-4:]
-                for form in (f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"{a} {b} {c}", f"({a}){b}-{c}"):
+                for form in phone(digits):
                     add(3, text, start, end, form, 1)
+                for _ in range(3):
+                    way, next_way = (int(x) for x in random.integers(0, 5, 2))
+                    own, more = (phone(digits)[way], True), (phone(digits[:-7] + number(7))[next_way], True)
+                    rows = [own, other()], [other(), own], [own, more], [other(), own, other()], [own, more, (phone(digits[:-7] + number(7))[way], True)]
+                    beside(3, text, start, end, rows[int(random.integers(len(rows)))])
             year, month, day = 1950 + int(random.integers(100)), int(random.integers(1, 13)), int(random.integers(1, 29))
             for form in (
                 f"{year}-{month:02}-{day:02}", f"{day:02}.{month:02}.{year}", f"{year}{month:02}{day:02}", number(8), number(12),
@@ -261,16 +340,36 @@ def fit_pii_trees(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
 
 def added_spans(text: str, base: list[tuple[int, int, int]], trees: Boosted) -> list[tuple[int, int, int]]:
     """Candidates above their kind's threshold, best first, that overlap no base span and no better one."""
-    found = [
-        (kind, a, b) for kind, a, b in wide_spans(text)
-        if trees.thresholds[kind] <= 1 and all(b <= x or y <= a for _, x, y in base)
-    ]
-    if not found:
-        return []
-    scores = trees.score(np.array([describe(*(k, text, a, b)) for k, a, b in found]))
+    held: list[tuple[int, int]] = []  # no two of them overlap
+    for _, a, b in sorted(base, key=lambda x: x[1:]):
+        if held and a < held[-1][1]:
+            held[-1] = (held[-1][0], max(b, held[-1][1]))
+        else:
+            held.append((a, b))
+
+    def free(a, b):
+        at = bisect_left(held, (b,))
+        return not at or held[at - 1][1] <= a
+
+    good: list[tuple[float, int, int, int]] = []
+    block: list[tuple[int, int, int]] = []
+
+    def judge():
+        if block:
+            scores = trees.score(np.array([describe(k, text, a, b) for k, a, b in block]))
+            good.extend((-s, *c) for s, c in zip(scores.tolist(), block, strict=True) if s >= trees.thresholds[c[0]])
+            block.clear()
+
+    for kind, a, b in wide_spans(text):
+        if trees.thresholds[kind] <= 1 and free(a, b):
+            block.append((kind, a, b))
+            if len(block) == BLOCK:
+                judge()
+    judge()
     taken: list[tuple[int, int, int]] = []
-    for score, kind, a, b in sorted(((-s, *f) for s, f in zip(scores, found, strict=True))):
-        if -score >= trees.thresholds[kind] and all(b <= x or y <= a for _, x, y in taken):
+    for _, kind, a, b in sorted(good):
+        if free(a, b):
+            insort(held, (a, b))
             taken.append((kind, a, b))
     return taken
 

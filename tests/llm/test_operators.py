@@ -199,6 +199,29 @@ def test_trees_learn_respelled_numbers():
     assert not pii.added_spans("on 2023-10-05 at 12345678 of 03.04.2021", [], trees)
 
 
+def test_numbers_beside_others_and_spelled_addresses():
+    random = np.random.default_rng(2)
+
+    def digits(n):
+        return "".join(map(str, random.integers(0, 10, n)))
+
+    texts = [
+        f"some words here +1 ({digits(3)}) 555-{digits(4)} and the host {'.'.join(map(str, random.integers(14, 256, 4)))} too, "
+        f"paid by {next(c for c in iter(lambda: '4' + digits(15), '') if pii.luhn(c))} in all" for _ in range(300)
+    ]
+    trees = pii.train_trees(*pii.examples(texts))
+    for text, spans in (
+        ("please call 555-123-4567 555-987-6543 now", ["555-123-4567", "555-987-6543"]),
+        ("on 2024-05-12 555-123-4567 called", ["555-123-4567"]),
+        ("in 2023 555-123-4567 called", ["555-123-4567"]),
+        ("lists (312) 555-0199 (312) 555-0144 (312) 555-0123 end", ["(312) 555-0199", "(312) 555-0144", "(312) 555-0123"]),
+        ("host 192[.]168[.]17[.]44 or 203 dot 99 dot 113 dot 77 and", ["192[.]168[.]17[.]44", "203 dot 99 dot 113 dot 77"]),
+        ("see version 1 . 2 . 3 . 4 of it", []),
+    ):
+        assert sorted((a, text[a:b]) for _, a, b in pii.added_spans(text, pii.base_spans(text), trees)) == [(text.index(s), s) for s in spans]
+    assert {(2, 5, 24), (3, 25, 37)} <= set(pii.wide_spans("2024 4111 1111 1111 1112 555-123-4567"))
+
+
 def test_base_secrets_equal_plain_patterns(spark):
     assign = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
     rows = secret_scan.scan_secrets(docs_of(spark, [*SPANS, *ODD])).collect()
