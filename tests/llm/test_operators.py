@@ -245,6 +245,40 @@ def test_guess_costs():
     assert cost("a" * 20_000) < 8
 
 
+def test_guess_costs_are_least_sums():
+    def plain(value):
+        best, lower = [0.0], value.lower()
+        leet = lower.translate(secret_scan.LEET)
+        for end in range(1, len(value) + 1):
+            ways = []
+            for start in range(end):
+                here = best[start] + secret_scan.SPAN_COST
+                ways.append(here + sum(map(secret_scan.brute_cost, value[start:end])))
+                ways += [here + cost for e, cost in secret_scan.known_parts(value, lower, leet, start, secret_scan.RANKS) if e == end]
+                if end - start >= 3 and len(set(value[start:end])) == 1:
+                    ways.append(here + secret_scan.brute_cost(value[start]) + np.log10(end - start))
+                if end - start >= 3 and all(lower[i : i + 2] in secret_scan.NEXT_KEYS for i in range(start, end - 1)):
+                    ways.append(here + np.log10(len("".join(secret_scan.ROWS))) + np.log10(end - start) + 0.3)
+            best.append(min(ways))
+        return best[-1]
+
+    random = np.random.default_rng(6)
+    values = ["aaaapi", "qwertyour", "aaa44pp", "ppp455w0rd", "aaaaaaaadmin", "ssss3cret", "qwertrewqwertyqwerty"]
+    values += ["".join(random.choice(list("aaaabpsw3rd5$qe1"), 24)) for _ in range(40)]
+    values += ["".join(random.choice(["aaaa", "aaapi", "key", "qwer", "erty", "yyy", "1234", "pass", "p4ss", "ss"], 9)) for _ in range(40)]
+    for value in values:
+        assert secret_scan.guess_cost(value) == pytest.approx(plain(value))
+
+
+def test_ordinary_words_are_no_secrets(spark):
+    texts = [f"The journalist wrote that securities were required, {w}." for w in text_of(1, 9)]
+    odd = ["bearer securities", "credentials: journalist", "pwd = Required", *["bearer xkqjwvpzt"] * 9, "pwd = s3cur1t135"]
+    rows = secret_scan.scan_secrets(docs_of(spark, odd + texts)).collect()
+    assert sorted(r.doc_id for r in rows if r.spans) == list(range(3, 12))
+    left = secret_scan.redact_secrets(docs_of(spark, odd + texts)).orderBy("doc_id").collect()
+    assert [r.text for r in left] == odd[:3] + ["bearer [SECRET]"] * 9 + odd[12:] + texts
+
+
 def test_redaction_keeps_columns_and_counts(spark):
     docs = docs_of(spark, [*SPANS, *ODD]).withColumn("n_chars", F.length("text").cast("long"))
     rows = {r.doc_id: r for r in secret_scan.redact_secrets(docs).collect()}
