@@ -9,6 +9,7 @@ other layouts, so that it does not depend on one site's tags.
 from __future__ import annotations
 
 import html
+import json
 import re
 import zlib
 from dataclasses import dataclass
@@ -17,11 +18,14 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import in_sample, map_texts
+from tablewright.llm.common import in_sample, kept, map_texts
 
-# Training reads about this many pages, twice as many at most, of at most so many characters each.
+# Training reads about this many pages that can be trained on, and of each at most so many blocks, of at most so many characters.
 SAMPLE_PAGES = 300
-SAMPLE_CHARS = 60_000
+SAMPLE_BLOCKS = 200
+SAMPLE_CHARS = 2_000
+# Where no page is marked, the longest texts of pages, of so many words at least, are laid out as training pages.
+PLAIN_BLOCKS, PLAIN_WORDS = 12, 5
 EPOCHS = 8
 PATH, WORDS, MEASURES, HIDDEN = 192, 96, 8, 16
 
@@ -362,24 +366,66 @@ def relaid(blocks: list[Block], labels: np.ndarray, others: list[str], random: n
     return [b for b, _ in out], np.array([x for _, x in out])
 
 
+def laid_out(blocks: list[Block]) -> list[Block]:
+    """The longest unlinked texts of a page without marks, as the paragraphs of an article."""
+    places = [i for i, b in enumerate(blocks) if len(b.text.split()) >= PLAIN_WORDS and 2 * b.link_chars <= len(b.text)]
+    places = sorted(sorted(places, key=lambda i: (-len(blocks[i].text), i))[:PLAIN_BLOCKS])
+    return [Block(("html", "body", "article", "p"), blocks[i].text, 0) for i in places]
+
+
+def make_trainer(plain: bool):
+    """The blocks of each page that are trained on and their labels, as JSON; null for a page that cannot be used.
+
+    They are at most SAMPLE_BLOCKS in a row, which begin before the content."""
+
+    def parts(texts):
+        out = []
+        for text in texts:
+            blocks = laid_out(blocks_of(text)) if plain else blocks_of(text)
+            labels = marked(blocks)
+            if labels is None:
+                out.append(None)
+                continue
+            first = max(0, int(labels.argmax()) - SAMPLE_BLOCKS // 4)
+            chosen = range(first, min(len(blocks), first + SAMPLE_BLOCKS))
+            out.append(json.dumps([(blocks[i].path, blocks[i].text[:SAMPLE_CHARS], min(blocks[i].link_chars, SAMPLE_CHARS), labels[i]) for i in chosen]))
+        return [out]
+
+    return parts
+
+
+def training_pages(table: DataFrame, total: int, n: int, plain: bool) -> list[tuple[list[Block], np.ndarray]]:
+    """About ``n`` usable pages, by a hash: the share of pages that is looked at grows until enough are found or all were seen."""
+    looked = n
+    while True:
+        part = table.where(in_sample(looked, total, "place")).where(F.length("page") > 0)
+        found = kept(map_texts(part, ["place"], "page", "part string", make_trainer, plain).where("part IS NOT NULL"))
+        usable = found.count()
+        if 3 * usable >= n or looked >= total:
+            break
+        looked *= 10
+    # The hash is even over the share that was looked at, so a part of that share is a part of the usable pages.
+    share = min(looked, total) * min(1.0, n / usable) if usable else 0
+    rows = found.where(in_sample(share, total, "place")).select("part").limit(2 * n).collect()
+    pages = [json.loads(r.part) for r in sorted(rows)]
+    return [([Block(tuple(path), text, links) for path, text, links, _ in page], np.array([x[-1] for x in page])) for page in pages]
+
+
 def fit_labeller(pages: DataFrame, *, html_col: str = "html", sample_pages: int = SAMPLE_PAGES) -> Labeller | None:
     """Train on about ``sample_pages`` pages, by a hash of the page, whose tags mark their content, each as it is and relaid twice.
 
-    None when no page is marked: then nothing can be told from menus, and no block is content.
+    However rare they are, marked pages are looked for in the whole table. Where there is none, the texts of pages are
+    laid out and trained on; None when there is no text either.
     """
-    page = pages.select(F.col(f"`{html_col}`").alias("page"), F.xxhash64(*[f"`{c}`" for c in pages.columns]).alias("place"))
-    rows = (
-        page.where(in_sample(sample_pages, pages.count(), "place")).where(F.length("page").between(1, SAMPLE_CHARS))
-        .select("page").limit(2 * sample_pages).collect()
-    )
-    rows = sorted(rows)
-    known = [(b, m) for r in rows if (b := blocks_of(r.page)) and (m := marked(b)) is not None]
-    if not known:
+    table = pages.select(F.col(f"`{html_col}`").alias("page"), F.xxhash64(*[f"`{c}`" for c in pages.columns]).alias("place"))
+    total = pages.count()
+    plain = not (known := training_pages(table, total, sample_pages, False))
+    if plain and not (known := training_pages(table, total, sample_pages, True)):
         return None
     random = np.random.default_rng(13)
     others = [b.text for blocks, _ in known for b in blocks]
-    made = known + [relaid(b, m, others, random) for b, m in known * 2]
-    made = [(b[:200], m[:200]) for b, m in made]  # training only: steps of a batch
+    made = known * (not plain) + [relaid(b, m, others, random) for b, m in known * (3 if plain else 2)]
+    made = [(b[:SAMPLE_BLOCKS], m[:SAMPLE_BLOCKS]) for b, m in made]  # training only: steps of a batch
     return train_labeller([vectors(b) for b, _ in made], [m for _, m in made])
 
 

@@ -402,6 +402,24 @@ def test_pages_of_other_layouts(spark, folder):
     ]
 
 
+def test_labellers_of_rarely_marked_pages(spark, folder):
+    """Marked pages among many others, long ones only, and none at all."""
+    given = spark.read.parquet(f"{folder}/pages.parquet")
+    some = [r.html for r in given.limit(12).collect()]
+    divs = [re.sub(r"<(/?)(?:article|main)\b[^>]*>", r"<\1div>", x) for x in some]
+    schema = "page_id long, url string, html string"
+
+    def table(htmls):
+        return spark.createDataFrame([(i, "u", x) for i, x in enumerate(htmls)], schema)
+
+    rare = [divs[i % 12] if i % 40 else some[i // 40 % 12] for i in range(400)]
+    for htmls in (rare, [x.replace("</body>", "<!--" + "x" * 60_000 + "--></body>") for x in some], divs):
+        labeller = html_extraction.fit_labeller(table(htmls), sample_pages=10)
+        assert labeller is not None
+        texts = [r.text for r in html_extraction.extract_main_text(table(htmls), labeller).collect()]
+        assert sum(map(bool, texts)) > len(texts) // 2
+
+
 def test_network_slopes():
     random = np.random.default_rng(5)
     width, h = html_extraction.PATH + html_extraction.WORDS + html_extraction.MEASURES, html_extraction.HIDDEN
