@@ -27,13 +27,25 @@ DIMENSIONS = 1 << 16
 CACHED_WORDS = 300_000
 UNKNOWN = "und"
 WORD = re.compile(r"[^\W\d_]+")
+PIECE = 24  # a longer run of letters, as in scripts without spaces, is a sequence of words of at most so many
+
+
+def words_of(text: str) -> list[str]:
+    """Runs of letters in lower case; a long one in pieces that share two letters, so that each trigram is in one of them."""
+    out = []
+    for word in WORD.findall(text.lower()):
+        if len(word) <= PIECE:
+            out.append(word)
+        else:
+            out += [word[i : i + PIECE] for i in range(0, len(word) - 2, PIECE - 2)]
+    return out
 
 
 def features(word: str) -> list[int]:
     """Hashed lexicon entry, affixes up to four letters, and trigrams."""
     framed = f"^{word}$"
     parts = {f"w{word}"} | {f"p{framed[:n]}" for n in (2, 3, 4, 5)} | {f"s{framed[-n:]}" for n in (2, 3, 4, 5)}
-    parts |= {f"g{framed[i : i + 3]}" for i in range(min(len(framed) - 2, 12))}
+    parts |= {f"g{framed[i : i + 3]}" for i in range(len(framed) - 2)}
     return [zlib.crc32(p.encode()) % DIMENSIONS for p in sorted(parts)]
 
 
@@ -142,7 +154,7 @@ def fit_word_field(docs: DataFrame, use: Column, *, id_col: str = "doc_id", text
     rows = known.where(chosen).where(F.length("text").between(1, SAMPLE_CHARS)).limit(2 * sample_docs * max(1, len(counts))).collect()
     samples: dict[str, list[list[str]]] = {}
     for row in sorted(rows, key=lambda r: (r.lang, r.id or "", r.text)):
-        if line := WORD.findall(row.text.lower()):
+        if line := words_of(row.text):
             samples.setdefault(row.lang, []).append(line)
     return train_field(samples)
 
@@ -155,7 +167,7 @@ def make_labeller(field: WordField):
 
     def label(texts):
         nonlocal scores
-        lines = [WORD.findall(t.lower()) for t in texts]
+        lines = [words_of(t) for t in texts]
         # Some numerals are word characters too; they alone tell no language.
         lines = [x if any(c.isalpha() for w in x for c in w) else [] for x in lines]
         order = [i for i in sorted(range(len(lines)), key=lambda i: -len(lines[i])) if lines[i]]

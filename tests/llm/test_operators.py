@@ -339,6 +339,25 @@ def test_languages(spark, folder):
     assert language_id.identify_language(docs_of(spark, ["text"]), none).first().lang_pred == "und"
 
 
+def test_whole_texts_without_spaces_count():
+    """Texts of one run of letters that begin and end alike; what tells their languages lies between."""
+    random = np.random.default_rng(9)
+
+    def run(letters, n):
+        return "始" * 20 + "".join(random.choice(list(letters), n)) + "終" * 20
+
+    kinds = {"x": "かきくけこさしすせそ", "y": "나라마바사아자차카타"}
+    samples = {k: [language_id.words_of(run(letters, 150)) for _ in range(40)] for k, letters in kinds.items()}
+    label = language_id.make_labeller(language_id.train_field(samples))
+    texts = [(k, run(letters, n)) for k, letters in kinds.items() for n in (60, 150, 5000) for _ in range(5)]
+    assert label([t for _, t in texts])[0] == [k for k, _ in texts]
+    long = "".join(map(chr, range(0x4E00, 0x4E00 + 1000)))
+    for n in (24, 25, 26, 46, 47, 1000):
+        pieces = language_id.words_of(long[:n])
+        assert [p[i : i + 3] for p in pieces for i in range(len(p) - 2)] == [long[i : i + 3] for i in range(n - 2)]
+    assert len(language_id.features(long[:24])) == 24 + 9
+
+
 def test_marginals_equal_all_paths():
     random = np.random.default_rng(3)
     lengths, moves = np.array([4, 2, 1]), random.normal(size=(3, 3))
