@@ -75,6 +75,27 @@ def free_name(table: DataFrame, name: str) -> str:
     return name
 
 
+ROW_BITS = 33  # monotonically_increasing_id: a row's place in its partition is below these bits
+
+
+def consecutive(table: DataFrame, *order: str) -> DataFrame:
+    """The table sorted, with ``part`` and ``number`` from 0 on; written to the shared folder.
+
+    Equal rows may lie in several partitions. Only one count per partition comes to the driver.
+    """
+    tie = table.withColumn("tie", F.monotonically_increasing_id())
+    by = [*order, "tie"]
+    lies = kept(tie.repartitionByRange(shuffle_partitions(table.sparkSession), *by).sortWithinPartitions(*by).drop("tie"))
+    spotted = lies.withColumn("spot", F.monotonically_increasing_id()).withColumn("part", F.shiftright("spot", ROW_BITS))
+    counts = {r.part: r["count"] for r in spotted.groupBy("part").count().collect()}
+    starts, total = [], 0
+    for part in range(max(counts, default=-1) + 1):
+        starts.append(total)
+        total += counts.get(part, 0)
+    first = F.get(F.array(*[F.lit(s).cast("long") for s in starts or [0]]), F.col("part").cast("int"))
+    return spotted.withColumn("number", first + F.col("spot").bitwiseAND(F.lit((1 << ROW_BITS) - 1))).drop("spot")
+
+
 SAMPLE_SLOTS = 1 << 30
 
 

@@ -17,8 +17,11 @@ from tablewright.llm import (
     language_id,
     license_scan,
     line_quality,
+    merkle_manifest,
+    near_vectors,
     packing,
     pii,
+    prefix_trie,
     secret_scan,
     token_counts,
 )
@@ -110,6 +113,22 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.build_trie(parquet(spark, folder, "conversations"))
+
+
+def op12_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_vectors.link_vectors(parquet(spark, folder, "embeddings"))
+
+
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = parquet(spark, folder, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    text = F.when(tampered, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    made = merkle_manifest.build_manifest(docs, claimed={"text": text})
+    return made.select("doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root", "verified")
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     top = str(Path(__file__).resolve().parents[2])
     if top not in sys.path:
@@ -143,6 +162,9 @@ QUERIES = {
         "op8_token_counts": op8_token_counts,
         "op9_secret_scan": op9_secret_scan,
         "op10_decontamination": op10_decontamination,
+        "op11_prefix_trie": op11_prefix_trie,
+        "op12_embedding_dedup": op12_embedding_dedup,
+        "op13_merkle_manifest": op13_merkle_manifest,
         "pipeline": pipeline,
     }.items()
 }
