@@ -48,10 +48,10 @@ def level_up(nodes: list[str]) -> list[str]:
     return [digest("".join(nodes[i : i + FANOUT])) for i in range(0, len(nodes), FANOUT)]
 
 
-def chunk_levels(leaves: list[str], alone: bool) -> list[list[str]]:
+def chunk_levels(leaves: list[str], alone: bool, height: int) -> list[list[str]]:
     """The nodes of a chunk by level. One of several chunks of a group has all its levels, even of single nodes."""
     levels = [leaves]
-    while len(levels[-1]) > 1 if alone else len(levels) <= CHUNK_LEVELS:
+    while len(levels[-1]) > 1 if alone else len(levels) <= height:
         levels.append(level_up(levels[-1]))
     return levels
 
@@ -81,13 +81,13 @@ CHUNK = "tree long, slot long, n_chunks long, ids array<long>, leaves binary, cl
 DIGEST = 32
 
 
-def pack_chunks(batches):
+def pack_chunks(batches, height: int):
     """Rows sorted by tree, chunk and place become one row per chunk, with the root of its own levels."""
     now, ids, leaves, claimed = None, [], [], []
 
     def packed():
         tree, slot, n_chunks = now
-        root = chunk_levels([x.hex() for x in leaves], n_chunks == 1)[-1][0]
+        root = chunk_levels([x.hex() for x in leaves], n_chunks == 1, height)[-1][0]
         other = b"".join(claimed) if claimed != leaves else None
         values = [tree], [slot], [n_chunks], [ids], [b"".join(leaves)], [other], [root]
         kinds = pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.string()
@@ -161,7 +161,7 @@ def butterfly(nodes: DataFrame) -> DataFrame:
     return state.where("slot < n").select("tree", "slot", "n", F.col("hash").alias("top"), "proof")
 
 
-def proven(batches):
+def proven(batches, height: int):
     """Per chunk with its proof in the group and the group's in the table: one row per leaf."""
     out: list[list] = [[] for _ in range(7)]
 
@@ -174,7 +174,7 @@ def proven(batches):
         for row in batch.to_pylist():
             raw, other = row["leaves"], row["claimed"] or row["leaves"]
             leaves = [raw[i : i + DIGEST].hex() for i in range(0, len(raw), DIGEST)]
-            levels = chunk_levels(leaves, row["n_chunks"] == 1)
+            levels = chunk_levels(leaves, row["n_chunks"] == 1, height)
             near = [beside(nodes) for nodes in levels[:-1]]
             far = beside_in_proof(row["proof"], row["slot"], row["n_chunks"])
             far += beside_in_proof(row["table_proof"], row["tree"], row["n_trees"])
@@ -207,6 +207,7 @@ def build_manifest(
     id_col: str = "doc_id",
     group_col: str = "source",
     claimed: Mapping[str, Column] | None = None,
+    height: int = CHUNK_LEVELS,
 ) -> DataFrame:
     """One row per row of ``table``: id_col, leaf, subroot, root, proof, folded_root, verified.
 
@@ -233,15 +234,15 @@ def build_manifest(
     groups = consecutive(runs.groupBy("group").agg(F.min("start").alias("first"), F.sum("n").alias("n")), "first")
     groups = groups.select("group", "first", "n", F.col("number").alias("tree"))
     of_run = runs.select("part", "group").alias("r").join(groups.alias("g"), F.expr("r.group <=> g.group")).selectExpr(
-        "r.part", "r.group", "g.first", "g.tree", f"ceil(g.n / {FANOUT**CHUNK_LEVELS}) as n_chunks"
+        "r.part", "r.group", "g.first", "g.tree", f"ceil(g.n / {FANOUT**height}) as n_chunks"
     )
     placed = numbered.alias("l").join(of_run.alias("r"), F.expr("l.part = r.part and l.group <=> r.group")).selectExpr(
-        "r.tree", f"(l.number - r.first) div {FANOUT**CHUNK_LEVELS} as slot", "r.n_chunks", "l.id", "l.leaf", "l.claimed", "l.number"
+        "r.tree", f"(l.number - r.first) div {FANOUT**height} as slot", "r.n_chunks", "l.id", "l.leaf", "l.claimed", "l.number"
     )
     chunks = kept(
         placed.repartition(shuffle_partitions(table.sparkSession), "tree", "slot")
         .sortWithinPartitions("tree", "slot", "number").drop("number")
-        .mapInArrow(pack_chunks, CHUNK)
+        .mapInArrow(lambda batches: pack_chunks(batches, height), CHUNK)
     )
 
     in_group = kept(butterfly(chunks.select("tree", "slot", F.col("n_chunks").alias("n"), "hash")))
@@ -255,6 +256,7 @@ def build_manifest(
     upper = in_group.select("tree", "slot", F.col("top").alias("subroot"), "proof").join(in_table, "tree")
     whole = chunks.drop("hash").join(upper, ["tree", "slot"])
     made = whole.mapInArrow(
-        proven, "id long, leaf string, subroot string, root string, proof string, folded_root string, verified boolean"
+        lambda batches: proven(batches, height),
+        "id long, leaf string, subroot string, root string, proof string, folded_root string, verified boolean",
     )
     return made.withColumnRenamed("id", id_col)

@@ -299,14 +299,14 @@ def link_vectors(
 ) -> DataFrame:
     """One row per row: id_col, n_links, component_id, kept.
 
-    Rows whose vectors have a cosine of at least ``threshold`` (above 0) in double precision link. A vector that is null, empty,
+    Rows whose vectors have a cosine of at least ``threshold`` (between 0 and 1) in double precision link. A vector that is null, empty,
     of length zero, or holds a null, NaN or infinite component links with nothing, and vectors of different widths never link.
     ``n_links`` counts the other rows linked directly, rows of equal vector among them; ``component_id`` is the smallest id that links
     lead to, itself included, and ``kept`` holds for rows that have that id: of rows that repeat an id, all. Rows of null id link
     with nothing, have no component and are not kept. An empty table gives no rows. Other columns are ignored.
     """
-    if not 0 < threshold <= 1:
-        raise ValueError(f"a threshold above 0 and up to 1 is needed, not {threshold}")
+    if not 0 < threshold < 1:
+        raise ValueError(f"a threshold between 0 and 1 is needed, not {threshold}")
     spark = vectors.sparkSession
     rows = vectors.select(
         F.col(f"`{id_col}`").cast("long").alias("vec_id"), F.col(f"`{vector_col}`").cast("array<double>").alias("embedding")

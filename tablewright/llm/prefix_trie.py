@@ -3,11 +3,11 @@
 A turn is known by 16 bytes of a SHA-256 of role and text, a node by 16 bytes of a chained one; texts are read
 once and not shuffled. Equal conversations are one sequence before any trie is built.
 
-A shard is what begins with one prefix: the first turn, or, where too much begins with that, the first two, four,
-eight and so on. Its subtree belongs to it alone. A task numbers the turns of its shards densely and packs a
-double array: child = BASE[node] + turn, valid if CHECK[child] = node. Walking the sequences through it gives
-the nodes, and one sweep from the deepest level up their subtrees' sums. The nodes above the shards are few; their
-sums come from the shards' roots by aggregates over all shards, however many rows share them.
+A shard is what begins with one prefix: the first turn, or, where too much begins with that, as many as it takes.
+Its subtree belongs to it alone. A task numbers the turns of its shards densely and packs a double array:
+child = BASE[node] + turn, valid if CHECK[child] = node. Walking the sequences through it gives the nodes, and one
+sweep from the deepest level up their subtrees' sums. The nodes above the shards are few; their sums come from the
+shards' roots by aggregates over all shards, however many rows share them.
 """
 
 from __future__ import annotations
@@ -146,17 +146,33 @@ def sequences(convs: DataFrame) -> DataFrame:
     return groups.join(convs.select(F.col("conv").alias("first"), "turns"), "first")
 
 
+def full(options: DataFrame) -> DataFrame:
+    """The prefixes (of rows key, size, depth, prefix) that too much begins with for one shard."""
+    begun = options.groupBy("prefix").agg(F.count("*").alias("n"), F.sum("size").alias("turns"))
+    return begun.where((F.col("n") > FEW_SEQUENCES) & (F.col("turns") > MOST_TURNS)).select("prefix")
+
+
 def with_cuts(seqs: DataFrame) -> DataFrame:
-    """Adds ``cut``, the depth of the shard that the sequence lies in; null if it ends above the shards."""
-    depths = F.expr("array_distinct(transform(sequence(0, 31), i -> least(shiftleft(1L, i), size(turns))))")
-    options = seqs.where(F.size("turns") > 0).select("key", F.size("turns").alias("size"), F.explode(depths).alias("depth"), "turns")
-    options = options.select("key", "size", "depth", F.expr("turns[cast(depth as int) - 1].key").alias("prefix"))
-    full = (
-        options.groupBy("prefix").agg(F.count("*").alias("n"), F.sum("size").alias("turns"))
-        .where((F.col("n") > FEW_SEQUENCES) & (F.col("turns") > MOST_TURNS)).select("prefix")
-    )
-    cuts = options.join(full, "prefix", "left_anti").groupBy("key").agg(F.min("depth").cast("int").alias("cut"))
-    return seqs.join(cuts, "key", "left")
+    """Adds ``cut``, the depth of the shard that the sequence lies in; null if it ends above the shards.
+
+    Prefixes of 1, 2, 4, 8, ... turns are tried for all sequences, and then every depth between the last full one and the next.
+    Sequences with a common prefix see the same counts and so choose the same depth.
+    """
+    sized = seqs.select("key", F.size("turns").alias("size"), F.transform("turns", lambda t: t["key"]).alias("keys"))
+
+    def tried(table: DataFrame, depths: str) -> DataFrame:
+        exploded = table.select("key", "size", "keys", F.explode(F.expr(depths)).alias("depth"))
+        return exploded.select("key", "size", "depth", F.expr("keys[depth - 1] as prefix"))
+
+    doubled = tried(sized.where("size > 0"), "filter(transform(sequence(0, 30), i -> shiftleft(1, i)), d -> d <= size)")
+    last = kept(doubled.join(full(doubled), "prefix", "left_semi").groupBy("key").agg(F.max("depth").alias("last")))
+    deep = sized.join(last.where("last > 1"), "key")
+    between = tried(deep.where("last < size"), "sequence(last + 1, least(2 * last, size))")
+    # What a longer sequence has passed on its way to a full prefix is full for a shorter one, too.
+    passed = deep.select(F.explode(F.expr("slice(keys, 1, last)")).alias("prefix")).distinct()
+    near = between.join(full(between).unionByName(passed), "prefix", "left_anti").groupBy("key").agg(F.min("depth").alias("near"))
+    cut = F.expr("case when size(turns) > 0 and last is null then 1 when last = 1 and size(turns) > 1 then 2 else near end")
+    return seqs.join(last, "key", "left").join(near, "key", "left").withColumn("cut", cut).drop("last", "near")
 
 
 class DoubleArray:
