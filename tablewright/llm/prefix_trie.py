@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from tablewright.llm.common import kept, shuffle_partitions
 
 # A prefix is a shard if its sequences have no more turns than this, or are no more than FEW_SEQUENCES.
-MOST_TURNS = 100_000
+MOST_TURNS = 500
 FEW_SEQUENCES = 16
 # Turns from which on a task packs the shards that it has gathered.
 TURNS_AT_ONCE = 100_000
