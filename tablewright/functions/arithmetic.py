@@ -7,6 +7,7 @@ a flat plan. Both add in the same order and give the same doubles.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -16,8 +17,10 @@ from pyspark.sql import functions as F
 MOST_PLAIN_TERMS = 200
 
 
-def literals(numbers: Sequence[float]) -> Column:
-    return F.array(*[F.lit(float(number)) for number in numbers])
+def literals(rows: Sequence[Sequence[float]]) -> Column:
+    """An array of arrays, one literal once the plan is optimised."""
+    text = json.dumps([[float(number) for number in row] for row in rows])
+    return F.from_json(F.lit(text), "array<array<double>>", {"allowNonNumericNumbers": "true"})
 
 
 def weighted_sum(values: Sequence[Column], weights: Sequence[float], start: float) -> Column:
@@ -37,18 +40,12 @@ def array_weighted_sums(
     point: Column, weights: Sequence[Sequence[float]], starts: Sequence[float]
 ) -> Column:
     """Weighted sums of one point, held as an array, for every row of ``weights``, as an array."""
-    table = F.array(
-        *[
-            F.struct(literals(row).alias("weights"), F.lit(float(start)).alias("start"))
-            for row, start in zip(weights, starts)
-        ]
-    )
 
-    def to_sum(row: Column) -> Column:
-        products = F.zip_with(point, row["weights"], lambda value, weight: weight * value)
-        return F.aggregate(products, row["start"], lambda total, product: total + product)
+    def to_sum(row: Column, start: Column) -> Column:
+        products = F.zip_with(point, row, lambda value, weight: weight * value)
+        return F.aggregate(products, start, lambda total, product: total + product)
 
-    return F.transform(table, to_sum)
+    return F.zip_with(literals(weights), F.get(literals([starts]), F.lit(0)), to_sum)
 
 
 def distance(values: Sequence[Column], center: Sequence[float]) -> Column:
@@ -67,4 +64,4 @@ def array_distances(point: Column, centers: Sequence[Sequence[float]]) -> Column
         squares = F.zip_with(point, center, lambda v, place: (v - place) * (v - place))
         return F.sqrt(F.aggregate(squares, F.lit(0.0), lambda total, square: total + square))
 
-    return F.transform(F.array(*[literals(center) for center in centers]), to_center)
+    return F.transform(literals(centers), to_center)

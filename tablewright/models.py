@@ -6,25 +6,34 @@ table with it is a projection that Catalyst plans like any other.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablewright.checks import require_columns
 from tablewright.functions.arithmetic import distance, weighted_sum
+from tablewright.functions.lookup import looked_up
 from tablewright.functions.names import as_double, quoted
 
 INTERCEPT = "Intercept"
 
 
 def small_table(spark: SparkSession, rows: Sequence[Sequence], columns: Sequence[str]) -> DataFrame:
-    """A table of model-sized rows, planned from literals."""
-    structs = [
-        F.struct(*[F.lit(value).alias(name) for name, value in zip(columns, row)]) for row in rows
-    ]
-    return spark.range(1, numPartitions=1).select(F.inline(F.array(*structs)))
+    """A table of model-sized rows of texts, numbers and arrays of numbers, planned as one literal."""
+    kinds = T.StructType([T.StructField(f"c{i}", _kind(value)) for i, value in enumerate(rows[0])])
+    named = [{f"c{i}": value for i, value in enumerate(row)} for row in rows]
+    read = F.from_json(F.lit(json.dumps(named)), T.ArrayType(kinds), {"allowNonNumericNumbers": "true"})
+    return spark.range(1, numPartitions=1).select(F.inline(read)).toDF(*columns)
+
+
+def _kind(value) -> T.DataType:
+    if isinstance(value, str):
+        return T.StringType()
+    return T.ArrayType(T.DoubleType()) if isinstance(value, (list, tuple)) else T.DoubleType()
 
 
 @dataclass(frozen=True)
@@ -102,16 +111,21 @@ class LogisticModel:
 
 @dataclass(frozen=True)
 class ClusterModel:
-    """Cluster centres; a row belongs to the nearest one."""
+    """Cluster centres; a row belongs to the nearest one. With ``vector`` the one feature is an array column that
+    holds whole points."""
 
     features: tuple[str, ...]
     centers: tuple[tuple[float, ...], ...]
     labels: tuple[str, ...] = field(default=())
+    vector: bool = False
 
     def __post_init__(self) -> None:
         if not self.centers:
             raise ValueError("a cluster model needs at least one centre")
-        if any(len(center) != len(self.features) for center in self.centers):
+        if self.vector and len(self.features) != 1:
+            raise ValueError("points are in one column")
+        width = len(self.centers[0]) if self.vector else len(self.features)
+        if any(len(center) != width for center in self.centers):
             raise ValueError("every centre needs one value per feature")
         if not self.labels:
             names = tuple(f"Cluster_{i}" for i in range(len(self.centers)))
@@ -122,14 +136,20 @@ class ClusterModel:
     def required_columns(self) -> list[str]:
         return list(self.features)
 
+    def point(self) -> Column:
+        """The row's point as an array."""
+        if self.vector:
+            return quoted(self.features[0]).cast("array<double>")
+        return F.array(*[as_double(name) for name in self.features])
+
     def distances(self) -> list[Column]:
         """The distance to every centre, in order."""
         values = [as_double(name) for name in self.features]
         return [distance(values, center) for center in self.centers]
 
     def centers_table(self, spark: SparkSession) -> DataFrame:
-        """``ClusterName`` and one column per feature, a row per centre."""
-        rows = [(label, *center) for label, center in zip(self.labels, self.centers)]
+        """``ClusterName`` and one column per feature (an array for whole points), a row per centre."""
+        rows = [(label, *([center] if self.vector else center)) for label, center in zip(self.labels, self.centers)]
         return small_table(spark, rows, ["ClusterName", *self.features])
 
 
@@ -183,17 +203,15 @@ class MixedLinearModel:
         return [*self.features, *[encoding.column for encoding in self.encodings]]
 
     def to_column(self) -> Column:
-        """A category adds its own coefficient and the base adds 0: per text column a chain of
-        comparisons, which ends at the row's category, instead of a product per indicator. An
-        unseen or null category gives null."""
+        """A category adds its own coefficient, looked up in a table of literals, and the base adds 0,
+        instead of a product per indicator. An unseen or null category gives null."""
         total = weighted_sum([as_double(name) for name in self.features], self.coefficients,
                              self.intercept)
         for encoding, weights in zip(self.encodings, self.category_coefficients):
-            value = quoted(encoding.column)
-            effect = F.when(value == F.lit(encoding.base), F.lit(0.0))
-            for category, weight in zip(encoding.encoded(), weights):
-                effect = effect.when(value == F.lit(category), F.lit(float(weight)))
-            total = total + effect
+            effects = dict(zip(encoding.encoded(), map(float, weights)))
+            if encoding.base is not None:
+                effects[encoding.base] = 0.0
+            total = total + looked_up(quoted(encoding.column), effects)
         return total
 
     def weights(self) -> list[tuple[str, float]]:

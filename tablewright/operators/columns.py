@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.checks import (
@@ -100,16 +100,12 @@ def pair_sample(df: DataFrame, x: str, y: str, n: int) -> DataFrame:
 
 
 def _first_rows(df: DataFrame, n: int) -> DataFrame:
-    """The first ``n`` rows by all columns. The input's parts are thinned in groups before one task
-    takes the first of what the groups leave, so that it reads n rows per group, not per part."""
-    group, place = free_names(df, ["group", "place"])
+    """The first ``n`` rows by all columns, for any n. Each part is sorted where it lies and only its first n rows go
+    on, to as many groups as there are shuffle partitions; of each group again n rows reach the task that merges them."""
+    [place] = free_names(df, ["place"])
     groups = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     by_all = [quoted(name) for name in df.columns]
-    return (
-        df.withColumn(group, F.spark_partition_id() % groups)
-        .withColumn(place, F.row_number().over(Window.partitionBy(group).orderBy(*by_all)))
-        .where(quoted(place) <= n)
-        .select(*by_all)
-        .orderBy(*by_all)
-        .limit(n)
-    )
+    # The id counts rows within a part from 0; its upper bits are the part's number.
+    in_part = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    thinned = df.sortWithinPartitions(*by_all).withColumn(place, in_part).where(quoted(place) < n).select(*by_all)
+    return thinned.repartition(groups).orderBy(*by_all).limit(n)

@@ -18,6 +18,8 @@ from tablewright.checks import (
 from tablewright.functions.names import quoted
 from tablewright.models import Encoding
 
+MOST_CATEGORIES = 100_000
+
 
 def one_hot_encode(
     df: DataFrame, column: str, categories: Sequence[str], base: str | None = None
@@ -47,15 +49,14 @@ def apply_encodings(df: DataFrame, encodings: Sequence[Encoding]) -> DataFrame:
 
 
 def learn_encodings(
-    df: DataFrame, columns: Sequence[str], most_categories: int | None = None
+    df: DataFrame, columns: Sequence[str], most_categories: int = MOST_CATEGORIES
 ) -> list[Encoding]:
     """The categories of each text column in sorted order, the first as base; one scan for all.
 
-    What comes back to the driver is as large as the model. With ``most_categories`` more than that
-    many in total are an error.
+    What comes back to the driver is as large as the model: more than ``most_categories`` in total
+    are an error.
     """
-    if most_categories is not None:
-        check_integer("most_categories", most_categories, low=1)
+    check_integer("most_categories", most_categories, low=1)
     require_selection(columns)
     require_columns(df, columns, CATEGORICAL)
     pairs = F.array(
@@ -65,10 +66,8 @@ def learn_encodings(
         ]
     )
     different = df.select(F.inline(pairs)).where(F.col("category").isNotNull()).distinct()
-    if most_categories is not None:
-        different = different.limit(most_categories + 1)
-    found = different.collect()
-    if most_categories is not None and len(found) > most_categories:
+    found = different.limit(most_categories + 1).collect()
+    if len(found) > most_categories:
         raise ValueError(f"more than {most_categories} categories in the columns {list(columns)}")
     encodings = []
     for i, name in enumerate(columns):

@@ -12,16 +12,15 @@ from tablewright.checks import check_integer
 
 
 def spread(df: DataFrame, num_partitions: int | None = None) -> DataFrame:
-    """Deal the rows out evenly over ``num_partitions``, never fewer than the default parallelism
-    or than the input has. Rows are dealt by position, not by key, so no value can make one part
-    large. Counting the parts of an input that is shuffled runs it up to its last shuffle."""
+    """Deal the rows out evenly over ``num_partitions``, never fewer than the default parallelism.
+    Rows are dealt by position, not by key, so no value can make one part large. Nothing runs:
+    the parts that the input has are not counted."""
     if num_partitions is not None:
         check_integer("num_partitions", num_partitions, low=1)
     default = df.sparkSession.conf.get("spark.default.parallelism", None)
     if default is None:
         default = df.sparkSession.sparkContext.defaultParallelism
-    present = 1 if df.isStreaming else df.rdd.getNumPartitions()
-    return df.repartition(max(num_partitions or 1, int(default), present))
+    return df.repartition(max(num_partitions or 1, int(default)))
 
 
 @contextmanager

@@ -100,23 +100,24 @@ def _label_at(position: Column, labels: Sequence[str]) -> Column:
 def score_clusters(df: DataFrame, model: ClusterModel, cluster: str = CLUSTER) -> DataFrame:
     """All columns, then ``distance_<label>`` to every centre and the label of the nearest.
 
-    Of centres at the same distance the first one wins. A null feature gives nulls.
+    Of centres at the same distance the first one wins. A null feature gives nulls, and so do a point of another
+    width than the centres and one with a null in it.
     """
     require_model_columns(df, model)
     names = [f"distance_{label}" for label in model.labels]
     require_new_columns(df, [*names, cluster])
-    values = [as_double(name) for name in model.features]
     passed = [quoted(name) for name in df.columns]
     nearest_gap, point, gaps = free_names(df, ["nearest", "point", "distances"])
-    if len(values) * len(names) <= arithmetic.MOST_PLAIN_TERMS:
+    if not model.vector and len(model.features) * len(names) <= arithmetic.MOST_PLAIN_TERMS:
         distances = [quoted(name) for name in names]
         scored = df.select(
             *passed, *[gap.alias(name) for name, gap in zip(names, model.distances())]
         ).select("*", _least(distances).alias(nearest_gap))
         label = _first_match(F.col(nearest_gap), distances, model.labels)
         return scored.select(*passed, *distances, label.alias(cluster))
-    scored = df.select(*passed, F.array(*values).alias(point)).select(
-        *passed, arithmetic.array_distances(F.col(point), model.centers).alias(gaps)
+    whole = F.when(F.size(F.col(point)) == len(model.centers[0]), F.col(point))
+    scored = df.select(*passed, model.point().alias(point)).select(
+        *passed, arithmetic.array_distances(whole, model.centers).alias(gaps)
     )
     nearest = F.array_position(gaps, F.array_min(gaps))
     return scored.select(

@@ -342,7 +342,17 @@ SQL: dict[str, str] = {
         FROM lineitem
     """,
     "fit_mixed_wide": f"""
-        WITH {MIXED_WIDE} SELECT 'l_quantity' AS "Predictors", round(b, 5) AS "Weights" FROM slope
+        WITH {MIXED_WIDE}
+        SELECT 'Intercept' AS "Predictors", round(a0, 5) AS "Weights" FROM base
+        UNION ALL SELECT 'l_quantity', round(b, 5) FROM slope
+        UNION ALL SELECT 'part_group_' || g, round(a - a0, 5) FROM levels CROSS JOIN base
+                  WHERE g > (SELECT min(g) FROM levels)
+    """,
+    # The normal equations: nothing is left of the errors in any category.
+    "fit_mixed_two_texts": """
+        SELECT 'part_group' AS name, (l_partkey % 1000)::VARCHAR AS value, count(*) AS n, 0.0::DOUBLE AS error FROM lineitem GROUP BY 2
+        UNION ALL SELECT 'order_group', (l_orderkey % 1000)::VARCHAR, count(*), 0.0 FROM lineitem GROUP BY 2
+        UNION ALL SELECT 'l_quantity', '', count(*), 0.0 FROM lineitem
     """,
     "fit_kmeans": """
         SELECT 'Cluster_' || (l_linenumber - min(l_linenumber) OVER ()) AS "ClusterName",

@@ -503,12 +503,31 @@ def predict_mixed(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def fit_mixed_wide(spark: SparkSession, folder: str) -> DataFrame:
-    """A text column of 1,500 values: the slope, which is that within the groups."""
+    """A text column of 1,500 values: all weights."""
     lines = priced_lineitem(spark, folder).select(
         "price_k", "l_quantity", (F.col("l_partkey") % 1500).cast("string").alias("part_group")
     )
     model = training.fit_mixed_regression(lines, "price_k", ["l_quantity", "part_group"])
-    return rounded(weights_table(spark, model), ["Weights"], 5).where("Predictors = 'l_quantity'")
+    return rounded(weights_table(spark, model), ["Weights"], 5)
+
+
+@query
+def fit_mixed_two_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """Two text columns of 1,000 values each. The least error is where the errors of every category, and
+    those times the quantity, add up to nothing: rows per category with the mean error."""
+    lines = priced_lineitem(spark, folder).select(
+        "price_k", "l_quantity",
+        (F.col("l_partkey") % 1000).cast("string").alias("part_group"),
+        (F.col("l_orderkey") % 1000).cast("string").alias("order_group"),
+    )
+    model = training.fit_mixed_regression(lines, "price_k", ["l_quantity", "part_group", "order_group"])
+    scored = scoring.predict_linear(lines, model).withColumn("error", F.col("price_k") - F.col("prediction"))
+    cells = F.inline(F.array(
+        *[F.struct(F.lit(c).alias("name"), F.col(c).alias("value"), F.col("error").alias("error")) for c in ("part_group", "order_group")],
+        F.struct(F.lit("l_quantity").alias("name"), F.lit("").alias("value"), (F.col("error") * F.col("l_quantity")).alias("error")),
+    ))
+    found = scored.select(cells).groupBy("name", "value").agg(F.count("*").alias("n"), F.avg("error").alias("error"))
+    return found.select("name", "value", "n", (F.round("error", 6) + F.lit(0.0)).alias("error"))
 
 
 @query
@@ -533,15 +552,9 @@ def fit_kmeans_separated(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def fit_kmeans_embeddings(spark: SparkSession, folder: str) -> DataFrame:
     """Whole vectors, the first element moved by their label: a cluster per label."""
-    stored = table(spark, folder, "embeddings")
-    widths = stored.agg(F.min(F.size("embedding")), F.max(F.size("embedding"))).first()
-    if widths[0] != widths[1]:
-        raise ValueError(f"the vectors have from {widths[0]} to {widths[1]} elements")
-    moved = F.get("embedding", F.lit(0)) + 100 * F.col("label")
-    vectors = stored.select(
-        "vec_id", moved.alias("e0"), *[F.get("embedding", F.lit(i)).alias(f"e{i}") for i in range(1, widths[0])]
-    )
-    model = training.fit_kmeans(vectors, vectors.columns[1:], k=10, seed=RANDOM_SEED)
+    moved = F.expr("transform(embedding, (x, i) -> if(i = 0, x + 100.0D * label, cast(x as double)))")
+    vectors = table(spark, folder, "embeddings").select("vec_id", moved.alias("point"))
+    model = training.fit_kmeans(vectors, ["point"], k=10, seed=RANDOM_SEED)
     return scoring.score_clusters(vectors, model).select("vec_id", "cluster")
 
 

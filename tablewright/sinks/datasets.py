@@ -94,7 +94,7 @@ def save_as_table_or_view(
     A view lives as long as the session and stores nothing. A table is written by all tasks; with
     ``path`` its files lie there, else in the warehouse. A name in use is an error unless
     ``drop_if_exists`` is set: a view then replaces the view of that name, and a table, once it is
-    written, whatever has its name. Nothing that depends on that is dropped with it. Give a new
+    written, whatever has its name, which stays if that fails. Nothing that depends on that is dropped with it. Give a new
     ``path`` to a new table: it may not lie where the old one does.
     """
     spark = df.sparkSession
@@ -119,11 +119,32 @@ def save_as_table_or_view(
     except Exception:
         spark.sql(f"DROP TABLE IF EXISTS {staged}")
         raise
-    drop_table_or_view(spark, name, schema)
-    spark.sql(f"ALTER TABLE {staged} RENAME TO {full_name}")
+    _swap(spark, staged, name, schema)
     return full_name
 
 
+def _swap(spark: SparkSession, staged: str, name: str, schema: str | None) -> None:
+    """Give ``staged`` the name. A table that has it is renamed aside first and goes last; if the second renaming
+    fails, it gets its name back, and the staged table is dropped."""
+    full_name = table_name(name, schema)
+    aside = table_name(f"{name}_{uuid.uuid4().hex}", schema)
+    if schema is None:
+        spark.catalog.dropTempView(name)
+    old = None
+    if spark.catalog.tableExists(full_name):
+        old = "VIEW" if spark.catalog.getTable(full_name).tableType == "VIEW" else "TABLE"
+        spark.sql(f"ALTER {old} {full_name} RENAME TO {aside}")
+    try:
+        spark.sql(f"ALTER TABLE {staged} RENAME TO {full_name}")
+    except Exception:
+        if old is not None:
+            spark.sql(f"ALTER {old} {aside} RENAME TO {full_name}")
+        spark.sql(f"DROP TABLE IF EXISTS {staged}")
+        raise
+    if old is not None:
+        spark.sql(f"DROP {old} IF EXISTS {aside}")
+
+
 def _write_table(df: DataFrame, full_name: str, path: str | None, fmt: str) -> None:
     writer = df.write.format(fmt).mode("errorifexists")
     if path is not None:

@@ -1,10 +1,13 @@
 from __future__ import annotations
 
 import datetime
+import re
 
 import pytest
 
-from helpers import rows, shuffles_in
+from pyspark.sql import functions as F
+
+from helpers import plan_of, rows, shuffles_in
 from tablewright.functions.dates import check_date_pattern
 from tablewright.operators import columns
 
@@ -173,3 +176,16 @@ def test_pair_sample(spark):
     sample = columns.pair_sample(big, "b", "a", 5000)
     assert sample.count() == 5000
     assert sample.first() == (-19999, 19999)
+
+
+@pytest.mark.parametrize("n", [1, 5, 999, 5000, 20_000])
+def test_previews_of_any_length_move_only_their_rows(spark, n):
+    """No part hands on more than n rows, also beyond Spark's own limit for ranked windows."""
+    df = spark.range(0, 12_000, 1, 6).select((F.col("id") * 7919 % 4001).alias("x"), (F.col("id") % 13).alias("y"))
+    want = sorted(tuple(r) for r in df.collect())[:n]
+    found = columns.pair_sample(df, "x", "y", n)
+    assert rows(found) == want
+    exchange = re.search(r"Exchange RoundRobinPartitioning.*?(?=Range)", plan_of(found), re.S)[0]
+    assert "Window" not in exchange and f"< {n}" in exchange
+    values = columns.column_values(df, "y", n, distinct=False)
+    assert [r[0] for r in values.collect()] == sorted(r.y for r in df.collect())[:n]

@@ -293,3 +293,26 @@ def test_a_failing_write_keeps_the_old_table(spark):
     assert sources.read_table(spark, name).count() == 5
     assert not [t.name for t in spark.catalog.listTables() if t.name.startswith(name + "_")]
     sinks.drop_table_or_view(spark, name)
+
+
+@pytest.mark.parametrize("kind", ["TABLE", "VIEW"])
+def test_a_failed_swap_leaves_the_old_one(spark, monkeypatch, kind):
+    name = f"swapped_{kind.lower()}"
+    spark.sql("CREATE TABLE IF NOT EXISTS swap_source AS SELECT 1 AS a")
+    spark.sql(f"CREATE {kind} {name} AS SELECT a FROM swap_source")
+    run = type(spark).sql
+
+    def failing(self, query, *args, **kwargs):
+        if query.endswith(f"RENAME TO `{name}`") and query.startswith("ALTER TABLE") and not failed:
+            failed.append(query)
+            raise RuntimeError("the catalog is away")
+        return run(self, query, *args, **kwargs)
+
+    failed = []
+    monkeypatch.setattr(type(spark), "sql", failing)
+    with pytest.raises(RuntimeError, match="away"):
+        sinks.save_as_table_or_view(spark.range(3), name, drop_if_exists=True)
+    assert failed and [r.a for r in spark.table(name).collect()] == [1]
+    sinks.save_as_table_or_view(spark.range(3), name, drop_if_exists=True)
+    assert spark.table(name).count() == 3
+    assert [t.name for t in spark.catalog.listTables() if t.name.startswith(name)] == [name]

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from helpers import rows
 from tablewright.models import LinearModel
-from tablewright.operators import encoding, scoring, training
+from tablewright.operators import absorbed, encoding, moments, scoring, training
 from tablewright.plans import workflows
 
 NAN = float("nan")
@@ -20,10 +20,10 @@ def manufactured(spark):
     )
 
 
-@pytest.fixture(params=["moments", "vectors"])
+@pytest.fixture(params=["one block", "many blocks"])
 def either_way(request, monkeypatch):
-    if request.param == "vectors":
-        monkeypatch.setattr(training, "FEW_FEATURES", 0)
+    if request.param == "many blocks":
+        monkeypatch.setattr(moments, "BLOCK", 2)
 
 
 def lasso(x: np.ndarray, y: np.ndarray, penalty: float, intercept: bool):
@@ -243,7 +243,7 @@ def test_fewer_points_than_clusters(spark):
     assert training.fit_kmeans(df, ["x"], k=5).centers == ((0.0,), (1.0,))
 
 
-INVALID = [([None, 1.0], "null"), ([NAN, 1.0], "null"), ([float("inf"), 1.0], "infinite"), ([], "no rows")]
+INVALID = [([1e200, 1.0], "too large"), ([None, 1.0], "null"), ([NAN, 1.0], "null"), ([float("inf"), 1.0], "infinite"), ([], "no rows")]
 
 
 @pytest.mark.parametrize("values, message", INVALID)
@@ -255,7 +255,7 @@ def test_clustering_has_one_error_contract(spark, values, message, k):
 
 
 @pytest.mark.parametrize("values, message", INVALID)
-@pytest.mark.parametrize("width", [5, 6])
+@pytest.mark.parametrize("width", [1, 5, 6, 200])
 def test_regression_has_one_error_contract(spark, values, message, width):
     names = [f"x{i}" for i in range(width)]
     df = spark.createDataFrame([(v,) for v in values], "y double").select(
@@ -281,6 +281,89 @@ def test_many_categories(spark):
     assert model.category_coefficients[0] == pytest.approx([float(c) for c in model.encodings[0].encoded()], abs=1e-5)
 
 
+def test_many_features_against_least_squares(spark, monkeypatch):
+    random = np.random.default_rng(3)
+    x = random.normal(size=(600, 70)) @ np.diag(np.exp(random.normal(size=70))) + random.normal(size=70) * 100
+    y = x @ random.normal(size=70) + random.normal(size=600)
+    names = [f"x{i}" for i in range(70)]
+    df = spark.createDataFrame([tuple(map(float, [*a, b])) for a, b in zip(x, y)], [*names, "y"]).repartition(7)
+    design = np.column_stack([np.ones(600), x])
+    expected = np.linalg.lstsq(design, y, rcond=None)[0]
+    for block in (256, 32):
+        monkeypatch.setattr(moments, "BLOCK", block)
+        model = training.fit_linear_regression(df, "y", names, 0, True)
+        assert [model.intercept, *model.coefficients] == pytest.approx(expected, rel=1e-6, abs=1e-8)
+    found = moments.column_moments(df)
+    assert found.second == pytest.approx(np.cov(np.column_stack([x, y]).T) * 599, rel=1e-9, abs=1e-6)
+    assert (found.n, found.missing) == (600, 0) and found.means == pytest.approx([*x.mean(0), y.mean()])
+
+
+def three_texts(seed, n, sizes, numbers=2):
+    random = np.random.default_rng(seed)
+    codes = [random.integers(0, s, n) for s in sizes]
+    x = random.normal(size=(n, numbers)) * 3 + 50
+    effects = [random.normal(size=s) * 5 for s in sizes]
+    y = 7 + x @ np.arange(1.0, numbers + 1) + sum(e[c] for e, c in zip(effects, codes)) + random.normal(size=n)
+    rows = [(*[f"c{v:04d}" for v in row], *map(float, a), float(b)) for *row, a, b in zip(*codes, x, y)]
+    return rows, [f"t{i}" for i in range(len(sizes))], [f"x{i}" for i in range(numbers)]
+
+
+@pytest.mark.parametrize("intercept", [True, False])
+@pytest.mark.parametrize("few", [200, 0])
+@pytest.mark.parametrize("sizes", [(7,), (5, 9), (30, 2, 11), (1, 6), (40, 40)])
+def test_texts_against_least_squares(spark, monkeypatch, sizes, few, intercept):
+    """Eliminated and solved at once, or by conjugate gradients."""
+    monkeypatch.setattr(absorbed, "FEW_UNKNOWNS", few)
+    rows, texts, numbers = three_texts(len(sizes), 900, sizes)
+    df = spark.createDataFrame(rows, [*texts, *numbers, "y"])
+    model = training.fit_mixed_regression(df, "y", [*texts, *numbers], fit_intercept=intercept)
+    table = {n: [r[i] for r in rows] for i, n in enumerate([*texts, *numbers, "y"])}
+    columns = [np.array(table[n]) for n in numbers]
+    for t in texts:
+        columns += [np.array([v == c for v in table[t]], float) for c in sorted(set(table[t]))[1:]]
+    design = np.column_stack([*([np.ones(900)] if intercept else []), *columns])
+    expected = np.linalg.lstsq(design, np.array(table["y"]), rcond=None)[0]
+    weights = [w for _, w in model.weights()]
+    assert weights[0 if intercept else 1 :] == pytest.approx(expected, abs=1e-7)
+    assert intercept or weights[0] == 0.0
+
+
+def test_texts_that_tell_one_another(spark, monkeypatch):
+    """A city tells its country: weights are open, predictions are not."""
+    rows = [(f"k{i % 4}", f"c{i % 12:02d}", float(i % 5), float(i % 12 + (i % 5) * 2 + (i % 3) * 0.1)) for i in range(600)]
+    df = spark.createDataFrame(rows, "country string, city string, x double, y double")
+    alone = training.fit_mixed_regression(df, "y", ["city", "x"])
+    expected = [r.prediction for r in scoring.predict_linear(df, alone).orderBy("city", "x").collect()]
+    for few in (200, 0):
+        monkeypatch.setattr(absorbed, "FEW_UNKNOWNS", few)
+        both = training.fit_mixed_regression(df, "y", ["country", "city", "x"])
+        got = [r.prediction for r in scoring.predict_linear(df, both).orderBy("city", "x").collect()]
+        assert got == pytest.approx(expected, abs=1e-8)
+
+
+def test_too_many_categories_are_never_collected(spark, monkeypatch):
+    df = spark.range(300).selectExpr("cast(id AS string) AS t", "cast(id % 30 AS string) AS u", "cast(id AS double) AS y")
+    with pytest.raises(ValueError, match="more than 100 categories"):
+        training.fit_mixed_regression(df, "y", ["t"], most_categories=100)
+    monkeypatch.setattr(absorbed, "MOST_PAIRS", 100)
+    with pytest.raises(ValueError, match="more than 100 pairs"):
+        training.fit_mixed_regression(df, "y", ["t", "u"])
+
+
+def test_rows_without_a_category(spark):
+    df = spark.createDataFrame([("a", 1.0, 1.0), ("b", 2.0, 2.0), (None, 3.0, 5.0), ("b", None, 1.0), ("a", 2.0, 3.0)], "t string, x double, y double")
+    with pytest.raises(ValueError, match="2 rows have a null"):
+        training.fit_mixed_regression(df, "y", ["t", "x"])
+    model = training.fit_mixed_regression(df, "y", ["t", "x"], invalid_rows="skip")
+    assert [w for _, w in model.weights()] == pytest.approx([-1.0, 2.0, -1.0])
+
+
+def test_penalised_texts_go_on_as_before(mixed):
+    model = training.fit_mixed_regression(mixed, "y", ["color", "x"], penalty=0.2)
+    plain = training.fit_mixed_regression(mixed, "y", ["color", "x"])
+    assert 0 < model.coefficients[0] < plain.coefficients[0]
+
+
 def test_kmeans_invariants(spark, folder):
     lines = spark.read.parquet(f"{folder}/lineitem.parquet")
     features = ["l_quantity", "l_extendedprice"]
@@ -305,6 +388,48 @@ def test_kmeans_invariants(spark, folder):
         previous = cost
 
 
+def test_equal_points_are_fitted_once_with_their_number(spark, monkeypatch):
+    """Weights pull centres as the rows themselves do."""
+    df = spark.range(4000).select(((F.col("id") % 7) * (F.col("id") % 2) + (F.col("id") % 2) * 500).cast("double").alias("x"))
+    weighted = training.fit_kmeans(df, ["x"], k=2, seed=1)
+    means = [r[1] for r in df.groupBy((F.col("x") > 250).alias("far")).avg("x").orderBy("far").collect()]
+    assert [c[0] for c in weighted.centers] == pytest.approx(means, abs=1e-9)
+    whole = training.fit_kmeans(df.select((F.col("x") + F.rand(1) * 1e-9).alias("x")), ["x"], k=2, seed=1)
+    assert np.allclose(weighted.centers, whole.centers, atol=1e-6)
+
+
+def test_points_in_an_array_column(spark):
+    parts = spark.range(300).select(
+        ((F.col("id") % 3) * 100 + F.sin("id")).alias("a"), ((F.col("id") % 3) * -50 + F.cos("id")).alias("b")
+    )
+    arrays = parts.select("a", F.array("a", "b").alias("p"))
+    for k in (1, 3):
+        by_columns, whole = training.fit_kmeans(parts, ["a", "b"], k=k, seed=4), training.fit_kmeans(arrays, ["p"], k=k, seed=4)
+        assert whole.vector and np.allclose(by_columns.centers, whole.centers, atol=1e-9)
+        left = scoring.score_clusters(parts.select("a", "b"), by_columns).drop("b").orderBy("a").collect()
+        right = scoring.score_clusters(arrays, whole).drop("p").orderBy("a").collect()
+        for x, y in zip(left, right):
+            assert x[-1] == y[-1] and list(x[:-1]) == pytest.approx(list(y[:-1]))
+    assert whole.centers_table(spark).columns == ["ClusterName", "p"]
+    assert [r.p for r in whole.centers_table(spark).collect()] == [list(c) for c in whole.centers]
+    odd = spark.createDataFrame([([1.0],), ([1.0, None],), (None,), ([],)], "p array<double>")
+    assert {r.cluster for r in scoring.score_clusters(odd, whole).collect()} == {None}
+
+
+@pytest.mark.parametrize("values, message", [
+    ([None, [1.0]], "null"), ([[1.0, NAN], [1.0, 2.0]], "null"), ([[1.0, None], [1.0, 2.0]], "null"), ([[], [1.0]], "null"),
+    ([[float("inf")], [1.0]], "infinite"), ([[1e200], [1.0]], "too large"), ([[1.0], [1.0, 2.0]], "from 1 to 2"), ([], "no rows"),
+])
+def test_array_points_have_the_same_contract(spark, values, message):
+    df = spark.createDataFrame([(v,) for v in values], "p array<double>")
+    for k in (1, 2):
+        with pytest.raises(ValueError, match=message):
+            training.fit_kmeans(df, ["p"], k=k)
+    if message == "null":
+        [sound] = [v for v in values if v and None not in v and v[-1] == v[-1]]
+        assert training.fit_kmeans(df, ["p"], k=2, invalid_rows="skip").centers == (tuple(sound),)
+
+
 def test_one_cluster_is_the_mean(spark):
     df = spark.createDataFrame([(1, 2.0), (3, 6.0), (None, 1.0)], "x int, y double")
     assert training.fit_kmeans(df, ["x", "y"], k=1, invalid_rows="skip").centers == ((2.0, 4.0),)
