@@ -16,6 +16,7 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import tiktoken
 from pyspark.sql import DataFrame, Window
@@ -26,7 +27,7 @@ from tablewright.llm.common import id_and_text, kept, map_texts, shuffle_partiti
 
 CAPACITY = 2048
 END_ID = 0
-CACHED_WORDS = 400_000
+CACHED_WORDS = 1_000_000
 RANK_BITS = 44
 
 # Fixed values of the vocabulary's own format: how it splits text, and how it ends a word.
@@ -49,12 +50,11 @@ class WordTokenizer:
     """Ids of texts, the same as the library's for the vocabulary file, word by word from a cache.
 
     Words of plain letters missing from the cache are merged by rank, with byte 0 as the mark of a
-    word's end; all others go to the library itself.
+    word's end; all others go to the library itself, and so do whole texts that hold a special token's name.
     """
 
     def __init__(self, file: str, cached: int = CACHED_WORDS):
         self.library = Tokenizer.from_file(file)
-        self.library.encode_special_tokens = True
         with open(file, encoding="utf-8") as f:
             vocabulary = json.load(f)["model"]["vocab"]
         letters, self.ranks = byte_letters(), {b"\x00": 0}
@@ -63,8 +63,9 @@ class WordTokenizer:
             core = token.removesuffix(WORD_END)
             if core and all(c in letters for c in core) and b"\x00" not in (key := bytes(letters[c] for c in core)):
                 self.ranks[key + b"\x00" * ends] = number + 1
-        for special in self.library.get_added_tokens_decoder().values():
-            self.ranks.pop(special.content.encode(), None)
+        self.specials = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        for special in self.specials:
+            self.ranks.pop(special.encode(), None)
         for byte in range(1, 256):
             self.ranks.setdefault(bytes([byte]), len(vocabulary) + 1 + byte)
         self.merge = tiktoken.Encoding(
@@ -75,10 +76,11 @@ class WordTokenizer:
         self.cached = cached
         self.start()
 
-    def start(self) -> None:
+    def start(self, room: int | None = None) -> None:
         self.places: dict[str, int] = {"": 0}
-        self.ids = np.zeros(4 * self.cached, np.uint32)
-        self.starts = np.zeros(self.cached + 2, np.int64)
+        room = room or self.cached
+        self.ids = np.zeros(4 * room, np.uint32)
+        self.starts = np.zeros(room + 2, np.int64)
         self.n = 1  # words known; word 0 is the empty one
 
     def learn(self, words: list[str]) -> None:
@@ -103,28 +105,53 @@ class WordTokenizer:
         self.starts[n + 1 : self.n + 1] = at + np.cumsum(lengths)
         self.places.update(zip(words, range(n, self.n), strict=True))
 
+    def holds_special(self, text: str) -> bool:
+        """Whether the library may read part of the text as a token of its own, in whatever case."""
+        return "<" in text and any(special.lower() in text.lower() for special in self.specials)
+
     def encode(self, text: str) -> np.ndarray:
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text. The words of all texts are told apart by Arrow, and each different one is looked up once."""
+        whole = {i: np.array(self.library.encode(t, add_special_tokens=False).ids, np.uint32)
+                 for i, t in enumerate(texts) if self.holds_special(t)}
+        column = pa.array(["" if i in whole else t for i, t in enumerate(texts)], pa.large_string())
         # Only these four divide words here; any other white space is the library's to drop.
-        line = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        out = []
-        for first in range(0, len(line), self.cached // 2):
-            part = line[first : first + self.cached // 2]
+        for space in "\n\t\r":
+            column = pc.replace_substring(column, space, " ")
+        split = pc.split_pattern(column, " ")
+        words = split.flatten().dictionary_encode()
+        numbers = self.numbers_of(words.dictionary.to_pylist())
+        ids, starts = self.ids_of_words(numbers)
+        used = words.indices.to_numpy()
+        lengths = np.diff(starts)[used]
+        ends = np.cumsum(lengths)
+        total = int(ends[-1]) if len(ends) else 0
+        flat = ids[np.arange(total) + np.repeat(starts[used] - (ends - lengths), lengths)]
+        of_text = np.append(0, ends)[split.offsets.to_numpy() - split.offsets[0].as_py()]
+        return [whole.get(i, flat[of_text[i] : of_text[i + 1]]) for i in range(len(texts))]
+
+    def numbers_of(self, words: list[str]) -> np.ndarray:
+        """The places in the cache of different words; what it lacks is learned, and it begins anew where they don't fit."""
+        get = self.places.get
+        numbers = [get(w) for w in words]
+        missing = [w for w, n in zip(words, numbers, strict=True) if n is None]
+        if missing:
+            if self.n + len(missing) > len(self.starts) - 2:
+                self.start(max(self.cached, len(words)))
+                missing = [w for w in words if w]
+            self.learn(missing)
             get = self.places.get
-            numbers = [get(w) for w in part]
-            if None in numbers:
-                missing = list(dict.fromkeys(w for w, n in zip(part, numbers, strict=True) if n is None))
-                if self.n + len(missing) > self.cached:  # the cache is full: begin anew with this part's words
-                    self.start()
-                    missing = list(dict.fromkeys(w for w in part if w))
-                    get = self.places.get
-                self.learn(missing)
-                numbers = [get(w) for w in part]
-            places = np.array(numbers)
-            begin, length = self.starts[places], self.starts[places + 1] - self.starts[places]
-            ends = np.cumsum(length)
-            if len(ends) and ends[-1]:
-                out.append(self.ids[np.arange(ends[-1]) + np.repeat(begin - (ends - length), length)])
-        return np.concatenate(out) if out else np.zeros(0, np.uint32)
+            numbers = [get(w) for w in words]
+        return np.array(numbers, np.int64)
+
+    def ids_of_words(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the words one after the other, and where each begins."""
+        begin = self.starts[numbers]
+        length = self.starts[numbers + 1] - begin
+        starts = np.append(0, np.cumsum(length))
+        return self.ids[np.arange(starts[-1]) + np.repeat(begin - starts[:-1], length)], starts
 
 
 @functools.lru_cache(1)
@@ -138,8 +165,8 @@ def make_pieces(file: str, capacity: int, keep_ids: bool):
 
     def pieces(texts):
         rows, numbers, starts, lengths, sums, ids = [], [], [], [], [], []
-        for row, text in enumerate(texts):
-            line = np.append(tokenizer.encode(text), np.uint32(END_ID)).astype("<u4")
+        for row, found in enumerate(tokenizer.encode_all(texts)):
+            line = np.append(found, np.uint32(END_ID)).astype("<u4")
             for number, start in enumerate(range(0, len(line), capacity)):
                 piece = line[start : start + capacity]
                 rows.append(row)

@@ -35,7 +35,6 @@ def test_rows_equal_plain_stages(spark, folder):
     texts = secret_scan.make_redactor(secret_scan.LEAST_COST, "[SECRET]")([t for _, t in docs])[1]
 
     library = Tokenizer.from_file(tokenizer_file())
-    library.encode_special_tokens = True
     expected = set()
     for (doc_id, _), text in zip(docs, texts, strict=True):
         ids = np.array([*library.encode(text, add_special_tokens=False).ids, 0], "<u4")
