@@ -106,6 +106,14 @@ def in_sample(n: int, total: int, *columns: Column | str) -> Column:
     return slot < F.lit(int(SAMPLE_SLOTS * min(1.0, n / total)) if total else 0)
 
 
+def stretch(text: Column | str, size: int, *columns: Column | str) -> Column:
+    """The text, or, of one above ``size`` code points, so many of them from a place that a hash of the columns chooses."""
+    text = F.col(text) if isinstance(text, str) else text
+    places = F.length(text) - size + 1
+    start = F.when(places > 1, F.pmod(F.xxhash64(*columns, F.lit("stretch")), places) + 1).otherwise(1)
+    return F.substring(text, start.cast("int"), F.lit(size))
+
+
 def slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
     """Runs of rows whose texts have about SLICE_CHARS characters together, at least one row each."""
     sizes = pc.fill_null(pc.utf8_length(batch.column(column)), 0).to_pylist()

@@ -8,6 +8,8 @@ with the largest share of them, so that code-switched text is judged by all its
 from __future__ import annotations
 
 import re
+import sys
+import unicodedata
 import zlib
 from dataclasses import dataclass
 
@@ -15,9 +17,10 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import id_and_text, in_sample, map_texts
+from tablewright.llm.common import id_and_text, in_sample, map_texts, stretch
 
-# Training reads about this many documents of each language, twice as many at most, of at most so many characters each.
+# Training reads about this many documents of each language, twice as many at most, and of each a stretch of at most
+# so many characters.
 SAMPLE_DOCS = 300
 SAMPLE_CHARS = 20_000
 SEQUENCES = 1_500  # code-switched sequences made of the sample's words
@@ -26,12 +29,26 @@ EPOCHS = 6
 DIMENSIONS = 1 << 16
 CACHED_WORDS = 300_000
 UNKNOWN = "und"
-WORD = re.compile(r"[^\W\d_]+")
+
+
+def letters_and_marks() -> str:
+    """Ranges of all letters and of the marks that belong to them (vowel signs, accents), for a class of a pattern."""
+    held = [c for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c))[0] in "LM"] + [0x200C, 0x200D]
+    ranges: list[list[int]] = []
+    for c in sorted(held):
+        if ranges and c == ranges[-1][1] + 1:
+            ranges[-1][1] = c
+        else:
+            ranges.append([c, c])
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in ranges)
+
+
+WORD = re.compile(f"[{letters_and_marks()}]+")
 PIECE = 24  # a longer run of letters, as in scripts without spaces, is a sequence of words of at most so many
 
 
 def words_of(text: str) -> list[str]:
-    """Runs of letters in lower case; a long one in pieces that share two letters, so that each trigram is in one of them."""
+    """Runs of letters and their marks in lower case; a long one in pieces that share two letters, so that each trigram is in one of them."""
     out = []
     for word in WORD.findall(text.lower()):
         if len(word) <= PIECE:
@@ -151,7 +168,8 @@ def fit_word_field(docs: DataFrame, use: Column, *, id_col: str = "doc_id", text
     chosen = F.lit(False)
     for lang, count in sorted(counts.items()):
         chosen = chosen | ((F.col("lang") == lang) & in_sample(sample_docs, count, "id", "text"))
-    rows = known.where(chosen).where(F.length("text").between(1, SAMPLE_CHARS)).limit(2 * sample_docs * max(1, len(counts))).collect()
+    part = stretch("text", SAMPLE_CHARS, "id").alias("text")
+    rows = known.where(chosen & (F.length("text") > 0)).select("lang", "id", part).limit(2 * sample_docs * max(1, len(counts))).collect()
     samples: dict[str, list[list[str]]] = {}
     for row in sorted(rows, key=lambda r: (r.lang, r.id or "", r.text)):
         if line := words_of(row.text):

@@ -12,7 +12,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import id_and_text, in_sample, map_texts, rewrite_rows
+from tablewright.llm.common import id_and_text, in_sample, map_texts, rewrite_rows, stretch
 
 # Training reads about this many documents of either label, twice as many at most, of at most so many characters each.
 SAMPLE_DOCS = 800
@@ -159,12 +159,17 @@ def fit_line_field(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id"
     sample = marked.where(chosen).distinct().limit(4 * sample_docs)
     found = (
         id_and_text(docs, id_col, text_col).join(F.broadcast(sample), "id")  # at most 4 * sample_docs rows
-        .where(F.length("text").between(1, SAMPLE_CHARS)).limit(4 * sample_docs).collect()
+        .where(F.length("text") > 0).select("id", "good", stretch("text", SAMPLE_CHARS, "id").alias("text"), "text")
+        .toDF("id", "good", "part", "text").withColumn("cut", F.length("text") > SAMPLE_CHARS).drop("text")
+        .limit(4 * sample_docs).collect()
     )
-    found = sorted(found, key=lambda r: (r.id, r.good, r.text))
+    found = sorted(found, key=lambda r: (r.id, r.good, r.part))
     tables, targets = [], []
     for row in found:
-        if lines := split_lines(row.text):
+        lines = split_lines(row.part)
+        # The first and the last line of a stretch may be parts of lines.
+        lines = lines[1:-1] if row.cut and len(lines) > 2 else lines
+        if lines:
             tables.append(line_features(lines))
             targets.append(np.full(len(lines), row.good, np.int64))
     if len({int(t[0]) for t in targets}) < 2:

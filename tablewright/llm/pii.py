@@ -20,9 +20,12 @@ from tablewright.llm.common import id_and_text, in_sample, map_texts, rewrite_ro
 
 KINDS = ("email", "ip", "card", "phone")
 
-# Training looks for an @ or digits in about this many documents, of at most so many characters each.
+# Training looks for an @ or digits in about this many documents; of a text above so many characters it takes
+# a window around the first of them.
 SAMPLE_DOCS = 10_000
 SAMPLE_CHARS = 20_000
+WINDOW, BEFORE = 2_000, 200
+SOUGHT = "@|[0-9]{3}"
 LEAST_PRECISION = 0.98
 TREES, DEPTH, RATE = 40, 3, 0.3
 # Candidates that are described at a time.
@@ -207,13 +210,17 @@ def grow(table: np.ndarray, cuts: list[np.ndarray], slope: np.ndarray, bend: np.
     return columns, where, leaves
 
 
-def train_trees(table: np.ndarray, target: np.ndarray, seed: int = 3) -> Boosted:
-    """Logistic boosting on two thirds; on the rest, per kind, the lowest threshold that keeps the precision.
+def train_trees(table: np.ndarray, target: np.ndarray, owner: np.ndarray, seed: int = 3) -> Boosted:
+    """Logistic boosting on the candidates of two thirds of the texts; on those of the rest, per kind, the lowest threshold
+    that keeps the precision. ``owner`` numbers the texts: all candidates of one are on one side.
 
     A kind without enough held-out candidates of both sorts adds nothing.
     """
     order = np.random.default_rng(seed).permutation(len(table))
-    fit, held = order[: 2 * len(order) // 3], order[2 * len(order) // 3 :]
+    texts = np.unique(owner)
+    held_texts = np.random.default_rng(seed + 1).permutation(texts)[2 * len(texts) // 3 :]
+    apart = np.isin(owner[order], held_texts)
+    fit, held = order[~apart], order[apart]
     cuts = [np.unique(np.quantile(table[fit, c], np.linspace(0.05, 0.95, 12)) if len(fit) else []) for c in range(table.shape[1])]
     rate = np.clip(target[fit].mean() if len(fit) else 0.5, 0.01, 0.99)
     start = float(np.log(rate / (1 - rate)))
@@ -241,12 +248,12 @@ def train_trees(table: np.ndarray, target: np.ndarray, seed: int = 3) -> Boosted
     return Boosted(model.start, model.columns, model.cuts, model.leaves, tuple(thresholds))
 
 
-def examples(texts: list[str], seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
-    """Labelled candidates. Good ones are base spans, and base spans respelled as people do to hide or shorten them, alone
+def examples(texts: list[str], seed: int = 5) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Labelled candidates and the number of the text of each. Good ones are base spans, and base spans respelled as people do to hide or shorten them, alone
     and beside other numbers; bad ones are numbers set in the same contexts (dates, amounts, versions, order numbers, numbers
     that fail a check) and, beside other numbers, the runs of groups that are cut short or go on."""
     random = np.random.default_rng(seed)
-    table, target = [], []
+    table, target, owner = [], [], []
 
     def add(kind, text, start, end, span, good):
         new = text[:start] + span + text[end:]
@@ -282,7 +289,8 @@ def examples(texts: list[str], seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
         a, b, c = digits[:-7], digits[-7:-4], digits[-4:]
         return (f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"{a} {b} {c}", f"({a}){b}-{c}")
 
-    for text in texts:
+    for number_of, text in enumerate(texts):
+        owner += [number_of - 1] * (len(target) - len(owner))
         for kind, start, end in base_spans(text):
             span = text[start:end]
             if kind == 1:
@@ -324,15 +332,19 @@ def examples(texts: list[str], seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
             ):
                 add(3, text, start, end, form, 0)
     width = len(describe(0, "", 0, 0))
-    return np.array(table, np.float64).reshape(len(table), width), np.array(target, np.float64)
+    owner += [len(texts) - 1] * (len(target) - len(owner))
+    return np.array(table, np.float64).reshape(len(table), width), np.array(target, np.float64), np.array(owner, np.int64)
 
 
 def fit_pii_trees(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sample_docs: int = SAMPLE_DOCS) -> Boosted:
     """Train on those documents that hold an @ or three digits in a row among about ``sample_docs``, by a hash of the id."""
     texts = id_and_text(docs, id_col, text_col)
+    first = F.length(F.regexp_extract("text", f"(?s)^(.*?)(?:{SOUGHT})", 1))
+    around = F.substring("text", F.greatest(F.lit(1), first + 1 - BEFORE), F.lit(WINDOW))
     rows = (
         texts.where(in_sample(sample_docs, docs.count(), "id", "text"))
-        .where(F.col("text").rlike("@|[0-9]{3}") & (F.length("text") <= SAMPLE_CHARS)).limit(2 * sample_docs).collect()
+        .where(F.col("text").rlike(SOUGHT)).limit(2 * sample_docs)
+        .select("id", F.when(F.length("text") <= SAMPLE_CHARS, F.col("text")).otherwise(around).alias("text")).collect()
     )
     rows = sorted(rows, key=lambda r: (r.id is not None, r.id, r.text))
     return train_trees(*examples([r.text for r in rows]))

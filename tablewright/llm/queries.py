@@ -101,7 +101,7 @@ def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
-    found = secret_scan.scan_secrets(parquet(spark, folder, "documents"))
+    found = secret_scan.scan_secrets(parquet(spark, folder, "documents"), vocabulary=tokenizer_file())
     return span_digests(found, {"n_assign": "assign", "n_access": "access", "n_hex": "hex"})
 
 

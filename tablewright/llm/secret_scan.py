@@ -7,6 +7,7 @@ guessers try first, then the words that most documents hold.
 
 from __future__ import annotations
 
+import json
 import math
 import re
 from collections.abc import Iterator
@@ -50,6 +51,7 @@ COMMON_WORDS = (
 ).split()
 RANKS = {word: rank for rank, word in enumerate(COMMON_WORDS, 1)}
 
+WORD_END = "</w>"  # how the vocabulary marks a whole word
 # The documents' own words: so many at most, of so many letters, each in so many documents at least.
 MODEL_WORDS = 50_000
 SHORTEST_WORD, LONGEST_WORD = 3, 24
@@ -169,6 +171,21 @@ def guess_cost(value: str, ranks: dict[str, int] = RANKS) -> float:
     return best[-1]
 
 
+def vocabulary_words(file: str) -> tuple[str, ...]:
+    """The whole words of a public tokenizer's vocabulary in the order of their numbers, which is about that of their
+    frequency in general text: the base of all rankings, whatever the documents."""
+    with open(file, encoding="utf-8") as f:
+        vocabulary = json.load(f)["model"]["vocab"]
+    words = ((number, token.removesuffix(WORD_END)) for token, number in vocabulary.items() if token.endswith(WORD_END))
+    return tuple(w for _, w in sorted(words) if SHORTEST_WORD <= len(w) <= LONGEST_WORD and w.isascii() and w.isalpha())
+
+
+def ranked_words(docs: DataFrame, vocabulary: str | None, *, text_col: str = "text") -> tuple[str, ...]:
+    """The vocabulary's words, then those that only the documents have, by their frequency there."""
+    base = vocabulary_words(vocabulary) if vocabulary else ()
+    return tuple(dict.fromkeys([*base, *fit_words(docs, text_col=text_col)]))
+
+
 def fit_words(docs: DataFrame, *, text_col: str = "text") -> tuple[str, ...]:
     """The words that most documents hold, most frequent first: MODEL_WORDS at most, whole bins of frequency.
 
@@ -262,14 +279,16 @@ def make_redactor(least_cost, mark, words=()):
 
 def scan_secrets(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", least_cost: float = LEAST_COST,
-    words: tuple[str, ...] | None = None,
+    words: tuple[str, ...] | None = None, vocabulary: str | None = None,
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, spans (kind, start, end, base), by start, then kind.
 
     Offsets are code points, end exclusive. A null or empty text has no spans; repeated rows get a row
-    each; null ids stay null; other columns are ignored. ``words`` are ranked ones; those of ``docs`` unless given.
+    each; null ids stay null; other columns are ignored. Texts of any length are read whole; an empty table gives no rows.
+    Of spans with one start the base ones come first. ``words`` are ranked ones; unless given, those of the file
+    ``vocabulary`` of a public tokenizer, and behind them those of ``docs``.
     """
-    words = fit_words(docs, text_col=text_col) if words is None else words
+    words = ranked_words(docs, vocabulary, text_col=text_col) if words is None else words
     return map_texts(
         id_and_text(docs, id_col, text_col), ["id"], "text",
         "spans array<struct<kind: string, start: long, end: long, base: boolean>>", make_finder, least_cost, words,
@@ -277,11 +296,11 @@ def scan_secrets(
 
 
 def redact_secrets(docs: DataFrame, *, text_col: str = "text", mark: str = "[SECRET]", least_cost: float = LEAST_COST,
-                   words: tuple[str, ...] | None = None) -> DataFrame:
+                   words: tuple[str, ...] | None = None, vocabulary: str | None = None) -> DataFrame:
     """All rows and columns of ``docs``; in their texts a mark takes the place of each secret.
 
-    Overlapping spans share a mark. ``n_chars``, where there is such a column, follows a changed text. ``words`` are
-    ranked ones; those of ``docs`` unless given.
+    Overlapping spans share a mark. ``n_chars``, where there is such a column, follows a changed text. ``words``
+    and ``vocabulary`` are as for ``scan_secrets``.
     """
-    words = fit_words(docs, text_col=text_col) if words is None else words
+    words = ranked_words(docs, vocabulary, text_col=text_col) if words is None else words
     return rewrite_rows(docs, text_col, make_redactor, least_cost, mark, words)

@@ -116,7 +116,8 @@ def test_one_of_each_group_stays(spark, copies):
 def test_packing_is_whole_gapless_and_tight(spark):
     from tokenizers import Tokenizer
 
-    texts = [*ODD, *[" ".join(text_of(i, 20 * i % 3000 + 1)) for i in range(60)], "<|endoftext|> ΣΑΣ İ ﬁ\x00 it's"]
+    texts = [*ODD, *[" ".join(text_of(i, 20 * i % 3000 + 1)) for i in range(60)], "<|endoftext|> ΣΑΣ İ ﬁ\x00 it's",
+             "a <|endoftext|> b", "a<|ENDOFTEXT|>b c<|startoftext|>", "<|endoftext|" + "x " * 3000 + "<|endoftext|>"]
     library = Tokenizer.from_file(tokenizer_file())
     expected = {}
     for i, text in enumerate(texts):
@@ -484,5 +485,81 @@ def test_token_counts_add_up(spark):
         mine = sorted((r.line, r.start, r.end, r.n_tokens) for r in rows if r.doc_id == i)
         assert sum(r[3] for r in mine) == len(encoding.encode_ordinary(text or ""))
         assert [(text or "")[a:b] for _, a, b, _ in mine] == (text or "").split("\n")
+    assert token_counts.count_tokens(docs_of(spark, []), file, pattern).count() == 0
+    fields = spark.createDataFrame([(1, "a\x1eb c", "second\x1e"), (2, None, "x"), (3, "y" * 300_000, "")], "doc_id long, text string, n_tokens string")
+    found = token_counts.count_tokens(fields, file, pattern, fields=("text", "n_tokens"), by_line=False).collect()
+    for row in fields.collect():
+        mine = {r.field: r.n_tokens for r in found if r.doc_id == row.doc_id}
+        assert sum(mine.values()) == len(encoding.encode_ordinary(f"{row.text or ''}\n{row.n_tokens}")) and set(mine) == {"text", "n_tokens"}
+    assert token_counts.attribute(np.array([3, 4, 2]), np.array([4, 9]))[1].tolist() == [1, 1]
     assert token_counts.attribute(np.array([3, 4, 2]), np.array([4, 9]))[0].tolist() == [1, 2]
     assert token_counts.attribute(np.array([2, 4]), np.array([4, 6]))[0].tolist() == [2, 0]
+
+
+# ---- training on texts that are all long
+
+
+def test_languages_of_long_texts_are_learned(spark):
+    kinds = {"aa": "bcdfg", "bb": "klmno", "cc": "pqrst", "hi": "कखगघङािीु"}
+    random = np.random.default_rng(4)
+
+    def text(letters, n):
+        return " ".join("".join(random.choice(list(letters), random.integers(2, 7))) for _ in range(n))
+
+    rows = [(i, text(kinds[k], 6000), k) for i, k in enumerate(list(kinds) * 12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert min(len(r[1]) for r in rows) > language_id.SAMPLE_CHARS
+    field = language_id.fit_word_field(docs, F.lit(True))
+    assert set(field.languages) == set(kinds)
+    found = {r.doc_id: r.lang_pred for r in language_id.identify_language(docs, field).collect()}
+    assert found == {i: k for i, _, k in rows}
+    odd = language_id.identify_language(docs_of(spark, ODD), field).collect()
+    assert {r.doc_id for r in odd if r.lang_pred == "und"} == {i for i, t in enumerate(ODD) if not any(c.isalpha() for c in t or "")}
+    assert language_id.identify_language(docs_of(spark, []), field).count() == 0
+
+
+def test_marks_belong_to_their_words():
+    assert language_id.words_of("हिन्दी भाषा में cafe\u0301, ไทย") == ["हिन्दी", "भाषा", "में", "cafe\u0301", "ไทย"]
+
+
+def test_personal_data_of_long_texts_is_learned(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    long = docs.withColumn("text", F.concat(F.repeat(F.lit("word after word "), 1500), "text", F.repeat(F.lit(" and more"), 2000)))
+    assert long.agg(F.min(F.length("text"))).first()[0] > pii.SAMPLE_CHARS
+    few, many = pii.fit_pii_trees(docs), pii.fit_pii_trees(long)
+    assert [t < 1 for t in many.thresholds] == [t < 1 for t in few.thresholds] and any(t < 1 for t in many.thresholds)
+
+
+def test_thresholds_are_held_out_by_document(monkeypatch):
+    texts = [f"mail name{i}@host{i}.org or call +1 312 555 {1000 + i}" for i in range(90)]
+    table, target, owner = pii.examples(texts)
+    assert len(owner) == len(target) and set(owner.tolist()) == set(range(90)) and (np.diff(owner) >= 0).all()
+    sides = []
+    grow = pii.grow
+    monkeypatch.setattr(pii, "grow", lambda rows, *rest: sides.append(rows) or grow(rows, *rest))
+    pii.train_trees(table, target, owner)
+    seen = {r.tobytes() for r in sides[0]}
+    whole = [all(r.tobytes() in seen for r in table[owner == i]) for i in range(90)]
+    assert sum(whole) >= 60 and len(sides[0]) == sum((owner == i).sum() for i in range(90) if i not in _held(owner))
+
+
+def _held(owner, seed=3):
+    texts = np.unique(owner)
+    return set(np.random.default_rng(seed + 1).permutation(texts)[2 * len(texts) // 3 :].tolist())
+
+
+def test_boilerplate_of_long_texts_is_learned(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    long = docs.withColumn("text", F.repeat(F.concat("text", F.lit("\n")), 200)).join(labels, "doc_id").where(F.length("text") > line_quality.SAMPLE_CHARS)
+    field = line_quality.fit_line_field(long.select("doc_id", "text"), labels)
+    assert len(np.unique(field.moves)) > 1 and np.abs(field.weights).sum() > 0
+    assert not np.array_equal(field.weights, line_quality.LineField.all_content().weights)
+
+
+def test_known_words_are_cheap_in_tables_of_any_size(spark):
+    docs = docs_of(spark, ["the bearer securities of the bank", "credentials: journalist", "password: kX9vQ2mLw7Rt"])
+    found = {r.doc_id: [(s.kind, s.start) for s in r.spans] for r in secret_scan.scan_secrets(docs, vocabulary=tokenizer_file()).collect()}
+    assert found[0] == found[1] == [] and found[2]
+    words = secret_scan.vocabulary_words(tokenizer_file())
+    assert len(words) == len(set(words)) > 5000 and "securities" in words and all(w.isalpha() for w in words)

@@ -32,7 +32,9 @@ def test_rows_equal_plain_stages(spark, folder):
         if line:
             windows.setdefault(min(10, len(line)), set()).update(grams(line, min(10, len(line))))
     docs = [d for d in docs if not any(grams(decontamination.words(d[1]), n) & w for n, w in windows.items())]
-    texts = secret_scan.make_redactor(secret_scan.LEAST_COST, "[SECRET]")([t for _, t in docs])[1]
+    left = spark.createDataFrame(docs, "doc_id long, text string")
+    words = secret_scan.ranked_words(left, tokenizer_file())
+    texts = secret_scan.make_redactor(secret_scan.LEAST_COST, "[SECRET]", words)([t for _, t in docs])[1]
 
     library = Tokenizer.from_file(tokenizer_file())
     expected = set()
