@@ -36,7 +36,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents; a mark stands in place of each secret, and n_chars follows."""
-    return redact_secrets(docs)
+    return redact_secrets(docs, vocabulary=tokenizer_file())
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
