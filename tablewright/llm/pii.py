@@ -24,7 +24,7 @@ KINDS = ("email", "ip", "card", "phone")
 # a window around the first of them.
 SAMPLE_DOCS = 10_000
 SAMPLE_CHARS = 20_000
-WINDOW, BEFORE = 2_000, 200
+STRETCH, AHEAD = 2_000, 200
 SOUGHT = "@|[0-9]{3}"
 LEAST_PRECISION = 0.98
 TREES, DEPTH, RATE = 40, 3, 0.3
@@ -340,7 +340,7 @@ def fit_pii_trees(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     """Train on those documents that hold an @ or three digits in a row among about ``sample_docs``, by a hash of the id."""
     texts = id_and_text(docs, id_col, text_col)
     first = F.length(F.regexp_extract("text", f"(?s)^(.*?)(?:{SOUGHT})", 1))
-    around = F.substring("text", F.greatest(F.lit(1), first + 1 - BEFORE), F.lit(WINDOW))
+    around = F.substring("text", F.greatest(F.lit(1), first + 1 - AHEAD), F.lit(STRETCH))
     rows = (
         texts.where(in_sample(sample_docs, docs.count(), "id", "text"))
         .where(F.col("text").rlike(SOUGHT)).limit(2 * sample_docs)
