@@ -12,10 +12,12 @@ The order used is by rising number of sets that share a signature. Signatures th
 first, and a set with more than k of those has no partner at all. This settles most sets, and all that
 merely share a frequent passage, before any pair exists.
 
-Pairs are made in three steps, checked exactly after each. First every set is paired with the first set of each of its
-signatures; then sets that share a signature but not yet a component with the nearest one of another
-component; then with all of other components that sizes and sketches leave possible. A large group of
-near copies thus costs a few pairs per member, and no link between components is lost.
+Pairs are made in three steps, checked exactly after each. First every set is paired with the nearest of the first sets of
+its signatures, so that a large group of near copies costs a few pairs per member. The sets that then share a signature with one
+of another component, and may link with it by sizes and sketches, are dealt again with sketches as wide as their sizes
+need to tell sets apart: first each with the nearest one of another component, then with all that
+these sketches leave possible. Families of sets that are alike but not enough are thus told apart where they
+lie, without a row per pair, and no link between components is lost.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.llm.common import free_name, id_and_text, kept, map_texts, shuffle_partitions
@@ -128,7 +130,13 @@ def even_buckets(spark: SparkSession, n: int) -> list[int]:
 
 SKETCH_BITS = 512
 PLAIN_ENTRY = np.dtype([("key", "<i8"), ("n", "<u2")])
-CANDIDATE_ENTRY = np.dtype([("key", "<i8"), ("root", "<i8"), ("size", "<u4"), ("sketch", "<u8", (SKETCH_BITS // 64,)), ("n", "<u2")])
+WIDEST_SKETCH = 16_384
+
+
+def candidate_entry(bits: int) -> np.dtype:
+    return np.dtype([("key", "<i8"), ("root", "<i8"), ("size", "<u4"), ("sketch", "<u8", (bits // 64,)), ("n", "<u2")])
+
+
 MOST_IN_ENTRY = 60_000
 DEALT = "bucket int, entries binary, signs binary"
 
@@ -350,10 +358,10 @@ def candidates(shared: DataFrame, sets: DataFrame, numbers: list[int]) -> DataFr
     )
 
 
-def sketch(hashes: np.ndarray) -> bytes:
-    """For each of 512 classes of hashes, whether the set holds an odd number: two sets' sketches differ in no
+def sketch(hashes: np.ndarray, bits: int = SKETCH_BITS) -> bytes:
+    """For each class of hashes, whether the set holds an odd number: two sets' sketches differ in no
     more bits than the sets differ in shingles."""
-    odd = np.bincount((mixed(hashes ^ MIX[1]) % np.uint64(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS) & 1
+    odd = np.bincount((mixed(hashes ^ MIX[1]) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
@@ -403,42 +411,102 @@ def unique_pairs(a: list[np.ndarray], b: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0], pa.int64()), pa.array(pairs[:, 1], pa.int64())], ["a", "b"])
 
 
-def dealt_candidates(sets: DataFrame, numbers: list[int]) -> DataFrame:
-    """The candidates' signatures by bucket, with sizes, sketches and components.
+def dealt_candidates(sets: DataFrame, numbers: list[int], bits: int = SKETCH_BITS) -> DataFrame:
+    """The candidates' signatures by bucket, with sizes, components and sketches of so many bits.
 
     They were cut to bucket and low bytes before, and are mixed so that their high bits are even again.
     """
+    source = "sketch" if "sketch" in sets.columns else "hashes"
 
     def run(batches):
         for batch in batches:
             for start in range(0, batch.num_rows, 2000):
                 keys, roots, sizes, sketches, signs = batch.slice(start, 2000).columns
-                table = np.zeros(len(keys), CANDIDATE_ENTRY)
+                table = np.zeros(len(keys), candidate_entry(bits))
                 table["key"], table["root"], table["size"] = (x.to_numpy(zero_copy_only=False) for x in (keys, roots, sizes))
-                table["sketch"] = np.frombuffer(b"".join(sketches.to_pylist()), "<u8").reshape(len(keys), -1)
+                made = sketches.to_pylist()
+                if source == "hashes":
+                    made = [sketch(np.frombuffer(x, "<u8"), bits) for x in made]
+                table["sketch"] = np.frombuffer(b"".join(made), "<u8").reshape(len(keys), -1)
                 groups = [mixed(np.frombuffer(x, "<u8")) & ~np.uint64(1) for x in signs.to_pylist()]
                 yield deal(table, groups, numbers)
 
-    return sets.select("key", "root", "n", "sketch", "signs").mapInArrow(run, DEALT).repartition(len(numbers), "bucket")
+    return sets.select("key", "root", "n", source, "signs").mapInArrow(run, DEALT).repartition(len(numbers), "bucket")
 
 
-def hub_pairs(members: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each set with the first of a signature."""
-    good = may_link(members[1:], members[0])
-    return np.full(int(good.sum()), members["key"][0]), members["key"][1:][good]
+def width_of(size: Column) -> Column:
+    """The bits that tell sets of about this size apart: nine times the shingles in which linked ones differ, and more."""
+    power = F.ceil(F.log2(2 * size.cast("double")))
+    return F.least(F.greatest(F.pow(F.lit(2.0), power), F.lit(float(SKETCH_BITS))), F.lit(float(WIDEST_SKETCH))).cast("int")
 
 
-def nearest_pairs(members: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each set outside of the signature's largest component with the nearest one by sketch of another component."""
+def groups_of(batches, numbers: list[int], bits: int, apart_only: bool):
+    """The entries of each signature in a task: no set of sets twice, and, if asked for, only of several components."""
+    group, (entry, owner), _, _ = gathered(batches, numbers, candidate_entry(bits))
+    if not len(group):
+        return
+    first = np.flatnonzero(changes(group))
+    end = np.append(first[1:], len(group))
+    key, root = entry["key"][owner].astype(np.uint64), entry["root"][owner]
+    whole = np.stack([np.add.reduceat(mixed(key), first), np.add.reduceat(mixed(key ^ MIX[0]), first)], 1)
+    use = np.unique(whole, axis=0, return_index=True)[1]
+    if apart_only:
+        use = use[np.minimum.reduceat(root, first)[use] != np.maximum.reduceat(root, first)[use]]
+    for i in use:
+        yield entry[owner[first[i] : end[i]]]
+
+
+def hub_pairs(members: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each set with the first of a signature, and how far apart their sketches are."""
+    good = members[1:][may_link(members[1:], members[0])]
+    return np.full(len(good), members["key"][0]), good["key"], apart(good, members[0])
+
+
+def nearest_hubs(dealt: DataFrame, numbers: list[int]) -> DataFrame:
+    """For each set and bucket, the pair (a < b) with the nearest first set of a signature."""
+
+    def run(batches):
+        found, total = [], 0
+
+        def nearest():
+            hub, key, far = (np.concatenate(x) for x in zip(*found, strict=True))
+            order = np.lexsort((hub, far, key))
+            order = order[changes(key[order])]
+            return hub[order], key[order], far[order]
+
+        for members in groups_of(batches, numbers, SKETCH_BITS, False):
+            found.append(hub_pairs(members))
+            total += len(found[-1][0])
+            if total > 500_000:
+                found = [nearest()]
+                total = 0
+        if found:
+            hub, key, _ = nearest()
+            yield unique_pairs([hub], [key])
+
+    return dealt.mapInArrow(run, "a long, b long").distinct()
+
+
+def partners(members: np.ndarray):
+    """Each set outside of the signature's largest component, with those of other components that it may link with."""
     roots, place, many = np.unique(members["root"], return_inverse=True, return_counts=True)
-    a, b = [], []
-    for i in np.flatnonzero(place != many.argmax()) if len(roots) > 1 else ():
+    for i in np.flatnonzero(place != many.argmax()):
         others = members[place != place[i]]
         others = others[may_link(others, members[i])]
         if len(others):
-            a.append(members["key"][i])
-            b.append(others["key"][apart(others, members[i]).argmin()])
-    return np.array(a, np.int64), np.array(b, np.int64)
+            yield members[i], others
+
+
+def unsettled_keys(members: np.ndarray) -> np.ndarray:
+    """The sets that may still link with one of another component."""
+    found = [np.append(others["key"], one["key"]) for one, others in partners(members)]
+    return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+
+
+def nearest_pairs(members: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each set outside of the signature's largest component with the nearest one by sketch of another component."""
+    pairs = [(one["key"], others["key"][apart(others, one).argmin()]) for one, others in partners(members)]
+    return np.array([p[0] for p in pairs], np.int64), np.array([p[1] for p in pairs], np.int64)
 
 
 def all_pairs_between(members: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -456,15 +524,13 @@ def all_pairs_between(members: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(a), np.concatenate(b)
 
 
-def pairs_within(dealt: DataFrame, numbers: list[int], choose) -> DataFrame:
-    """The pairs (a < b) that ``choose`` takes from the sets of each signature, each pair once."""
+def pairs_within(dealt: DataFrame, numbers: list[int], choose, bits: int) -> DataFrame:
+    """The pairs (a < b) that ``choose`` takes from the sets of several components that share a signature."""
 
     def run(batches):
-        group, (entry, owner), _, _ = gathered(batches, numbers, CANDIDATE_ENTRY)
-        cut = np.append(np.flatnonzero(changes(group)), len(group))
         a, b, total = [], [], 0
-        for start, end in zip(cut, cut[1:], strict=False):
-            first, second = choose(entry[owner[start:end]])
+        for members in groups_of(batches, numbers, bits, True):
+            first, second = choose(members)
             a.append(first)
             b.append(second)
             total += len(first)
@@ -474,7 +540,38 @@ def pairs_within(dealt: DataFrame, numbers: list[int], choose) -> DataFrame:
         if total:
             yield unique_pairs(a, b)
 
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    return dealt.mapInArrow(run, "a long, b long")
+
+
+def unsettled(dealt: DataFrame, numbers: list[int]) -> DataFrame:
+    """``key`` of the sets that may still link with one of another component, as far as narrow sketches tell."""
+
+    def run(batches):
+        found, total = [], 0
+        for members in groups_of(batches, numbers, SKETCH_BITS, True):
+            found.append(unsettled_keys(members))
+            total += len(found[-1])
+            if total > 500_000:
+                found = [np.unique(np.concatenate(found))]
+                total = len(found[0])
+        if total:
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(found)), pa.int64())], ["key"])
+
+    return dealt.mapInArrow(run, "key long").distinct()
+
+
+def wide_pairs(sets: DataFrame, numbers: list[int], choose) -> DataFrame:
+    """The pairs that ``choose`` takes from unsettled sets, by sketches of widths that their sizes need.
+
+    Linked sets are of one width or of neighbouring ones: a set is dealt in its own and, if one linked with it may be, in the next.
+    """
+    widths = F.array_distinct(F.array(width_of(F.col("n")), width_of(F.floor(F.col("n") * 5 / 4))))
+    wide = sets.withColumn("bits", F.explode(widths))
+    out = sets.sparkSession.createDataFrame([], "a long, b long")
+    for bits in sorted(r.bits for r in wide.select("bits").distinct().collect()):  # six widths at most
+        own = wide.where(F.col("bits") == bits)
+        out = out.unionByName(pairs_within(dealt_candidates(own, numbers, bits), numbers, choose, bits))
+    return out.distinct()
 
 
 def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -512,11 +609,11 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def join_similar(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id, n_links.
+    """One row per row of ``docs``: doc_id, n_shingles, component_id.
 
     ``component_id`` is the smallest id that links lead to; a text without words links with nothing and is
-    its own. Equal sets are one class and link with each other. ``n_links`` counts checked links of the class with other
-    classes. Rows of equal id link like any others. Rows of null id link nothing and get a null component; other columns are ignored.
+    its own. Equal sets are one class and link with each other. Components are exact; links within one are not
+    counted, as most of them need not be looked at. Rows of equal id link like any others. Rows of null id link nothing and get a null component; other columns are ignored.
 
     Equal sets are told by 64-bit numbers of their shingles' 64-bit hashes.
     """
@@ -531,28 +628,32 @@ def join_similar(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     found = kept(candidates(shared, sets.where("id is not null"), numbers))
     with_sets = kept(candidate_sets(named, found))
 
-    tested = kept(pairs_within(dealt_candidates(with_sets.withColumn("root", F.col("key")), numbers), numbers, hub_pairs))
+    tested = kept(nearest_hubs(dealt_candidates(with_sets.withColumn("root", F.col("key")), numbers), numbers))
     edges = kept(linked(tested, with_sets))
     roots = components(edges)
+
+    def rooted(table: DataFrame) -> DataFrame:
+        return table.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
+
+    open_keys = unsettled(dealt_candidates(rooted(with_sets), numbers), numbers)
+    still_open = kept(with_sets.drop("sketch").join(open_keys, "key"))
     # Near neighbours first: what they link need not be paired any more.
     for choose in (nearest_pairs, all_pairs_between):
-        rooted = with_sets.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
-        new = kept(pairs_within(dealt_candidates(rooted, numbers), numbers, choose).join(tested, ["a", "b"], "left_anti"))
+        new = kept(wide_pairs(kept(rooted(still_open)), numbers, choose).join(tested, ["a", "b"], "left_anti"))
         more = kept(linked(new, with_sets))
         if not more.isEmpty():
             edges = kept(edges.unionByName(more))
             roots = components(edges)
         tested = tested.unionByName(new)
 
-    links = edges.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.count("*").alias("n_links"))
-    whole = sets.join(roots, "key", "left").join(links, "key", "left").withColumn("root", F.coalesce("root", "key"))
-    smallest = (
+    whole = sets.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
+    # Written first, so that what joins it below may be dealt out anew where one component is large.
+    smallest = kept(
         whole.where("id is not null and key is not null").groupBy("root").agg(F.min("id").alias("component_id"))
     )
     return whole.join(smallest, "root", "left").select(
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
         F.when(F.col("key").isNull(), F.col("id")).when(F.col("id").isNotNull(), F.col("component_id")).alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"),
     )
 
 

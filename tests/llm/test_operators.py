@@ -496,6 +496,49 @@ def test_token_counts_add_up(spark):
     assert token_counts.attribute(np.array([2, 4]), np.array([4, 6]))[0].tolist() == [2, 0]
 
 
+def families(n, size, own, words=1500):
+    """Texts of ``size`` families of ``n`` that share most of their words and do not link."""
+    out = []
+    for f in range(size):
+        random = np.random.default_rng(100 + f)
+        base = [f"f{f}w{i}" for i in random.integers(0, 10**6, words)]
+        for m in range(n):
+            text = list(base)
+            for k, place in enumerate(random.choice(words, own, replace=False)):
+                text[place] = f"own{f}x{m}x{k}"
+            out.append(" ".join(text))
+    return out
+
+
+def test_unlinked_families_leave_few_pairs(spark, monkeypatch):
+    """The rows of pairs grow as the members of a family, not as their pairs."""
+    counts = {}
+    for n in (50, 100, 200):
+        made = []
+        linked = jaccard_join.linked
+        with monkeypatch.context() as patch:
+            patch.setattr(jaccard_join, "linked", lambda pairs, sets: made.append(pairs.count()) or linked(pairs, sets))
+            docs = docs_of(spark, families(n, 1, 40))
+            assert jaccard_join.join_similar(docs).where("doc_id <> component_id").count() == 0
+        counts[n] = sum(made)
+    assert counts[200] < 12 * 200 and counts[200] <= 3 * max(counts[100], 100)
+
+
+def test_sets_of_all_widths_find_their_partners(spark):
+    random = np.random.default_rng(8)
+    texts = []
+    for n in (20, 250, 520, 1000, 1030, 4000, 9000):
+        for f in range(3):
+            base = [f"g{n}x{f}x{i}" for i in random.integers(0, 10**7, n)]
+            for own in (0, max(1, n // 50), max(1, n // 46), max(1, n // 30), max(1, n // 10)):
+                text = list(base[: n - int(random.integers(0, max(1, n // 40)))])
+                for k, place in enumerate(random.choice(len(text), own, replace=False)):
+                    text[place] = f"{n}y{f}y{own}y{k}"
+                texts.append(" ".join(text))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.join_similar(docs_of(spark, texts)).collect()}
+    assert got == {i: (n, root) for i, n, root in brute_components(texts)}
+
+
 # ---- training on texts that are all long
 
 
