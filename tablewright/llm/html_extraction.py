@@ -12,6 +12,7 @@ import html
 import json
 import re
 import zlib
+from bisect import bisect_right
 from dataclasses import dataclass
 
 import numpy as np
@@ -50,6 +51,9 @@ TOKEN = re.compile(
 )
 NAMED = re.compile(r"""\b(class|id|role|hidden|aria-label|itemprop)\b(?:\s*=\s*(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++)))?""", re.IGNORECASE)
 PART = re.compile(r"[A-Za-z]+")
+UNENDED = re.compile(r"<!--|<!\[CDATA\[")
+# A block's path tells so many outer and inner elements.
+FAR = 100
 
 
 @dataclass
@@ -77,6 +81,7 @@ def blocks_of(page: str) -> list[Block]:
     """
     out: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
+    places: dict[str, list[int]] = {}  # of the open elements of each name, in the stack
     pieces: list[str] = []
     links, link_chars, at = 0, 0, 0
 
@@ -84,7 +89,8 @@ def blocks_of(page: str) -> list[Block]:
         nonlocal link_chars
         text = " ".join("".join(pieces).split())
         if text:
-            out.append(Block(tuple(x for _, parts in stack for x in parts), text, min(link_chars, len(text))))
+            near = stack if len(stack) <= 2 * FAR else stack[:FAR] + stack[-FAR:]
+            out.append(Block(tuple(x for _, parts in near for x in parts), text, min(link_chars, len(text))))
         pieces.clear()
         link_chars = 0
 
@@ -96,25 +102,35 @@ def blocks_of(page: str) -> list[Block]:
             if links:
                 link_chars += len(text)
 
+    def cut(size: int):
+        while len(stack) > size:
+            places[stack.pop()[0]].pop()
+
+    def highest(names) -> int:
+        return max((places[n][-1] for n in names if places.get(n)), default=-1)
+
+    # No tag ends behind the last ">": what looks like one there is not looked at again and again.
+    last = page.rfind(">") + 1
     position = 0
-    while m := TOKEN.search(page, position):
+    while m := TOKEN.search(page, position, last):
         add(page[at : m.start()])
         at = position = m.end()
         name = (m["name"] or "").lower()
         if not name:
+            if at == last and m[0].startswith(("<!--", "<![CDATA[")) and not m[0].endswith(("-->", "]]>")):
+                at = len(page)  # it never ends
             continue
         if m["end"]:
             if name == "a":
                 links = max(0, links - 1)
-            elif name in BLOCKS and any(name == n for n, _ in stack):
+            elif name in BLOCKS and places.get(name):
                 flush()
-                while stack.pop()[0] != name:
-                    pass
+                cut(places[name][-1])
                 links = 0
             continue
         if name in RAW:
-            end = re.compile(rf"</{name}\b[^>]*+>", re.IGNORECASE).search(page, position)
             if not m["more"].rstrip().endswith("/"):
+                end = re.compile(rf"</{name}\b[^>]*+>", re.IGNORECASE).search(page, position, last)
                 at = position = end.end() if end else len(page)
             pieces.append(" ")
         elif name == "a":
@@ -124,18 +140,20 @@ def blocks_of(page: str) -> list[Block]:
         elif name in BLOCKS:
             flush()
             links = 0
-            if any(n == "p" for n, _ in stack[-1:]):
-                stack.pop()
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] in ENDS_ITS_KIND.get(name, ()):
-                    del stack[i:]
-                    continue
-                if stack[i][0] in STOPS and name not in ("thead", "tbody", "tfoot"):
-                    break
+            if stack and stack[-1][0] == "p":
+                cut(len(stack) - 1)
+            # It ends the outermost of its kind above the innermost list or table.
+            above = -1 if name in ("thead", "tbody", "tfoot") else highest(STOPS)
+            ended = [p[bisect_right(p, above)] for n in ENDS_ITS_KIND.get(name, ()) if (p := places.get(n)) and p[-1] > above]
+            if ended:
+                cut(min(ended))
             if name not in VOID:
+                places.setdefault(name, []).append(len(stack))
                 stack.append((name, path_parts(name, m["more"])))
-    tail = page[at:]
-    add(tail if not re.match(r"<[/!?A-Za-z]", tail) else "")  # a tag that never ends is markup
+    rest = page[at:]
+    opened = UNENDED.search(rest)
+    rest = rest[: opened.start()] if opened else rest
+    add(rest if not re.match(r"<[/!?A-Za-z]", rest) else "")  # a tag that never ends is markup
     flush()
     return out
 

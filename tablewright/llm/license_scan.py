@@ -7,6 +7,8 @@ each agrees with a chance above 0.999.
 
 Windows are made only around cue words. A template's cues are chosen so that more than a fifth of its shingles hold
 one: text that holds none of them cannot contain 0.8 of the template.
+
+Licences and versions of nearly the same wording are told apart by marks, words that must all be in the window.
 """
 
 from __future__ import annotations
@@ -23,23 +25,61 @@ LEAST_CONTAINED = 0.8
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
-# Notices and grants as their publishers word them.
+# Notices and grants as their publishers word them, and the words that tell a licence or a version from
+# others of nearly the same wording: all of them must be there.
+NOTICE = (
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {family} Public License "
+    "as published by the Free Software Foundation, either version {version} of the License, or (at your option) any later version."
+)
+OLD_NOTICE = (
+    "This program is free software; you can redistribute it and/or modify it under the terms of the GNU {family} Public License "
+    "as published by the Free Software Foundation; either version {version} of the License, or (at your option) any later version."
+)
+GNU = (("GPL", "General", "2"), ("GPL", "General", "3"), ("LGPL", "Lesser General", "2.1"), ("LGPL", "Lesser General", "3"),
+       ("AGPL", "Affero General", "3"))
+CREATIVE = {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-ND": "Attribution-NoDerivatives", "BY-NC": "Attribution-NonCommercial",
+            "BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
+
+
+def gnu_templates():
+    for name, family, version in GNU:
+        label = f"{name}-{version if '.' in version else version + '.0'}"
+        marks = (f"gnu {family.lower()} public", f"version {version.replace('.', ' ')}")
+        yield label, f"This work is licensed under the GNU {family} Public License, version {version}.", marks
+        # The two wordings of the notice differ in punctuation only.
+        yield label, (OLD_NOTICE if version.startswith("2") else NOTICE).format(family=family, version=version), marks
+
+
+def creative_templates():
+    for code, name in CREATIVE.items():
+        for version in ("3.0", "4.0"):
+            words = name.lower().replace("-", " ")
+            yield f"CC-{code}-{version}", f"Creative Commons {name} {version}", (f"commons {words} {version.replace('.', ' ')}",)
+            if code != "BY":
+                short = f"under CC {code} {version}"
+                yield f"CC-{code}-{version}", f"Licensed {short}.", (f"cc {code.lower().replace('-', ' ')} {version.replace('.', ' ')}",)
+
+
 TEMPLATES = (
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0.", ("version 2 0",)),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance "
-     "with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
-    ("MIT", "Released under the MIT License."),
+     "with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0", ("version 2 0",)),
+    ("MIT", "Released under the MIT License.", ()),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation "
      "files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, "
-     "modify, merge, publish, distribute, sublicense, and/or sell copies of the Software"),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License "
-     "as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
-     "following conditions are met"),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+     "modify, merge, publish, distribute, sublicense, and/or sell copies of the Software", ()),
+    *gnu_templates(),
+    *creative_templates(),
+    # Both BSD licences begin alike; the third clause tells them apart.
+    ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+     "following conditions are met", ()),
+    ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+     "derived from this software without specific prior written permission.", ()),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided "
+     "that the above copyright notice and this permission notice appear in all copies.", ("with or without fee",)),
+    ("Unlicense", "This is free and unencumbered software released into the public domain.", ("free and unencumbered",)),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", ("v 2 0",)),
+    ("MPL-1.1", "The contents of this file are subject to the Mozilla Public License Version 1.1", ("version 1 1",)),
 )
 
 
@@ -48,6 +88,17 @@ class Template:
     number: int
     license: str
     words: tuple[str, ...]
+    marks: tuple[str, ...] = ()
+
+    def marked(self) -> list[list[str]]:
+        """For each mark, the shingles that hold it (or, of one longer than a shingle, lie in it): one of them must be found."""
+        out = []
+        for mark in self.marks:
+            held = [s for s in self.shingles if f" {mark} " in f" {s} " or f" {s} " in f" {mark} "]
+            if not held:
+                raise ValueError(f"the template of {self.license} lacks {mark!r}")
+            out.append(held)
+        return out
 
     @property
     def shingles(self) -> list[str]:
@@ -71,11 +122,11 @@ class Template:
 
 def read_templates(pairs=TEMPLATES) -> list[Template]:
     out = []
-    for number, (name, text) in enumerate(pairs):
+    for number, (name, text, *more) in enumerate(pairs):
         words = tuple(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.translate(str.maketrans(UPPER, LOWER))))
         if len(words) < SHINGLE:
             raise ValueError(f"a template needs {SHINGLE} words: {text}")
-        out.append(Template(number, name, words))
+        out.append(Template(number, name, words, *more))
     return out
 
 
@@ -139,15 +190,17 @@ def scan_licenses(docs: DataFrame, *, templates=TEMPLATES, id_col: str = "doc_id
         F.struct(
             F.lit(t.number).alias("template"), F.lit(t.license).alias("license"), F.lit(t.span).alias("span"),
             F.array(*map(F.lit, t.shingles)).alias("parts"),
+            F.array(*[F.array(*map(F.lit, held)) for held in t.marked()]).cast("array<array<string>>").alias("marks"),
         )
         for t in known
     ]
     table = spark.range(1).select(F.inline(F.array(*rows)))
-    keyed = table.select("template", "license", "span", "parts", F.posexplode(min_hashes(F.col("parts"))).alias("band", "value"))
+    keyed = table.select("template", "license", "span", "parts", "marks", F.posexplode(min_hashes(F.col("parts"))).alias("band", "value"))
     return (
         banded.join(keyed, ["span", "band", "value"])
         .withColumn("contained", F.size(F.array_intersect("shingles", "parts")) / F.size("parts"))
         .where(F.col("contained") >= LEAST_CONTAINED)
+        .where(F.forall("marks", lambda held: F.arrays_overlap("shingles", held)))
         .groupBy("doc_id", "license")
         .agg(F.max(F.struct("contained", (-F.col("first")).alias("before"))).alias("best"))
         .select("doc_id", "license", F.col("best.contained").alias("contained"), (-F.col("best.before")).alias("first_word"))

@@ -59,23 +59,23 @@ WORDS = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
 LICENSES = f"""
 WITH t AS (
   SELECT * FROM (VALUES {", ".join(
-    "({}, '{}', {}, [{}])".format(t.number, t.license, t.span, ", ".join(f"'{x}'" for x in t.shingles)) for t in read_templates()
-  )}) AS v(template, license, span, parts)
+    "({}, '{}', {}, [{}], {}::VARCHAR[][])".format(t.number, t.license, t.span, ", ".join(f"'{x}'" for x in t.shingles), t.marked()) for t in read_templates()
+  )}) AS v(template, license, span, parts, marks)
 ), d AS (
   SELECT doc_id, regexp_extract_all({LOWER}, {WORDS}) AS words FROM documents
 ), g AS (
   SELECT doc_id, unnest(list_transform(range(1, len(words) - 3), lambda i: {{'i': i, 'gram': array_to_string(words[i:i + 4], ' ')}}), recursive := true)
   FROM d WHERE len(words) >= 5
 ), p AS (
-  SELECT template, license, span, greatest(1, span // 4) AS step, len(parts) AS m, unnest(parts) AS gram FROM t
+  SELECT template, license, span, greatest(1, span // 4) AS step, len(parts) AS m, marks, unnest(parts) AS gram FROM t
 ), h AS (
-  SELECT doc_id, i - 1 AS place, template, license, span, step, m, gram FROM g JOIN p USING (gram)
+  SELECT doc_id, i - 1 AS place, template, license, span, step, m, marks, gram FROM g JOIN p USING (gram)
 ), w AS (
   SELECT *, unnest(range(greatest(0, -((-(place - span - step + 1)) // step)), place // step + 1)) AS win FROM h
 ), c AS (
   SELECT doc_id, license, template, win * step AS first, count(DISTINCT gram) / m AS contained
-  FROM w WHERE win * step <= place AND place < win * step + span + step GROUP BY doc_id, license, template, win, step, m
-  HAVING count(DISTINCT gram) / m >= 0.8
+  FROM w WHERE win * step <= place AND place < win * step + span + step GROUP BY doc_id, license, template, win, step, m, marks
+  HAVING count(DISTINCT gram) / m >= 0.8 AND len(list_filter(marks, lambda held: NOT list_has_any(list(gram), held))) = 0
 )
 SELECT doc_id, license, max(contained) AS contained, min_by(first, (-contained, first)) AS first_word FROM c GROUP BY doc_id, license
 """

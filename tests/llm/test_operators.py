@@ -606,3 +606,53 @@ def test_known_words_are_cheap_in_tables_of_any_size(spark):
     assert found[0] == found[1] == [] and found[2]
     words = secret_scan.vocabulary_words(tokenizer_file())
     assert len(words) == len(set(words)) > 5000 and "securities" in words and all(w.isalpha() for w in words)
+
+
+# ---- licences and pages
+
+
+def test_every_licence_is_told_from_the_others(spark):
+    known = license_scan.read_templates()
+    texts = [f"Some words before it. {t[1]} And some behind it." for t in license_scan.TEMPLATES]
+    more = {
+        "This work is licensed under the GNU General Public License, version 1.": set(),
+        "as in Creative Commons Attribution 2.0 terms": set(),
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 1.0.": set(),
+        "Licensed under the Apache License, Version 1.1.": set(),
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.": {"CC-BY-SA-4.0"},
+        "This work is licensed under a Creative Commons Attribution 4.0 International License.": {"CC-BY-4.0"},
+        license_scan.NOTICE.format(family="General", version="2"): {"GPL-2.0"},
+    }
+    found: dict[int, set] = {}
+    for r in license_scan.scan_licenses(docs_of(spark, [*texts, *more])).collect():
+        found.setdefault(r.doc_id, set()).add(r.license)
+    want = [{t.license} for t in known] + list(more.values())
+    assert [found.get(i, set()) for i in range(len(want))] == want
+
+
+def test_broken_pages_take_time_in_proportion():
+    import time
+
+    makers = {
+        "open": lambda n: "<div>" * n, "open with text": lambda n: "<div class=c>word " * n, "items": lambda n: "<ul><li>" + "<div>x<li>" * n,
+        "never ending": lambda n: '<a href="' * n, "ends": lambda n: "<div>" * n + "</section>" * n, "raw": lambda n: "<script/>" * n, "end of raw": lambda n: "<script>" + "</script " * n,
+        "declarations": lambda n: "<!x " * n, "comments": lambda n: "<p>a</p><!--" * n,
+    }
+    for name, make in makers.items():
+        took = []
+        for n in (15_000, 30_000):
+            page, start = make(n), time.perf_counter()
+            html_extraction.blocks_of(page)
+            took.append(time.perf_counter() - start)
+        assert took[1] < 3 * took[0] + 0.5, (name, took)
+
+
+def test_markup_that_never_ends():
+    def texts(page):
+        return [b.text for b in html_extraction.blocks_of(page)]
+
+    assert texts("<p>a</p><!-- b > c") == ["a"] and texts("<p>a</p>b <!-- c") == ["a", "b"]
+    assert texts("a <b") == ["a <b"] and texts("<p>a</p><b") == ["a"]
+    assert texts("<ul><li>a<li>b<ul><li>c</ul><li>d</ul>e") == ["a", "b", "c", "d", "e"]
+    assert [b.path for b in html_extraction.blocks_of("<ul><li>a<div>b<li>c</ul>")] == [("ul", "li"), ("ul", "li", "div"), ("ul", "li")]
+    assert texts("<script>a</script ") == [] and texts("<script/>a") == ["a"]
