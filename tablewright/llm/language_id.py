@@ -7,10 +7,12 @@ with the largest share of them, so that code-switched text is judged by all its
 
 from __future__ import annotations
 
+import functools
 import re
 import sys
 import unicodedata
 import zlib
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,26 +33,53 @@ CACHED_WORDS = 300_000
 UNKNOWN = "und"
 
 
-def letters_and_marks() -> str:
-    """Ranges of all letters and of the marks that belong to them (vowel signs, accents), for a class of a pattern."""
-    held = [c for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c))[0] in "LM"] + [0x200C, 0x200D]
-    ranges: list[list[int]] = []
-    for c in sorted(held):
-        if ranges and c == ranges[-1][1] + 1:
-            ranges[-1][1] = c
+def ranges(held: Callable[[str], bool], end: int) -> str:
+    """The characters below ``end`` that are held, for a class of a pattern."""
+    found: list[list[int]] = []
+    for c in (c for c in range(end) if held(chr(c))):
+        if found and c == found[-1][1] + 1:
+            found[-1][1] = c
         else:
-            ranges.append([c, c])
-    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in ranges)
+            found.append([c, c])
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in found)
+
+
+def is_mark(c: str) -> bool:
+    """Vowel signs, accents and the joiners of letters: they belong to the word that they stand in."""
+    return unicodedata.category(c)[0] == "M" or c in "\u200c\u200d"
+
+
+def is_of_word(c: str) -> bool:
+    return c.isalnum() and not c.isdecimal() or is_mark(c)
+
+
+# Most texts have no marks. The class with them is a look-up up to U+FFFF and slow beyond, so it is kept for who needs it.
+PLAIN = re.compile(r"[^\W\d_]+")
+MARK = re.compile(f"[{ranges(is_mark, 0x10000)}]")
+ASTRAL = re.compile("[\U00010000-\U0010ffff]")
+MARKED = re.compile(f"[{ranges(is_of_word, 0x10000)}]+")
+
+
+@functools.lru_cache(1)
+def whole_class() -> re.Pattern:
+    return re.compile(f"[{ranges(is_of_word, sys.maxunicode + 1)}]+")
+
+
+def runs_of_letters(text: str) -> list[str]:
+    if text.isascii():
+        return PLAIN.findall(text)
+    if ASTRAL.search(text):
+        return whole_class().findall(text)
+    return (MARKED if MARK.search(text) else PLAIN).findall(text)
 
 
-WORD = re.compile(f"[{letters_and_marks()}]+")
 PIECE = 24  # a longer run of letters, as in scripts without spaces, is a sequence of words of at most so many
 
 
 def words_of(text: str) -> list[str]:
     """Runs of letters and their marks in lower case; a long one in pieces that share two letters, so that each trigram is in one of them."""
     out = []
-    for word in WORD.findall(text.lower()):
+    for word in runs_of_letters(text.lower()):
         if len(word) <= PIECE:
             out.append(word)
         else:
