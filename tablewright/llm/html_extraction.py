@@ -14,6 +14,7 @@ import re
 import zlib
 from bisect import bisect_right
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -28,7 +29,11 @@ SAMPLE_CHARS = 2_000
 # Where no page is marked, the longest texts of pages, of so many words at least, are laid out as training pages.
 PLAIN_BLOCKS, PLAIN_WORDS = 12, 5
 EPOCHS = 8
-PATH, WORDS, MEASURES, HIDDEN = 192, 96, 8, 16
+# So many pages in other layouts are trained on, however few are known.
+LAID_PAGES = 1_000
+PATH, WORDS, MEASURES, HIDDEN = 768, 96, 8, 16
+# Rows of a page or of several that are spelled out at a time.
+ROWS = 10_000
 
 # Fixed values of HTML: elements whose content is no text, elements that begin a block, elements without an end,
 # and the open elements that a start tag ends.
@@ -158,20 +163,29 @@ def blocks_of(page: str) -> list[Block]:
     return out
 
 
+@lru_cache(1 << 16)
 def hashed(part: str, size: int) -> int:
     return zlib.crc32(part.encode("utf-8", "surrogatepass")) % size
 
 
-def vectors(blocks: list[Block]) -> np.ndarray:
-    """One row per block: hashed path (parts, and the last three with their place), hashed words, measures."""
-    table = np.zeros((len(blocks), PATH + WORDS + MEASURES), np.float32)
+@lru_cache(1 << 14)
+def path_places(path: tuple[str, ...]) -> np.ndarray:
+    """Places of a path's parts, of the last three with their place, and of the beginnings of names, so that a class and
+    an id of one word, or its singular and plural, have something in common."""
+    last = path[-3:]
+    parts = [*path, *(f"{len(last) - place}{part}" for place, part in enumerate(last))]
+    parts += ["~" + part.split("=", 1)[1][:5] for part in path if "=" in part]
+    return np.unique([hashed(part, PATH) for part in parts]).astype(np.int64)
+
+
+def vectors(blocks: list[Block], first: int = 0, size: int | None = None) -> np.ndarray:
+    """One row per block, or per block of a run of them: hashed path, hashed words, measures."""
+    run = blocks[first : first + size] if size else blocks
+    table = np.zeros((len(run), PATH + WORDS + MEASURES), np.float32)
     total = sum(len(b.text) for b in blocks) or 1
-    for i, block in enumerate(blocks):
-        row = table[i]
-        for part in block.path:
-            row[hashed(part, PATH)] = 1
-        for place, part in enumerate(block.path[-3:]):
-            row[hashed(f"{len(block.path[-3:]) - place}{part}", PATH)] = 1
+    for i, block in enumerate(run, first):
+        row = table[i - first]
+        row[path_places(block.path)] = 1
         found = block.text.lower().split()
         counts = np.bincount([hashed(w, WORDS) for w in found], minlength=WORDS)
         row[PATH : PATH + WORDS] = counts / np.sqrt(max(1, (counts**2).sum()))
@@ -193,19 +207,33 @@ class Labeller:
     ways: tuple[tuple[np.ndarray, np.ndarray, np.ndarray], ...]
     out: np.ndarray
 
+    def read(self, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """What each direction takes from the rows, and their measures."""
+        return *(table @ w + b for w, _, b in self.ways), table[:, PATH + WORDS :]
+
     def chances(self, tables: list[np.ndarray]) -> list[np.ndarray]:
-        """The chance of each block to be content. Pages lie longest first; a step handles those that reach it."""
-        order = [i for i in sorted(range(len(tables)), key=lambda i: -len(tables[i])) if len(tables[i])]
-        found: list[np.ndarray] = [np.zeros(0)] * len(tables)
+        """The chance of each block to be content, by the rows of each page."""
+        return self.judged([self.read(t) for t in tables])
+
+    def chances_of(self, pages: list[list[Block]]) -> list[np.ndarray]:
+        """The same by blocks: rows are spelled out a run at a time, so a page may have any number of them."""
+        return self.judged([
+            tuple(map(np.concatenate, zip(*(self.read(vectors(blocks, i, ROWS)) for i in range(0, max(1, len(blocks)), ROWS)), strict=True)))
+            for blocks in pages
+        ])
+
+    def judged(self, pages: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> list[np.ndarray]:
+        """Pages lie longest first; a step handles those that reach it."""
+        order = [i for i in sorted(range(len(pages)), key=lambda i: -len(pages[i][2])) if len(pages[i][2])]
+        found: list[np.ndarray] = [np.zeros(0)] * len(pages)
         if not order:
             return found
-        lengths = np.array([len(tables[i]) for i in order])
+        lengths = np.array([len(pages[i][2]) for i in order])
         begin = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-        flat = np.concatenate([tables[i] for i in order])
         states = []
-        for way, (w, u, b) in enumerate(self.ways):
-            drive = flat @ w + b
-            state = np.zeros((len(flat), HIDDEN), np.float32)
+        for way, (_, u, _) in enumerate(self.ways):
+            drive = np.concatenate([pages[i][way] for i in order])
+            state = np.zeros((len(drive), HIDDEN), np.float32)
             h = np.zeros((len(order), HIDDEN), np.float32)
             c = np.zeros_like(h)
             for t in range(int(lengths[0])):
@@ -214,7 +242,7 @@ class Labeller:
                 h[:n], c[:n], _ = cell(drive[at] + h[:n] @ u, c[:n])
                 state[at] = h[:n]
             states.append(state)
-        chance = sigmoid(np.concatenate([*states, flat[:, PATH + WORDS :]], 1) @ self.out)
+        chance = sigmoid(np.concatenate([*states, np.concatenate([pages[i][2] for i in order])], 1) @ self.out)
         for k, i in enumerate(order):
             found[i] = chance[begin[k] : begin[k] + lengths[k]]
         return found
@@ -242,10 +270,12 @@ def train_labeller(tables: list[np.ndarray], labels: list[np.ndarray], seed: int
         bias[HIDDEN : 2 * HIDDEN] = 1
         weights += [random.normal(0, 0.1, (width, 4 * HIDDEN)), random.normal(0, 0.15, (HIDDEN, 4 * HIDDEN)), bias]
     weights.append(random.normal(0, 0.1, 2 * HIDDEN + MEASURES))
+    weights = [w.astype(np.float32) for w in weights]
     mean, square, step = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights], 0
     order = sorted(range(len(tables)), key=lambda i: len(tables[i]))
     batches = [order[i : i + 24] for i in range(0, len(order), 24)]
-    for _ in range(EPOCHS):
+    for epoch in range(EPOCHS):
+        rate = 0.02 * (1 - 0.9 * epoch / EPOCHS)
         for k in random.permutation(len(batches)):
             part = batches[k]
             slopes = slopes_of(weights, [tables[i] for i in part], [labels[i] for i in part])
@@ -253,23 +283,23 @@ def train_labeller(tables: list[np.ndarray], labels: list[np.ndarray], seed: int
             for w, g, m, s in zip(weights, slopes, mean, square, strict=True):
                 m += 0.1 * (g - m)
                 s += 0.001 * (g**2 - s)
-                w -= 0.02 * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.999**step)) + 1e-8)
-    small = [w.astype(np.float32) for w in weights]
-    return Labeller((tuple(small[:3]), tuple(small[3:6])), small[6])
+                w -= rate * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.999**step)) + 1e-8)
+    return Labeller((tuple(weights[:3]), tuple(weights[3:6])), weights[6])
 
 
 def slopes_of(weights, tables, labels):
     most, size = max(map(len, tables)), len(tables)
-    x = np.zeros((most, size, PATH + WORDS + MEASURES))
-    y, there = np.zeros((most, size)), np.zeros((most, size))
+    kind = weights[0].dtype
+    x = np.zeros((most, size, PATH + WORDS + MEASURES), kind)
+    y, there = np.zeros((most, size), kind), np.zeros((most, size), kind)
     for k, (table, label) in enumerate(zip(tables, labels, strict=True)):
         x[: len(table), k], y[: len(table), k], there[: len(table), k] = table, label, 1
     kept, states = [], []
     for way in range(2):
         w, u, b = weights[3 * way : 3 * way + 3]
         drive = x @ w + b
-        h = c = np.zeros((size, HIDDEN))
-        past, state = [None] * most, np.zeros((most, size, HIDDEN))
+        h = c = np.zeros((size, HIDDEN), kind)
+        past, state = [None] * most, np.zeros((most, size, HIDDEN), kind)
         for t in range(most) if way == 0 else range(most - 1, -1, -1):
             before = (h, c)
             h, c, gates = cell(drive[t] + h @ u, c)
@@ -283,8 +313,8 @@ def slopes_of(weights, tables, labels):
     for way in range(2):
         u = weights[3 * way + 1]
         from_output = wrong[..., None] * weights[6][way * HIDDEN : (way + 1) * HIDDEN]
-        d_drive, d_u = np.zeros((most, size, 4 * HIDDEN)), np.zeros_like(u)
-        dh, dc = np.zeros((size, HIDDEN)), np.zeros((size, HIDDEN))
+        d_drive, d_u = np.zeros((most, size, 4 * HIDDEN), kind), np.zeros_like(u)
+        dh, dc = np.zeros((size, HIDDEN), kind), np.zeros((size, HIDDEN), kind)
         for t in range(most - 1, -1, -1) if way == 0 else range(most):
             h0, c0, c1, (i, f, o, g) = kept[way][t]
             dh = (dh + from_output[t]) * there[t][:, None]
@@ -302,8 +332,9 @@ def slopes_of(weights, tables, labels):
 
 # Words of paths that say what a block is, in the sample and in the layouts made from it.
 CONTENT_ROOTS = ("article", "main", "role=main", "class=content", "class=post", "class=entry", "id=content", "itemprop=articleBody".lower())
+# A header inside a content root is the article's own: its heading and byline.
 ASIDE_ROOTS = (
-    "nav", "header", "footer", "aside", "form", "class=ad", "class=ads", "class=advert", "class=sidebar", "class=comments",
+    "nav", "footer", "aside", "form", "class=ad", "class=ads", "class=advert", "class=sidebar", "class=comments",
     "class=comment", "id=comments", "class=notice", "class=cookie", "class=banner", "class=menu", "class=related", "class=share",
 )
 
@@ -320,6 +351,13 @@ def marked(blocks: list[Block]) -> np.ndarray | None:
 SHELLS = (
     ("article",), ("main",), ("main", "article"), ("div", "class=content"), ("div", "id=content"), ("div", "class=post"),
     ("div", "class=main"), ("section", "class=article", "class=body"), ("div", "class=entry", "class=content"), ("div", "class=story"),
+    (), (), ("div",), ("div", "div"), ("section",), ("div", "class=?"), ("div", "class=?", "div", "class=?"), ("div", "id=?"),
+    ("div", "class=?", "class=?", "div", "id=?", "div"), ("table", "tr", "td"),
+)
+# What stands above the paragraphs of an article.
+OPENINGS = (
+    (("header", "h1"), 12), (("header", "p"), 12), (("header", "div", "class=byline"), 8), (("h1",), 12), (("div", "h1"), 12),
+    (("header", "div", "h2"), 12), (("p", "class=byline"), 8), (("header", "address"), 6),
 )
 # Other elements that articles put their text into, with the most words that such a block has.
 INNER = (
@@ -327,12 +365,24 @@ INNER = (
     (("table", "tbody", "tr", "td"), 8), (("table", "tr", "th"), 4), (("pre",), 30), (("h2",), 8), (("h3",), 8), (("dl", "dt"), 4),
     (("dl", "dd"), 25), (("figure", "figcaption"), 15), (("section", "p"), 80), (("section", "h2"), 8), (("div",), 80), (("div", "p"), 80),
 )
+# Where readers' comments stand, inside an article or after it.
+COMMENTS = (
+    ("section", "class=comments", "div", "class=comment", "p"), ("div", "id=comments", "h2"), ("div", "id=comments", "ol", "li", "p"),
+    ("div", "class=comment", "p"), ("ul", "class=comments", "li"), ("section", "id=comments", "article", "class=comment", "p"),
+    ("div", "id=disqus", "class=thread", "div", "class=reply"), ("div", "id=respond", "div", "p"), ("div", "class=replies", "div", "class=reply", "p"),
+    ("section", "class=responses", "div", "p"), ("div", "class=discussion", "div", "class=message", "p"), ("section", "class=discussion", "p"),
+    ("ol", "class=commentlist", "li", "div", "p"), ("div", "id=?", "div", "class=comment", "class=body"), ("section", "class=feedback", "p"),
+    ("div", "id=disqus", "div", "class=reply", "p"), ("section", "class=comments", "h3"), ("div", "class=replies", "h3"),
+    ("section", "class=comments", "p"), ("section", "class=comments", "ul", "li"), ("div", "class=reviews", "div", "class=review", "p"),
+)
 NOISE = {
     "before": (
         ("nav", "ul", "li"), ("header", "div", "class=menu", "ul", "li"), ("header", "h1"), ("header", "p"),
         ("div", "class=cookie", "class=notice", "p"), ("div", "class=notice"), ("div", "class=banner", "p"), ("div", "class=breadcrumb"),
         ("div", "id=header", "div"), ("aside", "class=sidebar", "ul", "li"), ("div", "class=sidebar", "p"), ("form", "class=search", "p"),
         ("div", "class=ad"), ("div", "class=advert"), ("div", "class=alert", "role=alert"), ("div", "role=banner"), ("aside", "p"),
+        ("nav", "a"), ("div", "class=nav", "ul", "li"), ("div", "class=?", "ul", "li"), ("ul", "li"), ("header", "div", "class=logo"),
+        ("div", "id=cookie", "class=consent", "p"), ("div", "class=topbar", "div"), ("ul", "class=menu", "li"), ("menu", "li"),
     ),
     "inside": (
         ("div", "class=ad"), ("aside", "p"), ("aside", "class=related", "ul", "li"), ("div", "class=share", "ul", "li"),
@@ -340,47 +390,80 @@ NOISE = {
         ("div", "class=sponsored"), ("div", "class=advertisement", "p"), ("form", "fieldset", "legend"), ("form", "div"), ("form", "p"),
     ),
     "after": (
-        ("footer",), ("footer", "p"), ("footer", "ul", "li"), ("section", "class=comments", "div", "class=comment", "p"),
-        ("div", "id=comments", "h2"), ("div", "id=comments", "ol", "li", "p"), ("div", "class=comment", "p"), ("aside", "class=related", "ul", "li"),
-        ("section", "id=comments", "article", "class=comment", "p"), ("div", "class=sidebar", "h3"), ("form", "p"), ("form", "label"),
-        ("div", "class=footer"), ("div", "id=footer", "p"), ("aside", "class=sidebar", "p"), ("ul", "class=comments", "li"),
+        ("footer",), ("footer", "p"), ("footer", "ul", "li"), ("aside", "class=related", "ul", "li"),
+        ("div", "class=sidebar", "h3"), ("form", "p"), ("form", "label"),
+        ("div", "class=footer"), ("div", "id=footer", "p"), ("aside", "class=sidebar", "p"),
         ("div", "class=newsletter", "form", "p"), ("div", "class=ad"), ("div", "role=contentinfo"), ("aside", "h3"), ("nav", "a"),
+        ("div", "class=?", "ul", "li"), ("div", "class=copyright"), ("footer", "div", "class=?"), ("div", "class=legal", "p"),
     ),
+    "comments": COMMENTS,
 }
 
 
+NOISE_TAGS = {"nav", "header", "footer", "aside", "form", "menu"}
+NAMES_OF_NOISE = {part.split("=")[1] for paths in NOISE.values() for path in paths for part in path if "=" in part} - {"?"}
+
+
 def relaid(blocks: list[Block], labels: np.ndarray, others: list[str], random: np.random.Generator) -> tuple[list[Block], np.ndarray]:
     """The page's content in another shell, with lists, tables and quotes of other pages' words as more content, and with
     blocks of other pages' text set around and into it as noise."""
-    shell = SHELLS[int(random.integers(len(SHELLS)))]
+    def named(path: tuple[str, ...]) -> tuple[str, ...]:
+        """A made-up name in place of each ``?``."""
+        return tuple(x[:-1] + "".join(map(chr, random.integers(97, 123, int(random.integers(1, 8))))) if x.endswith("=?") else x for x in path)
+
+    def words_of_others(most: int) -> str:
+        words = others[int(random.integers(len(others)))].split()
+        first = int(random.integers(len(words)))
+        return " ".join(words[first : first + int(random.integers(1, most))])
+
+    def dressed(path: tuple[str, ...]) -> tuple[str, ...]:
+        """Now and then the path with a name that says nothing on its last element."""
+        return (*path, ("class=?", "id=?")[int(random.integers(2))]) if path and random.random() < 0.3 else path
+
+    shell = named(dressed(SHELLS[int(random.integers(len(SHELLS)))]))
     out: list[tuple[Block, float]] = []
 
-    def noise(kind: str, most: int):
+    def content(inner: tuple[str, ...], text: str):
+        out.append((Block(("html", "body", *shell, *inner), text, 0), 1.0))
+
+    def noise(kind: str, most: int, inside: bool = False):
         for _ in range(int(random.integers(0, most))):
-            path = NOISE[kind][int(random.integers(len(NOISE[kind])))]
+            plain = NOISE[kind][int(random.integers(len(NOISE[kind])))]
+            path = named((*dressed(plain[:1]), *plain[1:]))
             for _ in range(int(random.integers(1, 5))):
-                words = others[int(random.integers(len(others)))].split()
-                first = int(random.integers(len(words)))
-                text = " ".join(words[first : first + int(random.integers(1, 40 if path[-1] == "p" else 9))])
-                linked = path[-1] in ("li", "a") and random.random() < 0.8
-                out.append((Block(("html", "body", *shell * (kind == "inside"), *path), text, len(text) * linked), 0.0))
+                text = words_of_others(40 if path[-1] == "p" or kind == "comments" else 9)
+                # A bare list is a menu by its links alone.
+                bare = path[-1] == "li" and not any("=" in x and x.split("=")[1] in NAMES_OF_NOISE for x in path) and not NOISE_TAGS & {*path}
+                linked = path[-1] in ("li", "a") and kind != "comments" and (bare or random.random() < 0.85)
+                out.append((Block(("html", "body", *shell * inside, *path), text, len(text) * linked), 0.0))
+
+    # Short articles too: a run of the page's content.
+    chosen = [block for block, label in zip(blocks, labels, strict=True) if label]
+    if chosen and random.random() < 0.35:
+        first = int(random.integers(len(chosen)))
+        chosen = chosen[first : first + int(random.integers(1, 4))]
 
     noise("before", 5)
-    for block, label in zip(blocks, labels, strict=True):
-        if label:
-            tag = block.path[-1] if block.path[-1] in ("p", "h1", "h2", "h3", "li", "blockquote", "td") else "p"
-            nested = ("section",) if random.random() < 0.15 else ("ul",) if tag == "li" else ()
-            out.append((Block(("html", "body", *shell, *nested, tag), block.text, 0), 1.0))
-            if random.random() < 0.25:
-                inner, most = INNER[int(random.integers(len(INNER)))]
-                for _ in range(int(random.integers(1, 5))):
-                    words = others[int(random.integers(len(others)))].split()
-                    first = int(random.integers(len(words)))
-                    text = " ".join(words[first : first + int(random.integers(1, most))])
-                    out.append((Block(("html", "body", *shell, *inner), text, 0), 1.0))
-            if random.random() < 0.08:
-                noise("inside", 3)
+    if shell and random.random() < 0.5:
+        for _ in range(int(random.integers(1, 3))):
+            inner, most = OPENINGS[int(random.integers(len(OPENINGS)))]
+            content(inner, words_of_others(most))
+    for block in chosen:
+        tag = block.path[-1] if block.path[-1] in ("p", "h1", "h2", "h3", "li", "blockquote", "td") else "p"
+        content((*(("section",) if random.random() < 0.15 else ("ul",) if tag == "li" else ()), tag), block.text)
+        if random.random() < 0.3:
+            # A third of them are lists.
+            inner, most = INNER[int(random.integers(2 if random.random() < 0.3 else len(INNER)))]
+            for _ in range(int(random.integers(1, 6))):
+                content(inner, words_of_others(most))
+        if random.random() < 0.08:
+            noise("inside", 3, True)
+    if random.random() < 0.3:
+        noise("comments", 3, True)
     noise("after", 5)
+    if random.random() < 0.3:
+        noise("comments", 3)
+        noise("after", 3)
     return [b for b, _ in out], np.array([x for _, x in out])
 
 
@@ -430,7 +513,8 @@ def training_pages(table: DataFrame, total: int, n: int, plain: bool) -> list[tu
 
 
 def fit_labeller(pages: DataFrame, *, html_col: str = "html", sample_pages: int = SAMPLE_PAGES) -> Labeller | None:
-    """Train on about ``sample_pages`` pages, by a hash of the page, whose tags mark their content, each as it is and relaid twice.
+    """Train on about ``sample_pages`` pages, by a hash of the page, whose tags mark their content, each as it is and all in other layouts,
+    LAID_PAGES of these.
 
     However rare they are, marked pages are looked for in the whole table. Where there is none, the texts of pages are
     laid out and trained on; None when there is no text either.
@@ -442,7 +526,7 @@ def fit_labeller(pages: DataFrame, *, html_col: str = "html", sample_pages: int
         return None
     random = np.random.default_rng(13)
     others = [b.text for blocks, _ in known for b in blocks]
-    made = known * (not plain) + [relaid(b, m, others, random) for b, m in known * (3 if plain else 2)]
+    made = known * (not plain) + [relaid(b, m, others, random) for b, m in known * -(-LAID_PAGES // len(known))]
     made = [(b[:SAMPLE_BLOCKS], m[:SAMPLE_BLOCKS]) for b, m in made]  # training only: steps of a batch
     return train_labeller([vectors(b) for b, _ in made], [m for _, m in made])
 
@@ -452,7 +536,7 @@ def make_extractor(labeller: Labeller | None):
         out = []
         for first in range(0, len(texts), 200):
             pages = [blocks_of(t) for t in texts[first : first + 200]]
-            chances = labeller.chances([vectors(b) for b in pages]) if labeller else [np.zeros(len(b)) for b in pages]
+            chances = labeller.chances_of(pages) if labeller else [np.zeros(len(b)) for b in pages]
             out += ["\n\n".join(b.text for b, p in zip(blocks, chance, strict=True) if p >= 0.5) for blocks, chance in zip(pages, chances, strict=True)]
         return out, [len(t) for t in out]
 
