@@ -7,12 +7,14 @@ character, and it is scanned once per text. Word numbers map back to offsets of
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
+from functools import reduce
 
 import ahocorasick
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import id_and_text, map_texts, rewrite_rows
+from tablewright.llm.common import free_name, id_and_text, kept, map_texts, rewrite_rows
 
 WINDOW = 10
 
@@ -86,67 +88,78 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def make_scanner(parts: list[list[tuple[str, str]]], window: int):
-    """A function of texts; with several parts it holds one automaton at a time."""
-    ready = Automaton(parts[0], window) if len(parts) == 1 else None
-
-    def scan(texts):
-        lines = [words(t) for t in texts]
-        spans: list[list[tuple[int, int]]] = [[] for _ in texts]
-        found: list[set[str]] = [set() for _ in texts]
-        for part in parts:
-            automaton = ready or Automaton(part, window)
-            for i, line in enumerate(lines):
-                hit, items = automaton.scan(line)
-                if items:
-                    spans[i] = merged(spans[i] + hit)
-                    found[i] |= items
-        return lines, spans, found
-
-    return scan
-
-
-def make_report(parts, window):
-    scan = make_scanner(parts, window)
+def make_report(items: list[tuple[str, str]], window: int):
+    """Per text: number of words, ids found (sorted), spans as places of words and of code points, end exclusive."""
+    automaton = Automaton(items, window)
 
     def report(texts):
-        lines, spans, found = scan(texts)
-        places = [offsets(t, s) for t, s in zip(texts, spans, strict=True)]
-        return (
-            [len(x) for x in lines],
-            [sum(b - a + 1 for a, b in s) for s in spans],
-            [sorted(f) for f in found],
-            [[{"start": a, "end": b} for a, b in p] for p in places],
-        )
+        counts, found, spans = [], [], []
+        for text in texts:
+            line = words(text)
+            hit, ids = automaton.scan(line)
+            places = offsets(text, hit)
+            counts.append(len(line))
+            found.append(sorted(ids))
+            spans.append([{"first": a, "last": b, "start": s, "end": e} for (a, b), (s, e) in zip(hit, places, strict=True)])
+        return counts, found, spans
 
     return report
 
 
-def make_filter(parts, window):
-    scan = make_scanner(parts, window)
-    return lambda texts: ([not s for s in scan(texts)[1]], None)
+REPORT = "n_words long, item_ids array<string>, hits array<struct<first: long, last: long, start: long, end: long>>"
+
 
+def make_filter(items: list[tuple[str, str]], window: int):
+    automaton = Automaton(items, window)
+    return lambda texts: ([not automaton.scan(words(t))[0] for t in texts], None)
 
-def read_items(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text") -> list[list[tuple[str, str]]]:
-    """The items in parts of at most AUTOMATON_WORDS words (or one item).
 
-    The benchmark is a published test set, read by the driver part by part. An item that is null or
-    empty has no words and is left out; a null id is spelled as empty text.
+def item_parts(
+    benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text"
+) -> tuple[int, Iterator[list[tuple[str, str]]]]:
+    """How many parts of about AUTOMATON_WORDS words the items make, and the parts, one in the driver at a time.
+
+    Items are dealt to parts by a hash. More than one part are read from a table in the shared folder. An item that is
+    null has no words; a null id is spelled as empty text.
     """
-    parts: list[list[tuple[str, str]]] = [[]]
-    size = 0
     rows = benchmark.select(
         F.coalesce(F.col(f"`{item_col}`").cast("string"), F.lit("")).alias("item"), F.col(f"`{text_col}`").alias("text")
     ).where("text is not null").distinct()
-    for row in rows.toLocalIterator():
-        n = len(words(row.text))
-        if size + n > AUTOMATON_WORDS and parts[-1]:
-            parts.append([])
-            size = 0
-        if n:
-            parts[-1].append((row.item, row.text))
-            size += n
-    return parts
+    total = rows.select(F.sum(F.regexp_count("text", F.lit(WORD.pattern)))).first()[0] or 0
+    if total <= AUTOMATON_WORDS:
+        return 1, iter([[(r.item, r.text) for r in rows.collect()]])
+    # Half full on average, since a hash deals unevenly.
+    count = -(-2 * total // AUTOMATON_WORDS)
+    stored = kept(rows.withColumn("part", F.pmod(F.xxhash64("item", "text"), F.lit(count))))
+    return count, ([(r.item, r.text) for r in stored.where(F.col("part") == n).collect()] for n in range(count))
+
+
+def hits_of_parts(texts: DataFrame, parts: Iterator[list[tuple[str, str]]], window: int) -> DataFrame:
+    """One row per different text (``key``, its digest) that any part hits: item_ids, and hits merged over the parts.
+
+    Each part is a pass of its own, whose tasks hold that part only; what it finds lies in the shared folder.
+    """
+    passes = []
+    for part in parts:
+        found = map_texts(texts, ["key"], "text", REPORT, make_report, part, window)
+        passes.append(kept(found.where(F.size("item_ids") > 0).drop("n_words").dropDuplicates(["key"])))
+    every = reduce(DataFrame.unionByName, passes)
+    of_text = every.groupBy("key").agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"),
+        F.array_sort(F.flatten(F.collect_list("hits"))).alias("hits"),
+    )
+
+    def joined(done, hit):
+        last = F.element_at(done, -1)
+        touches = (F.size(done) > 0) & (hit["first"] <= F.get(done, F.size(done) - 1)["last"] + 1)
+        wider = F.struct(
+            last["first"].alias("first"), F.greatest(last["last"], hit["last"]).alias("last"),
+            last["start"].alias("start"), F.greatest(last["end"], hit["end"]).alias("end"),
+        )
+        return F.when(touches, F.concat(F.slice(done, 1, F.size(done) - 1), F.array(wider))).otherwise(F.concat(done, F.array(hit)))
+
+    kind = every.schema["hits"].dataType
+    return of_text.withColumn("hits", F.aggregate("hits", F.array().cast(kind), joined))
 
 
 def find_contamination(
@@ -155,16 +168,35 @@ def find_contamination(
     """One row per row of ``docs``: doc_id, n_words, n_hit, item_ids (sorted), spans (start, end).
 
     A word is hit when it lies inside an occurrence of ``window`` consecutive words of an item, or of all
-    of a shorter item. Null and empty texts have no words. Repeated rows each get their row; a null id
-    stays null; other columns are ignored. An empty benchmark hits nothing.
+    of a shorter item. Null and empty texts have no words; long ones are scanned whole, in time in proportion. Repeated rows
+    each get their row; a null id stays null; other columns are ignored. An empty benchmark hits nothing. Of overlapping or
+    adjacent occurrences the span is one, so there are no ties. A benchmark above AUTOMATON_WORDS words takes a pass per part.
     """
-    return map_texts(
-        id_and_text(docs, id_col, text_col), ["id"], "text",
-        "n_words long, n_hit long, item_ids array<string>, spans array<struct<start: long, end: long>>",
-        make_report, read_items(benchmark), window,
-    ).withColumnRenamed("id", "doc_id")
+    texts = id_and_text(docs, id_col, text_col)
+    count, parts = item_parts(benchmark)
+    if count == 1:
+        found = map_texts(texts, ["id"], "text", REPORT, make_report, next(parts), window)
+    else:
+        keyed = texts.withColumn("key", F.sha2("text", 256))
+        hits = hits_of_parts(keyed, parts, window)
+        found = keyed.join(hits, "key", "left").select(
+            "id", F.coalesce(F.regexp_count("text", F.lit(WORD.pattern)), F.lit(0)).cast("long").alias("n_words"),
+            F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),
+            F.coalesce("hits", F.array().cast(hits.schema["hits"].dataType)).alias("hits"),
+        )
+    return found.select(
+        F.col("id").alias("doc_id"), "n_words",
+        F.aggregate("hits", F.lit(0).cast("long"), lambda n, hit: n + hit["last"] - hit["first"] + 1).alias("n_hit"),
+        "item_ids", F.transform("hits", lambda hit: F.struct(hit["start"].alias("start"), hit["end"].alias("end"))).alias("spans"),
+    )
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", window: int = WINDOW) -> DataFrame:
-    """The rows of ``docs``, all columns, in which no word is hit."""
-    return rewrite_rows(docs, text_col, make_filter, read_items(benchmark), window)
+    """The rows of ``docs``, all columns, in which no word is hit. Rows with null or empty text stay; an empty table stays empty."""
+    count, parts = item_parts(benchmark)
+    if count == 1:
+        return rewrite_rows(docs, text_col, make_filter, next(parts), window)
+    key = free_name(docs, "key")
+    digest = F.sha2(F.col(f"`{text_col}`").cast("string"), 256)
+    hits = hits_of_parts(docs.select(digest.alias("key"), F.col(f"`{text_col}`").alias("text")), parts, window)
+    return docs.withColumn(key, digest).join(hits.select(F.col("key").alias(key)), key, "left_anti").select(*[f"`{c}`" for c in docs.columns])

@@ -59,10 +59,28 @@ def test_offsets_are_those_of_the_original(spark):
 def test_items_in_several_automata_give_the_same(spark, monkeypatch):
     docs = spark.createDataFrame([(i, t, "") for i, t in enumerate(TEXTS)], SCHEMA)
     bench = spark.createDataFrame(ITEMS, "item_id string, text string")
-    one = dec.find_contamination(docs, bench).orderBy("doc_id").collect()
+    def rows():
+        return sorted(dec.find_contamination(docs, bench).collect(), key=lambda r: r.doc_id)
+
+    one, left = rows(), dec.remove_contaminated(docs, bench)
+    clean = {r.doc_id for r in left.collect()}
+    monkeypatch.setattr(dec, "AUTOMATON_WORDS", 5)
+    count, parts = dec.item_parts(bench)
+    assert count > 4
+    assert len([x for part in parts for x in part]) == len({(i or "", t) for i, t in ITEMS if t is not None})
+    assert rows() == one
+    apart = dec.remove_contaminated(docs, bench)
+    assert apart.schema == left.schema
+    assert {r.doc_id for r in apart.collect()} == clean
+
+
+def test_several_automata_and_no_documents(spark, monkeypatch):
     monkeypatch.setattr(dec, "AUTOMATON_WORDS", 5)
-    assert len(dec.read_items(bench)) > 1
-    assert dec.find_contamination(docs, bench).orderBy("doc_id").collect() == one
+    bench = spark.createDataFrame(ITEMS, "item_id string, text string")
+    docs = spark.createDataFrame([], "doc_id long, text string, key string, KEY_ string")
+    assert dec.find_contamination(docs, bench).count() == 0
+    clash = spark.createDataFrame([(1, "nameless thing", "k"), (2, None, "k"), (2, None, "k")], "doc_id long, text string, key string")
+    assert [tuple(r) for r in dec.remove_contaminated(clash, bench).collect()] == [(2, None, "k")] * 2
 
 
 def test_filter_keeps_clean_rows_and_all_columns(spark):
