@@ -13,6 +13,7 @@ from tablewright.plans.oracles import SQL
 from tablewright.plans.queries import QUERIES
 
 # Joins documents with labels to have nulls: the join moves data once by itself.
+IN_BLOCKS = {"fit_kmeans_embeddings"}
 JOINED = {
     "drop_null_rows", "bad_data_report_nulls", "count_by_group_null", "predict_class",
     "confusion_matrix", "pair_sample", "column_values_repeated",
@@ -45,7 +46,9 @@ def test_query_agrees_with_sql(spark, connection, folder, name):
 def test_plan(spark, folder, name):
     result = QUERIES[name](spark, folder)
     plan = plan_of(result)
-    assert not re.search(r"EvalPython|MapInPandas|ExistingRDD|Cartesian|NestedLoop", plan)
+    assert not re.search(r"MapInPandas|ExistingRDD|Cartesian|NestedLoop", plan)
+    # Blocks of points against all centres, once per row.
+    assert plan.count("EvalPython") == plan.count("ArrowEvalPython") == (name in IN_BLOCKS)
     assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
     assert shuffles_in(result) <= (2 if name in JOINED else 1)
 

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import rows
+from helpers import plan_of, rows
 from tablewright.functions import arithmetic
 from tablewright.models import (
     ClassWeights,
@@ -214,6 +214,61 @@ def test_label_is_the_argmin_with_many_centres(spark):
         assert np.allclose([row[f"distance_Cluster_{i}"] for i in range(40)], gaps, rtol=1e-12)
 
 
+@pytest.fixture
+def odd_points(spark):
+    random = np.random.default_rng(5)
+    values = [[float(x) for x in row] for row in random.normal(size=(60, 6)) * 10.0 ** random.integers(-12, 12, (60, 6))]
+    values += [None, [], [1.0], [1.0, 2.0, None, 4.0, 5.0, 6.0], [NAN, 1.0, 2.0, 3.0, 4.0, 5.0], [INF] * 6, [-INF] + [0.0] * 5, values[0]]
+    return spark.createDataFrame(list(enumerate(values)), "id int, point array<double>").repartition(3)
+
+
+def in_order(start, terms):
+    for term in terms:
+        start += term
+    return start
+
+
+@pytest.mark.parametrize("of_batch", [1, 40, 1 << 20])
+def test_blocks_add_in_the_order_of_folds(odd_points, monkeypatch, of_batch):
+    monkeypatch.setattr(arithmetic, "NUMBERS_OF_BATCH", of_batch)
+    monkeypatch.setattr(arithmetic, "NUMBERS_AT_ONCE", 20)
+    random = np.random.default_rng(6)
+    centers = [tuple(map(float, row)) for row in random.normal(size=(9, 6)) * 1e3]
+    starts = [float(x) for x in random.normal(size=9)]
+    for row in rows(odd_points.select(
+        "point",
+        arithmetic.array_distances(F.col("point"), centers),
+        arithmetic.array_weighted_sums(F.col("point"), centers, starts),
+    )):
+        point, gaps, sums = row
+        if point is None or len(point) != 6 or None in point:
+            assert gaps is None and sums is None
+            continue
+        expected = [math.sqrt(in_order(0.0, [(v - c) * (v - c) for v, c in zip(point, center)])) for center in centers]
+        totals = [in_order(s, [c * v for v, c in zip(point, center)]) for s, center in zip(starts, centers)]
+        for found, wanted in ((gaps, expected), (sums, totals)):
+            assert [repr(x) for x in found] == [repr(x) for x in wanted]
+
+
+def test_blocks_of_no_rows(odd_points):
+    model = ClusterModel(("point",), ((0.0,) * 6, (1.0,) * 6), vector=True)
+    assert rows(scoring.score_clusters(odd_points.where("id < 0"), model)) == []
+
+
+def test_a_thousand_centres_are_scored_once_per_row(odd_points):
+    """One Python step, which gets nothing but the points."""
+    centers = tuple(tuple(float(i + j) for j in range(6)) for i in range(1000))
+    scored = scoring.score_clusters(odd_points, ClusterModel(("point",), centers, vector=True)).select("id", "cluster")
+    plan = plan_of(scored)
+    assert plan.count("ArrowEvalPython [") == 1
+    found = {r[0]: r[1] for r in rows(scored)}
+    points = {r[0]: r[1] for r in rows(odd_points)}
+    for i in range(60):
+        gaps = [in_order(0.0, [(v - c) * (v - c) for v, c in zip(points[i], center)]) for center in centers]
+        assert found[i] == f"Cluster_{int(np.argmin(np.sqrt(gaps)))}"
+    assert [found[i] for i in range(60, 64)] == [None] * 4
+
+
 def test_cluster_centers_table(spark):
     table = ClusterModel(("x", "y"), ((1.0, 2.0), (3.0, 4.0))).centers_table(spark)
     assert table.columns == ["ClusterName", "x", "y"]
