@@ -27,7 +27,9 @@ SAMPLE_CHARS = 20_000
 STRETCH, AHEAD = 2_000, 200
 SOUGHT = "@|[0-9]{3}"
 LEAST_PRECISION = 0.98
-TREES, DEPTH, RATE = 40, 3, 0.3
+# Texts with made-up spans, and how much of a text lies on either side.
+MADE_TEXTS, MADE_AROUND = 150, 150
+TREES, DEPTH, RATE = 60, 4, 0.3
 # Candidates that are described at a time.
 BLOCK = 20_000
 
@@ -44,6 +46,7 @@ WIDE_EMAIL = re.compile(
     r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}\s?(?:@|[\[(]\s?at\s?[\])]|\bat\b)\s?[A-Za-z0-9-]{1,63}"
     r"(?:\s?(?:\.|[\[(]\s?dot\s?[\])]|\bdot\b)\s?[A-Za-z0-9-]{1,63}){1,4}", re.IGNORECASE
 )
+AT_MARK = re.compile(r"[\[(]\s?at\s?[\])]")
 CHAIN = re.compile(r"[0-9]+(?:[\x20().\-/]{1,2}[0-9]+)*")
 GROUP = re.compile("[0-9]+")
 LEAST_DIGITS, MOST_DIGITS = 7, 19
@@ -127,7 +130,7 @@ def digit_runs(text: str) -> Iterator[tuple[int, int, int]]:
 def wide_spans(text: str) -> Iterator[tuple[int, int, int]]:
     """What the generators propose; the spans may overlap one another and the base."""
     low = text.lower()
-    if "@" in text or ("dot" in low and "at" in low):
+    if "@" in text or "at" in low and ("dot" in low or AT_MARK.search(low)):
         yield from ((0, *m.span()) for m in WIDE_EMAIL.finditer(text))
     if DIGIT.search(text):
         if "." in text or "dot" in low:
@@ -287,7 +290,9 @@ def examples(texts: list[str], seed: int = 5) -> tuple[np.ndarray, np.ndarray, n
 
     def phone(digits):
         a, b, c = digits[:-7], digits[-7:-4], digits[-4:]
-        return (f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"{a} {b} {c}", f"({a}){b}-{c}")
+        forms = (f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"{a} {b} {c}", f"({a}){b}-{c}")
+        # With the national 0, and the international prefix spelled as 00.
+        return (*forms, f"0{a} {b}{c}", f"0{a}/{b}{c}", f"(0{a}) {b}{c}", f"0{a}-{b} {c}", f"00{int(random.integers(20, 99))} {a} {b}{c}")
 
     for number_of, text in enumerate(texts):
         owner += [number_of - 1] * (len(target) - len(owner))
@@ -303,14 +308,19 @@ def examples(texts: list[str], seed: int = 5) -> tuple[np.ndarray, np.ndarray, n
                     add(1, listed + text[start:], len(listed), len(listed) + end - start, dot.join(low), 0)
             if kind == 0:
                 name, host = span.rsplit("@", 1)
-                for at, dot in ((" at ", " dot "), ("(at)", "(dot)"), (" [at] ", " [dot] ")):
+                for at, dot in ((" at ", " dot "), ("(at)", "(dot)"), (" [at] ", " [dot] "), ("[at]", "."), (" (at) ", "."), (" @ ", ".")):
                     add(0, text, start, end, name + at + host.replace(".", dot), 1)
-                add(0, text, start, end, f"{name} at {host.split('.')[0]}.{number(2)}", 0)
+                # A time, a price, a place on the web that something is at.
+                first, word = host.split(".")[0], ("us", "it", "them", "look", "online", "sold", "found")[int(random.integers(7))]
+                for wrong in (f"{name} at {first}.{number(2)}", f"{word} at {number(1)}.{number(2)}", f"{word} at {host}", f"{word} at {first}.{first}", f"{name} at {host}"):
+                    add(0, text, start, end, wrong, 0)
             elif kind == 2:
                 add(2, text, start, end, span, 1)
                 digits = digits_of(span)
-                add(2, text, start, end, " ".join(digits[i : i + 4] for i in range(0, len(digits), 4)), 1)
                 wrong = digits[:-1] + str((int(digits[-1]) + int(random.integers(1, 10))) % 10)
+                for mark in (" ", ".", "/", "  ", "- "):
+                    for own in (digits, wrong):
+                        add(2, text, start, end, mark.join(own[i : i + 4] for i in range(0, len(own), 4)), own is digits)
                 add(2, text, start, end, wrong, 0)
                 add(3, text, start, end, wrong[:15], 0)
                 spaced = " ".join(digits[i : i + 4] for i in range(0, len(digits), 4))
@@ -320,7 +330,7 @@ def examples(texts: list[str], seed: int = 5) -> tuple[np.ndarray, np.ndarray, n
                 for form in phone(digits):
                     add(3, text, start, end, form, 1)
                 for _ in range(3):
-                    way, next_way = (int(x) for x in random.integers(0, 5, 2))
+                    way, next_way = (int(x) for x in random.integers(0, len(phone(digits)), 2))
                     own, more = (phone(digits)[way], True), (phone(digits[:-7] + number(7))[next_way], True)
                     rows = [own, other()], [other(), own], [own, more], [other(), own, other()], [own, more, (phone(digits[:-7] + number(7))[way], True)]
                     beside(3, text, start, end, rows[int(random.integers(len(rows)))])
@@ -336,8 +346,41 @@ def examples(texts: list[str], seed: int = 5) -> tuple[np.ndarray, np.ndarray, n
     return np.array(table, np.float64).reshape(len(table), width), np.array(target, np.float64), np.array(owner, np.int64)
 
 
+def made_texts(texts: list[str], seed: int = 7) -> list[str]:
+    """Stretches of the texts (plain words where there are none) with made-up base spans of each kind set into them, so that
+    every kind has examples however few the table holds."""
+    random = np.random.default_rng(seed)
+
+    def number(n):
+        return str(random.integers(1, 10)) + "".join(map(str, random.integers(0, 10, n - 1)))
+
+    def name():
+        return "".join(random.choice(list("bcdfghklmnprstvw")) + random.choice(list("aeiou")) for _ in range(int(random.integers(2, 6))))
+
+    def card():
+        digits = str(random.choice(["4", "51", "34", "6011"]))
+        digits += number(int(random.choice([15, 16])) - 1 - len(digits))
+        return next(digits + str(d) for d in range(10) if luhn(digits + str(d)))
+
+    out = []
+    for _ in range(MADE_TEXTS):
+        text = texts[int(random.integers(len(texts)))] if texts else "some words before it and some more behind it"
+        at = int(random.integers(len(text) + 1))
+        words = text[max(0, at - MADE_AROUND) : at + MADE_AROUND].split(" ")
+        spans = (
+            f"{name()}{random.choice(['', '.', '_'])}{name()}@{name()}.{random.choice(['com', 'org', 'net', 'de', 'co.uk'])}",
+            ".".join(map(str, random.integers(11, 256, 4))), card(), f"+{random.integers(1, 99)} {number(3)} {number(3)} {number(4)}",
+        )
+        for kind, span in enumerate(spans):
+            lead = [*CUES[KINDS[kind]], "", "", "is", "the"][int(random.integers(len(CUES[KINDS[kind]]) + 4))]
+            words.insert(int(random.integers(len(words) + 1)), f"{lead}{random.choice([':', ''])} {span}" if lead else span)
+        out.append(" ".join(words))
+    return out
+
+
 def fit_pii_trees(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sample_docs: int = SAMPLE_DOCS) -> Boosted:
-    """Train on those documents that hold an @ or three digits in a row among about ``sample_docs``, by a hash of the id."""
+    """Train on those documents that hold an @ or three digits in a row among about ``sample_docs``, by a hash of the id,
+    and on stretches of them with made-up spans."""
     texts = id_and_text(docs, id_col, text_col)
     first = F.length(F.regexp_extract("text", f"(?s)^(.*?)(?:{SOUGHT})", 1))
     around = F.substring("text", F.greatest(F.lit(1), first + 1 - AHEAD), F.lit(STRETCH))
@@ -347,7 +390,8 @@ def fit_pii_trees(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
         .select("id", F.when(F.length("text") <= SAMPLE_CHARS, F.col("text")).otherwise(around).alias("text")).collect()
     )
     rows = sorted(rows, key=lambda r: (r.id is not None, r.id, r.text))
-    return train_trees(*examples([r.text for r in rows]))
+    own = [r.text for r in rows]
+    return train_trees(*examples(own + made_texts(own)))
 
 
 def added_spans(text: str, base: list[tuple[int, int, int]], trees: Boosted) -> list[tuple[int, int, int]]:
