@@ -411,27 +411,55 @@ def unique_pairs(a: list[np.ndarray], b: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0], pa.int64()), pa.array(pairs[:, 1], pa.int64())], ["a", "b"])
 
 
-def dealt_candidates(sets: DataFrame, numbers: list[int], bits: int = SKETCH_BITS) -> DataFrame:
-    """The candidates' signatures by bucket, with sizes, components and sketches of so many bits.
+def candidate_table(keys, roots, sizes, bits: int) -> np.ndarray:
+    table = np.zeros(len(keys), candidate_entry(bits))
+    table["key"], table["root"], table["size"] = (x.to_numpy(zero_copy_only=False) for x in (keys, roots, sizes))
+    return table
 
-    They were cut to bucket and low bytes before, and are mixed so that their high bits are even again.
-    """
-    source = "sketch" if "sketch" in sets.columns else "hashes"
+
+def mixed_groups(signs) -> list[np.ndarray]:
+    """Signatures of each row. They were cut to bucket and low bytes before, and are mixed so that their high bits are even again."""
+    return [mixed(np.frombuffer(x, "<u8")) & ~np.uint64(1) for x in signs.to_pylist()]
+
+
+def dealt_candidates(sets: DataFrame, numbers: list[int]) -> DataFrame:
+    """The candidates' signatures by bucket, with sizes, components and narrow sketches."""
 
     def run(batches):
         for batch in batches:
             for start in range(0, batch.num_rows, 2000):
                 keys, roots, sizes, sketches, signs = batch.slice(start, 2000).columns
-                table = np.zeros(len(keys), candidate_entry(bits))
-                table["key"], table["root"], table["size"] = (x.to_numpy(zero_copy_only=False) for x in (keys, roots, sizes))
-                made = sketches.to_pylist()
-                if source == "hashes":
-                    made = [sketch(np.frombuffer(x, "<u8"), bits) for x in made]
-                table["sketch"] = np.frombuffer(b"".join(made), "<u8").reshape(len(keys), -1)
-                groups = [mixed(np.frombuffer(x, "<u8")) & ~np.uint64(1) for x in signs.to_pylist()]
-                yield deal(table, groups, numbers)
+                table = candidate_table(keys, roots, sizes, SKETCH_BITS)
+                table["sketch"] = np.frombuffer(b"".join(sketches.to_pylist()), "<u8").reshape(len(keys), -1)
+                yield deal(table, mixed_groups(signs), numbers)
 
-    return sets.select("key", "root", "n", source, "signs").mapInArrow(run, DEALT).repartition(len(numbers), "bucket")
+    return sets.select("key", "root", "n", "sketch", "signs").mapInArrow(run, DEALT).repartition(len(numbers), "bucket")
+
+
+def by_bits(batch: pa.RecordBatch):
+    """The rows of each width, which the first column tells, without it."""
+    bits = batch.column(0).to_numpy(zero_copy_only=False)
+    for width in np.unique(bits).tolist():
+        yield width, batch.filter(pa.array(bits == width)).select(range(1, batch.num_columns))
+
+
+def dealt_wide(sets: DataFrame, numbers: list[int]) -> DataFrame:
+    """The same with sketches as wide as ``bits`` says, all widths in one shuffle."""
+
+    def run(batches):
+        for batch in batches:
+            for start in range(0, batch.num_rows, 2000):
+                for bits, rows in by_bits(batch.slice(start, 2000)):
+                    keys, roots, sizes, hashes, signs = rows.columns
+                    table = candidate_table(keys, roots, sizes, bits)
+                    made = b"".join(sketch(np.frombuffer(x, "<u8"), bits) for x in hashes.to_pylist())
+                    table["sketch"] = np.frombuffer(made, "<u8").reshape(len(keys), -1)
+                    dealt = deal(table, mixed_groups(signs), numbers)
+                    width = pa.array(np.full(dealt.num_rows, bits, np.int32))
+                    yield pa.RecordBatch.from_arrays([width, *dealt.columns], ["bits", *dealt.schema.names])
+
+    rows = sets.select("bits", "key", "root", "n", "hashes", "signs")
+    return rows.mapInArrow(run, f"bits int, {DEALT}").repartition(len(numbers), "bucket")
 
 
 def width_of(size: Column) -> Column:
@@ -524,19 +552,24 @@ def all_pairs_between(members: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(a), np.concatenate(b)
 
 
-def pairs_within(dealt: DataFrame, numbers: list[int], choose, bits: int) -> DataFrame:
-    """The pairs (a < b) that ``choose`` takes from the sets of several components that share a signature."""
+def pairs_within(dealt: DataFrame, numbers: list[int], choose) -> DataFrame:
+    """The pairs (a < b) that ``choose`` takes from the sets of several components that share a signature at some width."""
 
     def run(batches):
+        parts: dict[int, list[pa.RecordBatch]] = {}
+        for batch in batches:
+            for bits, rows in by_bits(batch):
+                parts.setdefault(bits, []).append(rows)
         a, b, total = [], [], 0
-        for members in groups_of(batches, numbers, bits, True):
-            first, second = choose(members)
-            a.append(first)
-            b.append(second)
-            total += len(first)
-            if total > 500_000:
-                yield unique_pairs(a, b)
-                a, b, total = [], [], 0
+        for bits in sorted(parts):
+            for members in groups_of(parts.pop(bits), numbers, bits, True):
+                first, second = choose(members)
+                a.append(first)
+                b.append(second)
+                total += len(first)
+                if total > 500_000:
+                    yield unique_pairs(a, b)
+                    a, b, total = [], [], 0
         if total:
             yield unique_pairs(a, b)
 
@@ -567,11 +600,7 @@ def wide_pairs(sets: DataFrame, numbers: list[int], choose) -> DataFrame:
     """
     widths = F.array_distinct(F.array(width_of(F.col("n")), width_of(F.floor(F.col("n") * 5 / 4))))
     wide = sets.withColumn("bits", F.explode(widths))
-    out = sets.sparkSession.createDataFrame([], "a long, b long")
-    for bits in sorted(r.bits for r in wide.select("bits").distinct().collect()):  # six widths at most
-        own = wide.where(F.col("bits") == bits)
-        out = out.unionByName(pairs_within(dealt_candidates(own, numbers, bits), numbers, choose, bits))
-    return out.distinct()
+    return pairs_within(dealt_wide(wide, numbers), numbers, choose).distinct()
 
 
 def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -596,7 +625,8 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def components(edges: DataFrame) -> DataFrame:
     """key, root: the smallest key that links lead to. Labels fall along links, and then to their label's label."""
-    both = kept(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))))
+    turned = F.struct(F.col("b").alias("a"), F.col("a").alias("b"))
+    both = edges.select(F.inline(F.array(F.struct("a", "b"), turned)))  # one read, where a union would take two
     labels = kept(both.groupBy(F.col("a").alias("key")).agg(F.min("b").alias("b")).select("key", F.least("key", "b").alias("root")))
     while True:
         near = both.join(labels.select(F.col("key").alias("b"), "root"), "b").groupBy(F.col("a").alias("key")).agg(F.min("root").alias("near"))
@@ -642,7 +672,8 @@ def join_similar(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
         new = kept(wide_pairs(kept(rooted(still_open)), numbers, choose).join(tested, ["a", "b"], "left_anti"))
         more = kept(linked(new, with_sets))
         if not more.isEmpty():
-            edges = kept(edges.unionByName(more))
+            # No more parts than before: a round has tasks for each of them several times.
+            edges = kept(edges.unionByName(more).coalesce(shuffle_partitions(spark)))
             roots = components(edges)
         tested = tested.unionByName(new)
 

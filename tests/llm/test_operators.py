@@ -5,7 +5,9 @@ from __future__ import annotations
 import html
 import itertools
 import re
+import time
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -15,7 +17,9 @@ from pyspark.sql import types as T
 from tablewright.llm import (
     html_extraction, jaccard_join, language_id, license_scan, line_quality, packing, pii, secret_scan, token_counts,
 )
+from tablewright.llm.common import SHUFFLES_GO, kept
 from tablewright.llm.queries import RANKS, tokenizer_file
+from helpers import plan_of, shuffles_in
 
 WORDS = [f"w{a}{b}" for a in "abcdefghij" for b in "klmnopqrst"]
 ODD = [None, "", " \n ", "one", "é " * 3, "x" * 60_000, "same text of six words here", "same text of six words here"]
@@ -656,3 +660,34 @@ def test_markup_that_never_ends():
     assert texts("<ul><li>a<li>b<ul><li>c</ul><li>d</ul>e") == ["a", "b", "c", "d", "e"]
     assert [b.path for b in html_extraction.blocks_of("<ul><li>a<div>b<li>c</ul>")] == [("ul", "li"), ("ul", "li", "div"), ("ul", "li")]
     assert texts("<script>a</script ") == [] and texts("<script/>a") == ["a"]
+
+
+def test_shuffle_files_go_with_the_run_that_kept_a_table(spark):
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+
+    def files():
+        return {file.name for folder in folders for file in Path(folder).rglob("shuffle_*")}
+
+    before = spark.conf.get(SHUFFLES_GO, "false")
+    there = files()
+    table = kept(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+    deadline = time.time() + 20  # files go in the background
+    while files() - there and time.time() < deadline:
+        time.sleep(0.2)
+    assert not files() - there
+    assert table.count() == 7 and spark.conf.get(SHUFFLES_GO, "false") == before
+
+
+def test_sketches_of_all_widths_take_one_shuffle(spark):
+    sets = spark.createDataFrame(
+        [(k, k, n, b"", b"") for k, n in ((1, 20), (2, 900), (3, 9000))], "key long, root long, n long, hashes binary, signs binary"
+    )
+    pairs = jaccard_join.wide_pairs(sets, [0, 1], jaccard_join.nearest_pairs)
+    assert pairs.count() == 0 and shuffles_in(pairs) == 2  # and the one that makes pairs distinct
+
+
+def test_rounds_of_links_read_them_once(spark):
+    """A chain and a star; the tasks of a round do not grow with what links are made of."""
+    edges = spark.createDataFrame([(i, i + 1) for i in range(20)] + [(100, 101 + i) for i in range(20)], "a long, b long")
+    roots = {r.key: r.root for r in jaccard_join.components(edges.coalesce(1)).collect()}
+    assert roots == {**dict.fromkeys(range(21), 0), **dict.fromkeys(range(100, 121), 100)}
