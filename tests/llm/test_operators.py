@@ -662,6 +662,12 @@ def test_markup_that_never_ends():
     assert texts("<script>a</script ") == [] and texts("<script/>a") == ["a"]
 
 
+def test_licence_scan_does_not_lower_a_text_for_every_cue(spark):
+    plan = plan_of(license_scan.scan_licenses(docs_of(spark, ["Released under the MIT License."])))
+    looks = [line for line in plan.splitlines() if "Filter" in line and "attribution" in line]
+    assert looks and all(line.count("translate(") <= 2 for line in looks)
+
+
 def test_shuffle_files_go_with_the_run_that_kept_a_table(spark):
     folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
 
