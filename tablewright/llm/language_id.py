@@ -8,6 +8,8 @@ with the largest share of them, so that code-switched text is judged by all its
 from __future__ import annotations
 
 import functools
+import hashlib
+import itertools
 import re
 import sys
 import unicodedata
@@ -30,6 +32,7 @@ SEQUENCE_WORDS = 48
 EPOCHS = 6
 DIMENSIONS = 1 << 16
 CACHED_WORDS = 300_000
+HASHED_PARTS = 100_000
 UNKNOWN = "und"
 
 
@@ -78,8 +81,11 @@ PIECE = 24  # a longer run of letters, as in scripts without spaces, is a sequen
 
 def words_of(text: str) -> list[str]:
     """Runs of letters and their marks in lower case; a long one in pieces that share two letters, so that each trigram is in one of them."""
+    runs = runs_of_letters(text.lower())
+    if not runs or max(map(len, runs)) <= PIECE:
+        return runs
     out = []
-    for word in runs_of_letters(text.lower()):
+    for word in runs:
         if len(word) <= PIECE:
             out.append(word)
         else:
@@ -87,12 +93,31 @@ def words_of(text: str) -> list[str]:
     return out
 
 
+class Hashed(dict):
+    """Numbers of a kind's parts of words; the same few come back in most words."""
+
+    def __init__(self, kind: str):
+        super().__init__()
+        self.kind = kind
+
+    def __missing__(self, part: str) -> int:
+        if len(self) >= HASHED_PARTS:
+            self.clear()
+        number = self[part] = zlib.crc32((self.kind + part).encode()) % DIMENSIONS
+        return number
+
+
+TRIGRAM, PREFIX, SUFFIX = (Hashed(kind).__getitem__ for kind in "gps")
+
+
 def features(word: str) -> list[int]:
     """Hashed lexicon entry, affixes up to four letters, and trigrams."""
     framed = f"^{word}$"
-    parts = {f"w{word}"} | {f"p{framed[:n]}" for n in (2, 3, 4, 5)} | {f"s{framed[-n:]}" for n in (2, 3, 4, 5)}
-    parts |= {f"g{framed[i : i + 3]}" for i in range(len(framed) - 2)}
-    return [zlib.crc32(p.encode()) % DIMENSIONS for p in sorted(parts)]
+    found = [TRIGRAM(part) for part in sorted({framed[i : i + 3] for i in range(len(framed) - 2)})]
+    found += [PREFIX(framed[:n]) for n in range(2, min(5, len(framed)) + 1)]
+    found += [SUFFIX(part) for part in sorted(framed[-n:] for n in range(2, min(5, len(framed)) + 1))]
+    found.append(zlib.crc32(f"w{word}".encode()) % DIMENSIONS)
+    return found
 
 
 @dataclass(frozen=True)
@@ -136,6 +161,44 @@ def marginals(scores: np.ndarray, lengths: np.ndarray, moves: np.ndarray) -> tup
     return ahead / ahead.sum(1, keepdims=True), pairs
 
 
+MOST_DROP = 300.0  # by so many powers of e a row may fall before it is scaled again
+
+
+def shares_of_texts(scores: np.ndarray, places: np.ndarray, lengths: np.ndarray, moves: np.ndarray) -> np.ndarray:
+    """The mean of each text's ``marginals``; ``places`` are its words' rows of ``scores``, texts one after the other, longest first.
+
+    The words lie by their place in the text here, so that a step is a slice. A row is scaled only as often as it must be.
+    """
+    n, longest = len(lengths), int(lengths[0])
+    width = np.searchsorted(-lengths, -np.arange(longest), "left")  # texts that reach a step
+    start = np.concatenate([[0], np.cumsum(width)])
+    begin = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+    text = np.arange(start[-1]) - np.repeat(start[:-1], width)
+    step = np.exp(moves - moves.max())
+    every = max(1, int(MOST_DROP / max(1.0, moves.max() - moves.min())))
+    words, place = np.unique(places[begin[text] + np.repeat(np.arange(longest), width)], return_inverse=True)
+    likely = scores[words].astype(np.float64)
+    shown = np.exp(likely - likely.max(1, keepdims=True))[place]
+    ahead = np.empty_like(shown)
+    bounds, widths = start.tolist(), width.tolist()
+    ahead[:n] = now = shown[:n] / shown[:n].sum(1, keepdims=True)
+    for t in range(1, longest):
+        now = np.dot(now[: widths[t]], step, out=ahead[bounds[t] : bounds[t + 1]])
+        now *= shown[bounds[t] : bounds[t + 1]]
+        if t % every == 0:
+            now /= now.sum(1, keepdims=True)
+    after, back = np.ones((n, scores.shape[1])), np.ascontiguousarray(step.T)
+    for t in range(longest - 1, 0, -1):
+        then, m = shown[bounds[t] : bounds[t + 1]], widths[t]
+        then *= after[:m]
+        now = np.dot(then, back, out=after[:m])
+        if t % every == 0:
+            now /= now.sum(1, keepdims=True)
+        ahead[bounds[t - 1] : bounds[t - 1] + m] *= now
+    ahead /= ahead.sum(1, keepdims=True)
+    return np.stack([np.bincount(text, ahead[:, k], n) for k in range(ahead.shape[1])], 1) / lengths[:, None]
+
+
 def train_field(samples: dict[str, list[list[str]]], seed: int = 7) -> WordField:
     """Train on sequences made of runs of words from documents of one language each.
 
@@ -206,14 +269,35 @@ def fit_word_field(docs: DataFrame, use: Column, *, id_col: str = "doc_id", text
     return train_field(samples)
 
 
+@functools.lru_cache(1)
+def worker_cache(languages: tuple[str, ...], content: bytes) -> list:
+    """Places and scores of words that a worker has met, kept from one task of a field to the next."""
+    return [{}, np.zeros((0, len(languages)), np.float32)]
+
+
 def make_labeller(field: WordField):
     n = len(field.languages)
     weights = field.weights.astype(np.float32)
-    places: dict[str, int] = {}
-    scores = np.zeros((0, n), np.float32)
+    known = worker_cache(field.languages, hashlib.sha256(weights.tobytes()).digest())
+
+    def scored(words: list[str]) -> np.ndarray:
+        """The places of the words in the scores, which new ones are added to."""
+        places = known[0]
+        numbers = list(map(places.get, words))
+        if None in numbers:
+            new = sorted(set(words).difference(places))
+            blocks = [known[1]]
+            for first in range(0, len(new), 50_000):
+                hashed = [features(w) for w in new[first : first + 50_000]]
+                starts = np.concatenate([[0], np.cumsum([len(f) for f in hashed])[:-1]])
+                flat = np.fromiter(itertools.chain.from_iterable(hashed), np.int64)
+                blocks.append(np.add.reduceat(weights[flat], starts))
+            known[1] = np.concatenate(blocks)
+            places.update(zip(new, range(len(places), len(places) + len(new)), strict=True))
+            numbers = list(map(places.__getitem__, words))
+        return np.array(numbers)
 
     def label(texts):
-        nonlocal scores
         lines = [words_of(t) for t in texts]
         # Some numerals are word characters too; they alone tell no language.
         lines = [x if any(c.isalpha() for w in x for c in w) else [] for x in lines]
@@ -221,23 +305,12 @@ def make_labeller(field: WordField):
         langs, shares = [UNKNOWN] * len(texts), [0.0] * len(texts)
         if not order or not n:
             return langs, shares
-        if len(places) > CACHED_WORDS:
-            places.clear()
-            scores = scores[:0]
-        numbers = [places.get(w) for i in order for w in lines[i]]
-        if None in numbers:
-            new = sorted({w for i in order for w in lines[i]}.difference(places))
-            blocks = [scores]
-            for first in range(0, len(new), 50_000):
-                hashed = [features(w) for w in new[first : first + 50_000]]
-                starts = np.concatenate([[0], np.cumsum([len(f) for f in hashed])[:-1]])
-                blocks.append(np.add.reduceat(weights[np.concatenate(hashed)], starts))
-            scores = np.concatenate(blocks)
-            places.update(zip(new, range(len(places), len(places) + len(new)), strict=True))
-            numbers = [places[w] for i in order for w in lines[i]]
+        if len(known[0]) > CACHED_WORDS:
+            known[0].clear()
+            known[1] = known[1][:0]
         lengths = np.array([len(lines[i]) for i in order])
-        share, _ = marginals(scores[numbers].astype(np.float64), lengths, field.moves)
-        mean = np.add.reduceat(share, np.concatenate([[0], np.cumsum(lengths)[:-1]])) / lengths[:, None]
+        numbers = scored(list(itertools.chain.from_iterable(lines[i] for i in order)))
+        mean = shares_of_texts(known[1], numbers, lengths, field.moves)
         for i, row in zip(order, mean, strict=True):
             best = int(row.argmax())
             langs[i], shares[i] = field.languages[best], float(min(row[best], 1.0))

@@ -662,6 +662,26 @@ def test_markup_that_never_ends():
     assert texts("<script>a</script ") == [] and texts("<script/>a") == ["a"]
 
 
+def test_shares_equal_mean_marginals():
+    """The labeller's own pass gives what forward-backward gives, also where rows must be scaled often."""
+    random = np.random.default_rng(4)
+    for spread in (1.0, 3.0, 400.0):
+        lengths = np.array([900, 900, 40, 7, 1, 1])
+        places = random.integers(0, 50, lengths.sum())
+        scores, moves = random.normal(0, 3, (50, 4)).astype(np.float32), random.normal(0, 1, (4, 4)) * spread
+        share, _ = language_id.marginals(scores[places].astype(np.float64), lengths, moves)
+        mean = np.add.reduceat(share, np.concatenate([[0], np.cumsum(lengths)[:-1]])) / lengths[:, None]
+        assert np.allclose(language_id.shares_of_texts(scores, places, lengths, moves), mean, atol=1e-9)
+
+
+def test_words_are_hashed_once_for_all_tasks_of_a_worker(monkeypatch):
+    field = language_id.WordField(("a", "b"), np.random.default_rng(1).normal(size=(language_id.DIMENSIONS, 2)), np.zeros((2, 2)))
+    texts = ["some words here", "and words there"]
+    first = language_id.make_labeller(field)(texts)
+    monkeypatch.setattr(language_id, "features", None)
+    assert language_id.make_labeller(field)(texts) == first
+
+
 def test_licence_scan_does_not_lower_a_text_for_every_cue(spark):
     plan = plan_of(license_scan.scan_licenses(docs_of(spark, ["Released under the MIT License."])))
     looks = [line for line in plan.splitlines() if "Filter" in line and "attribution" in line]
