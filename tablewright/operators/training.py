@@ -334,8 +334,10 @@ def fit_kmeans(
         return ClusterModel(tuple(features), (tuple(only[0].x0) if vector else tuple(only[0]),), vector=vector)
     if 2 * different <= n:
         numbers = numbers.groupBy(*numbers.columns).agg(F.count("*").cast("double").alias("weight"))
-        # Few points need few tasks: a fit runs some thirty jobs over them.
-        numbers = numbers.coalesce(max(1, different // POINTS_OF_A_TASK))
+        # Few points need few tasks: a fit runs some thirty jobs over them. They are dealt anew, as a task that takes over
+        # several parts of the counts holds the memory of each; sorted, they lie the same way in every run.
+        by = [name for name in numbers.columns if name != "weight"]
+        numbers = numbers.repartition(max(1, different // POINTS_OF_A_TASK), *by).sortWithinPartitions(*by)
         estimator = estimator.setWeightCol("weight")
     made = array_to_vector("x0").alias("features")
     points = numbers.select(made, *[c for c in numbers.columns if c == "weight"]) if vector else _vectors(numbers, "weight")

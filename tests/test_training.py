@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import rows
+from helpers import plan_of, rows
 from tablewright.models import LinearModel
 from tablewright.operators import absorbed, encoding, moments, scoring, training
 from tablewright.plans import workflows
@@ -446,3 +446,13 @@ def test_one_cluster_is_the_mean(spark):
 def test_models_are_plain_values():
     model = LinearModel(("x",), (1.0,))
     assert model == LinearModel(("x",), (1.0,)) and hash(model)
+
+
+def test_parts_of_counted_points_do_not_add_up_in_one_task(spark, monkeypatch):
+    """A task that takes over several parts of an aggregate holds the memory of each."""
+    plans, persisted = [], training.persisted
+    monkeypatch.setattr(training, "persisted", lambda points: plans.append(plan_of(points)) or persisted(points))
+    df = spark.range(4000).select((F.col("id") % 2 * 500 + F.col("id") % 7).cast("double").alias("x"))
+    training.fit_kmeans(df, ["x"], k=2, seed=1)
+    [plan] = plans
+    assert "Coalesce" not in plan and len([line for line in plan.splitlines() if "Exchange " in line]) == 2
